@@ -13,10 +13,13 @@ from pyspark.sql import functions as F
 from areascore.functions.numbers import Rounding
 from areascore.functions.times import month_of
 
-# A group up to this size goes through the built-in median, whose hash map of values lives in
-# one task. Larger groups take the bracketed way below. There can be at most
-# (rows / HOT_ROWS) larger groups, which bounds what the joins below broadcast.
-HOT_ROWS = 5_000_000
+# A group of at most this many rows is sorted in one task as an array of doubles. Larger groups
+# take the bracketed way below, which never brings a group together.
+HOT_ROWS = 1_000_000
+
+# Up to this many hot groups their keys and brackets are broadcast; beyond it they are joined by
+# shuffle, where the adaptive planner splits skewed keys.
+BROADCAST_GROUPS = 100_000
 
 # Half-width of the first bracket around the middle, ten times the sketch's rank error.
 _HALF_WIDTH = 0.001
@@ -42,28 +45,50 @@ def grouped_medians(
 ) -> DataFrame:
     """Exact interpolated medians per group, nulls skipped; optionally the row count too.
 
-    ``medians`` maps output name to input column. Groups are counted first; the usual case
-    is that none is hot, and the adaptive planner then drops the second branch and the
-    anti-join at run time because the hot list came back empty.
+    ``medians`` maps output name to input column. Group sizes are checked first, by a count that
+    combines on the map side and reads only the keys. Groups within ``hot_rows`` are sorted
+    whole; the others, if there are any, are found without being brought together.
     """
     keys = list(keys)
     inputs = sorted(set(medians.values()))
     slim = df.select(*keys, *(F.col(c).cast("double").alias(c) for c in inputs))
     sizes = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = _prefixed(sizes.filter(F.col("_rows") > hot_rows), keys, ["_rows"])
+    hot = sizes.filter(F.col("_rows") > hot_rows)
+    found = hot.limit(BROADCAST_GROUPS + 1).count()
+    if found == 0:
+        return _sorted_medians(slim, keys, medians, rows)
+    hot = _prefixed(hot, keys, ["_rows"])
+    fits = found <= BROADCAST_GROUPS
+    small = slim.join(_hinted(hot, fits), _same(keys), "left_anti")
+    return _sorted_medians(small, keys, medians, rows).unionByName(
+        _hot_medians(slim, hot, fits, keys, inputs, medians, rows)
+    )
+
+
+def _hinted(df: DataFrame, fits: bool) -> DataFrame:
+    return F.broadcast(df) if fits else df
 
+
+def _sorted_medians(df: DataFrame, keys: list[str], medians: Mapping[str, str], rows: str | None) -> DataFrame:
+    """Medians of groups small enough to sort whole."""
+    inputs = sorted(set(medians.values()))
     counted = [F.count(F.lit(1)).alias(rows)] if rows else []
-    small = (
-        slim.join(F.broadcast(hot), _same(keys), "left_anti")
-        .groupBy(*keys)
-        .agg(*(F.median(c).alias(out) for out, c in medians.items()), *counted)
+    lists = df.groupBy(*keys).agg(*(F.sort_array(F.collect_list(c)).alias(f"_{c}") for c in inputs), *counted)
+
+    def middle(c: str) -> Column:
+        values, n = F.col(f"_{c}"), F.size(f"_{c}")
+        low = F.get(values, F.floor((n - 1) / 2).cast("int"))
+        return low * 0.5 + F.get(values, F.floor(n / 2).cast("int")) * 0.5
+
+    return lists.select(
+        *keys, *(middle(c).alias(out) for out, c in medians.items()), *([rows] if rows else [])
     )
-    return small.unionByName(_hot_medians(slim, hot, keys, inputs, medians, rows))
 
 
 def _hot_medians(
     slim: DataFrame,
     hot: DataFrame,
+    fits: bool,
     keys: list[str],
     inputs: list[str],
     medians: Mapping[str, str],
@@ -82,7 +107,7 @@ def _hot_medians(
     loudly and never give a wrong median.
     """
     group = [*keys, "_metric"]
-    members = slim.join(F.broadcast(hot), _same(keys), "left_semi")
+    members = slim.join(_hinted(hot, fits), _same(keys), "left_semi")
     long = members.unpivot(keys, inputs, "_metric", "_value").dropna(subset=["_value"])
 
     sketch = long.groupBy(*group).agg(
@@ -92,7 +117,7 @@ def _hot_medians(
         ).alias("_bracket"),
     )
     ranks = _prefixed(sketch, group, ["_n", "_bracket"])
-    near = long.join(F.broadcast(ranks), _same(group)).filter(
+    near = long.join(_hinted(ranks, fits), _same(group)).filter(
         F.col("_value") <= F.col("_bracket")[1]
     )
     counts = near.groupBy(

@@ -13,6 +13,8 @@ def build_session(app_name: str = "areascore", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
+        # Sorted medians keep one array per group; a task's groups hold no more rows than the task.
+        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)
