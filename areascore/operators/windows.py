@@ -8,6 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from areascore.functions.times import month_of
+from areascore.session import broadcast_checked, settle
+
 Order = str | Column
 
 
@@ -29,6 +32,18 @@ def dedup(df: DataFrame, keys: Sequence[str], tie: Sequence[Order]) -> DataFrame
     return _first_of(df, keys, [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie])
 
 
+def latest_month_rows(df: DataFrame, key: str, date: str) -> DataFrame:
+    """All rows of the latest calendar month of each key.
+
+    The latest months come from a pass over two columns that combines on the map side and
+    leaves one row per key. What follows, medians above all, then works on one month instead
+    of the whole history.
+    """
+    last = settle(df.groupBy(key).agg(F.max(month_of(F.col(date))).alias("_last")))
+    joined = df.join(broadcast_checked(last), key)
+    return joined.filter(month_of(F.col(date)) == F.col("_last")).drop("_last")
+
+
 def argmax_by(df: DataFrame, key: str, value: str, tie: Sequence[Order] = ()) -> DataFrame:
     """The row with the largest ``value`` per key, ties by ``tie``."""
     ties = [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie]

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "areascore", master: str | None = None, **conf: str) -> SparkSession:
@@ -47,3 +48,9 @@ def settle(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
+    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the join to the
+    planner. ``df`` should be settled or cheap, since its rows are counted up to the limit."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -11,7 +11,7 @@ from areascore.functions.scores import confidence, minmax_score
 from areascore.operators.aggregates import count_by, grouped_medians
 from areascore.operators.joins import map_features, restrict_to
 from areascore.operators.reshape import month_columns, pivot_metrics, unpivot_months
-from areascore.operators.windows import latest_per, with_global_stats
+from areascore.operators.windows import latest_month_rows, latest_per, with_global_stats
 from areascore.plans import intermediate, marts, staging
 from areascore.plans.reports import reweight
 from areascore.session import settle
@@ -42,10 +42,11 @@ def combined(spark, sf):
     """One row per area with the latest of each feed, settled because scoring reads it twice."""
     people = demographics(spark, sf)
     permits = staging.stg_permits(s.permits(spark, sf, s.PERMIT_TOP), s.regions(spark, sf))
+    latest = latest_month_rows(s.market(spark, sf, s.MARKET_TOP), "zip_code", "period_end")
     return settle(
         marts.combine_signals(
             marts.geography(people),
-            intermediate.market_activity(s.market(spark, sf, s.MARKET_TOP)),
+            intermediate.market_activity(latest),
             intermediate.crime_index(staged_crime(spark, sf, s.CRIME_AREAS), people, floor_round),
             intermediate.permit_activity(permits, money_scale=2),
         )
