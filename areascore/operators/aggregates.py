@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from areascore.functions.numbers import Rounding
 from areascore.functions.times import month_of
+from areascore.session import settle
 
 # A group of at most this many rows is sorted in one task as an array of doubles. Larger groups
 # take the bracketed way below, which never brings a group together.
@@ -120,9 +121,11 @@ def _hot_medians(
     near = long.join(_hinted(ranks, fits), _same(group)).filter(
         F.col("_value") <= F.col("_bracket")[1]
     )
-    counts = near.groupBy(
-        *group, F.when(F.col("_value") >= F.col("_bracket")[0], F.col("_value")).alias("_value"), "_n"
-    ).agg(F.count(F.lit(1)).alias("_c"))
+    inside_bracket = F.when(F.col("_value") >= F.col("_bracket")[0], F.col("_value"))
+    # A small share of the values, read three times below.
+    counts = settle(
+        near.groupBy(*group, inside_bracket.alias("_value"), "_n").agg(F.count(F.lit(1)).alias("_c"))
+    )
 
     cuts = _prefixed(
         counts.dropna(subset=["_value"])
@@ -286,7 +289,10 @@ def count_loss(df: DataFrame, rules: Mapping[str, Column], rounding: Rounding =
 def observe_loss(
     df: DataFrame, rules: Mapping[str, Column], name: str | None = None
 ) -> tuple[DataFrame, Observation]:
-    """The rows that pass all rules, with the loss counted in the same pass."""
+    """The rows that pass all rules, with the loss counted in the same pass.
+
+    For reports only: a stage that is repeated after an executor is lost counts again.
+    """
     observation = Observation(name) if name else Observation()
     kept = df.observe(observation, *_loss_counts(rules))
     for keep in rules.values():

@@ -17,7 +17,7 @@ from areascore.functions import fixed_values as fixed
 from areascore.functions.numbers import null_if_sentinel, to_double
 from areascore.functions.text import area_from_label, code_text, concat_fips, zip_from_float_text
 from areascore.functions.times import from_epoch_ms_local, from_epoch_ms_seconds, iso_date, lookback_bound
-from areascore.operators.aggregates import high_water, observe_loss
+from areascore.operators.aggregates import observe_loss
 from areascore.operators.filters import (
     drop_all_null,
     drop_null,
@@ -33,7 +33,6 @@ from areascore.operators.filters import (
 from areascore.operators.reshape import stamp, stamp_ingested, unpivot_months
 from areascore.plans.staging import MARKET_MEASURES
 from areascore.schemas import CRIME_ATTRIBUTES, PERMIT_ATTRIBUTES, PROPERTY_ATTRIBUTES, RAW_TABLES
-from areascore.session import settle
 from areascore.sources.files import (
     assert_no_error_pages,
     read_header_matrix,
@@ -63,6 +62,7 @@ CENSUS_CODES = {
     "B01003_001E": "total_population",
 }
 TIME_FORMAT = "%Y-%m-%dT%H:%M:%S"
+DAY_FORMAT = "%Y-%m-%d"
 
 
 # -- staging of landed payloads ---------------------------------------------------------------
@@ -210,11 +210,6 @@ def stage_property(raw: DataFrame, now: datetime | None = None) -> DataFrame:
 # -- jobs -------------------------------------------------------------------------------------
 
 
-def _max_text(df: DataFrame, col: str, pattern: str) -> str | None:
-    top = high_water(df, col).head()[0]
-    return None if top is None else top.strftime(pattern)
-
-
 def ingest_home_values(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
     """Wide monthly files, one folder per metric. Each metric has its own watermark, so a metric
     that lags is not skipped, and replaces only its own rows of a period."""
@@ -225,35 +220,30 @@ def ingest_home_values(spark: SparkSession, landing_dir: str, table_dir: str, st
             continue
         source = f"home_values/{metric}"
         watermark, _ = get_state(spark, state, source)
-        staged = stage_home_values(read_wide_csv(spark, folder), metric)
-        new = settle(newer_than(staged, "period_month", watermark))
-        top = _max_text(new, "period_month", "%Y-%m-%d")
-        if top is None:
-            log.info("%s: up to date", source)
-            continue
-        written += write_replace_keys(
+        new = newer_than(stage_home_values(read_wide_csv(spark, folder), metric), "period_month", watermark)
+        done = write_replace_keys(
             spark, f"{table_dir}/home_values", new, "period_month", RAW_TABLES["home_values"], "metric_type"
         )
-        set_state(spark, state, source, top)
+        if done.rows:
+            set_state(spark, state, source, done.top.strftime(DAY_FORMAT))
+        written += done.rows
     return written
 
 
 def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state: str, etag=KEEP) -> int:
     """Gzip tab-separated market file. ``etag`` is stored even when no period is new."""
     watermark, _ = get_state(spark, state, "market")
-    one_state = spread(keep_state(read_market_tsv(spark, landing_dir).select(
+    listed = read_market_tsv(spark, landing_dir).select(
         "REGION", "STATE_CODE", "PERIOD_END", *(c.upper() for c in MARKET_MEASURES)
-    ), "STATE_CODE", fixed.STATE_CODE))
+    )
+    one_state = spread(keep_state(listed, "STATE_CODE", fixed.STATE_CODE))
     counted, loss = observe_loss(one_state, market_loss_rules())
-    new = settle(newer_than(stage_market(counted), "period_end", watermark))
-    log.info("market: %s", loss.get)
-    top = _max_text(new, "period_end", "%Y-%m-%d")
-    if top is None:
-        set_state(spark, state, "market", etag=etag)
-        return 0
-    written = write_replace_keys(spark, f"{table_dir}/market", new, "period_end", RAW_TABLES["market"])
-    set_state(spark, state, "market", top, etag)
-    return written
+    new = newer_than(stage_market(counted), "period_end", watermark)
+    done = write_replace_keys(spark, f"{table_dir}/market", new, "period_end", RAW_TABLES["market"])
+    if done.rows:
+        log.info("market: %s", loss.get)
+    set_state(spark, state, "market", done.top.strftime(DAY_FORMAT) if done.rows else KEEP, etag)
+    return done.rows
 
 
 def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> dict[str, int]:
@@ -271,14 +261,11 @@ def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state:
         if not path_exists(spark, folder):
             continue
         fresh = newer_versions(read_header_matrix(spark, folder, columns), "vintage", watermark)
-        new = settle(stage(fresh.filter(F.col("vintage").isin(fixed.CENSUS_VINTAGES))))
-        top = high_water(new, "vintage_year").head()[0]
-        if top is None:
-            continue
-        tops.append(top)
-        counts[part] = write_replace_partitions(
-            spark, f"{table_dir}/{table}", new, "vintage_year", RAW_TABLES[table]
-        )
+        new = stage(fresh.filter(F.col("vintage").isin(fixed.CENSUS_VINTAGES)))
+        done = write_replace_partitions(spark, f"{table_dir}/{table}", new, "vintage_year", RAW_TABLES[table])
+        counts[part] = done.rows
+        if done.rows:
+            tops.append(done.top)
     if tops:
         set_state(spark, state, "census", str(max(tops)))
     return counts
@@ -294,13 +281,11 @@ def load_range(
     """
     watermark, _ = get_state(spark, state, source)
     bound = lookback_bound(watermark, *fixed.LOOKBACK[source])
-    new = settle(from_bound(staged, ts_col, bound))
-    top = _max_text(new, ts_col, pattern)
-    if top is None:
-        return 0
-    written = write_replace_from(spark, f"{table_dir}/{source}", new, ts_col, bound, RAW_TABLES[source])
-    set_state(spark, state, source, top)
-    return written
+    new = from_bound(staged, ts_col, bound)
+    done = write_replace_from(spark, f"{table_dir}/{source}", new, ts_col, bound, RAW_TABLES[source])
+    if done.rows:
+        set_state(spark, state, source, done.top.strftime(pattern))
+    return done.rows
 
 
 def ingest_crime(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
@@ -310,7 +295,8 @@ def ingest_crime(spark: SparkSession, landing_dir: str, table_dir: str, state: s
     written = load_range(
         spark, "crime", _typed_crime(kept, None), "incident_occurred", table_dir, state, TIME_FORMAT
     )
-    log.info("crime: %s", loss.get)
+    if written:
+        log.info("crime: %s", loss.get)
     return written
 
 
@@ -323,11 +309,11 @@ def ingest_permits(spark: SparkSession, landing_dir: str, table_dir: str, state:
 
 def ingest_rates(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
     staged = stage_rates(read_observations(spark, landing_dir))
-    return load_range(spark, "rates", staged, "observation_date", table_dir, state, "%Y-%m-%d")
+    return load_range(spark, "rates", staged, "observation_date", table_dir, state, DAY_FORMAT)
 
 
 def ingest_property(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
     pages = read_pages(spark, landing_dir, PROPERTY_ATTRIBUTES)
     assert_no_error_pages(pages)
     staged = valid_sales(stage_property(unwrap_features(pages)))
-    return load_range(spark, "property", staged, "own_date", table_dir, state, "%Y-%m-%d")
+    return load_range(spark, "property", staged, "own_date", table_dir, state, DAY_FORMAT)

@@ -16,6 +16,8 @@ def build_session(app_name: str = "areascore", master: str | None = None, **conf
         "spark.sql.session.timeZone": "UTC",
         # Sorted medians keep one array per group; a task's groups hold no more rows than the task.
         "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
+        # Checkpoint files go when the frame that wrote them is no longer used.
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
     }
     builder = SparkSession.builder.appName(app_name)

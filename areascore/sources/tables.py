@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import uuid
-from datetime import datetime
+from datetime import date, datetime
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -100,79 +101,100 @@ def replace_from(target: DataFrame, new: DataFrame, ts_col: str, cutoff: str) ->
     return target.filter(F.col(ts_col).isNull() | (F.col(ts_col) < bound)).unionByName(new)
 
 
-def _overwrite_months(df: DataFrame, path: str) -> int:
+class Written(NamedTuple):
+    """Rows of a load and the highest value of its time column, both read from what was stored."""
+
+    rows: int
+    top: date | datetime | int | None
+
+
+def _overwrite_months(df: DataFrame, path: str) -> None:
     """Write the month folders that ``df`` has rows for; other folders stay.
 
     Rebalancing gathers small months and splits a hot one over several tasks and files.
     """
-    seen = Observation()
     (
-        df.observe(seen, F.count(F.lit(1)).alias("n"))
-        .hint("rebalance", MONTH)
+        df.hint("rebalance", MONTH)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(MONTH)
         .parquet(path)
     )
-    return seen.get["n"]
+
+
+def _months(df: DataFrame) -> list:
+    """Month folders of a table, a handful per year."""
+    return sorted(row[0] for row in df.select(MONTH).distinct().collect() if row[0] is not None)
+
+
+def _measured(df: DataFrame, col: str) -> Written:
+    return Written(*df.agg(F.count(F.lit(1)), F.max(col)).head())
 
 
 def write_replace_keys(
     spark: SparkSession, path: str, new: DataFrame, key: str, schema: StructType, scope: str | None = None
-) -> int:
-    """Replace the rows whose ``key`` date occurs in ``new``; returns the rows of ``new``.
+) -> Written:
+    """Replace the rows whose ``key`` date occurs in ``new``.
 
-    Only month folders that hold one of those dates are read and rewritten.
+    Only month folders that hold one of those dates are read and rewritten. ``new`` is settled,
+    since its dates, its rows and its measures are needed; the merged rows are settled only when
+    there is something to merge with.
     """
-    ensure_table(spark, path, partitioned_schema(schema), MONTH)
+    full = partitioned_schema(schema)
+    ensure_table(spark, path, full, MONTH)
     new = settle(new.select(*schema.names).withColumn(MONTH, month_of(F.col(key))))
-    months = [row[0] for row in new.select(MONTH).distinct().collect()]
-    if not months:
-        return 0
-    table = spark.read.schema(partitioned_schema(schema)).parquet(path)
-    touched = table.filter(F.col(MONTH).isin(months))
-    _overwrite_months(settle(replace_keys(touched, new, key, scope)), path)
-    return new.count()
+    measured = _measured(new, key)
+    if measured.rows == 0:
+        return measured
+    touched = spark.read.schema(full).parquet(path).filter(F.col(MONTH).isin(_months(new)))
+    _overwrite_months(settle(replace_keys(touched, new, key, scope)) if _months(touched) else new, path)
+    return measured
 
 
-def write_replace_partitions(spark: SparkSession, path: str, new: DataFrame, key: str, schema: StructType) -> int:
+def write_replace_partitions(spark: SparkSession, path: str, new: DataFrame, key: str, schema: StructType) -> Written:
     """Replace whole ``key`` partitions, as for yearly vintages; nothing old is read."""
-    seen = Observation()
-    (
-        new.select(*schema.names)
-        .observe(seen, F.count(F.lit(1)).alias("n"))
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(key)
-        .parquet(path)
-    )
-    return seen.get["n"]
+    new = settle(new.select(*schema.names))
+    measured = _measured(new, key)
+    if measured.rows:
+        (
+            new.hint("rebalance", key)
+            .write.mode("overwrite")
+            .option("partitionOverwriteMode", "dynamic")
+            .partitionBy(key)
+            .parquet(path)
+        )
+    return measured
 
 
 def write_replace_from(
     spark: SparkSession, path: str, new: DataFrame, ts_col: str, cutoff: str, schema: StructType
-) -> int:
-    """Replace everything at or after ``cutoff`` by ``new``; returns the rows of ``new``.
+) -> Written:
+    """Replace everything at or after ``cutoff`` by ``new``, whose rows all lie there.
 
     Months before the cutoff are neither read nor rewritten. Rows of the cutoff's own month
     that lie before it are kept. Later months without a new row are emptied, which an overwrite
-    of only the incoming partitions would miss. The rows to write are settled in the shared
-    folder first, since they come partly from the folders being overwritten; a rerun with the
-    same input gives the same table.
+    of only the incoming partitions would miss. Rows to write are settled in the shared folder
+    first when they come partly from the folders being overwritten; a first load is written
+    straight away. No new rows change nothing. A rerun with the same input gives the same table.
     """
-    ensure_table(spark, path, partitioned_schema(schema), MONTH)
     full = partitioned_schema(schema)
+    ensure_table(spark, path, full, MONTH)
+    bound = F.lit(cutoff).cast(schema[ts_col].dataType)
     first_month = F.trunc(F.lit(cutoff).cast("timestamp_ntz"), "MM")
     tail = spark.read.schema(full).parquet(path).filter(F.col(MONTH) >= first_month)
     incoming = new.select(*schema.names).withColumn(MONTH, month_of(F.col(ts_col)))
+    before = _months(tail)
+    if not before:
+        _overwrite_months(incoming, path)
+        return _measured(spark.read.schema(full).parquet(path).filter(F.col(MONTH) >= first_month), ts_col)
     settled = settle(replace_from(tail, incoming, ts_col, cutoff))
-    before = {row[0] for row in tail.select(MONTH).distinct().collect()}
-    after = {row[0] for row in settled.select(MONTH).distinct().collect()}
-    for month in sorted(before - after):
+    measured = _measured(settled.filter(F.col(ts_col) >= bound), ts_col)
+    if measured.rows == 0:
+        return measured
+    for month in sorted(set(before) - set(_months(settled))):
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
     _overwrite_months(settled, path)
-    bound = F.lit(cutoff).cast(schema[ts_col].dataType)
-    return settled.filter(F.col(ts_col) >= bound).count()
+    return measured
 
 
 def get_state(spark: SparkSession, path: str, source: str) -> tuple[str | None, str | None]:

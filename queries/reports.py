@@ -31,11 +31,12 @@ from queries.registry import query
     everyone AS (SELECT period_month, median(median_dom) AS all_median_dom FROM activity GROUP BY 1)
     SELECT a.period_month, median_dom, all_median_dom
     FROM activity a JOIN everyone e ON a.period_month = e.period_month
-    WHERE zip_code = 7 AND median_dom IS NOT NULL AND all_median_dom IS NOT NULL"""
+    WHERE zip_code = (SELECT min(zip_code) FROM activity)
+      AND median_dom IS NOT NULL AND all_median_dom IS NOT NULL"""
 )
 def area_vs_all_series(spark, sf):
     activity = settle(intermediate.market_activity(s.market(spark, sf)).select("zip_code", "period_month", "median_dom"))
-    return against_all(activity, 7, "median_dom")
+    return against_all(activity, activity.agg(F.min("zip_code")).head()[0], "median_dom")
 
 
 _LATEST = ["median_inventory", "median_sale_price", "zhvi", "zori", "zhvf"]

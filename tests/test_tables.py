@@ -55,7 +55,7 @@ def test_replace_from_keeps_what_lies_before(spark):
 
 
 def test_write_replace_from(spark, tmp_path):
-    path, add = str(tmp_path / "crime"), lambda new, cut: tables.write_replace_from(spark, path, new, "incident_occurred", cut, CRIME)
+    path, add = str(tmp_path / "crime"), lambda new, cut: tables.write_replace_from(spark, path, new, "incident_occurred", cut, CRIME).rows
     stored = lambda: rows(spark.read.parquet(path), "incident_occurred", "incident_type")
     first = crime(spark, datetime(2024, 1, 5), datetime(2024, 1, 20, 12), datetime(2024, 2, 3), datetime(2024, 4, 1))
     assert add(first, "2010-01-01T00:00:00") == 4
@@ -86,7 +86,7 @@ def test_write_replace_keys(spark, tmp_path):
     path = str(tmp_path / "values")
     make = lambda *cells: spark.createDataFrame([(z, "TN", None, None, d, v, m, NOW) for z, d, v, m in cells], MARKET)
     jan, jan2, feb = date(2024, 1, 31), date(2024, 1, 15), date(2024, 2, 29)
-    put = lambda df: tables.write_replace_keys(spark, path, df, "period_month", MARKET, "metric_type")
+    put = lambda df: tables.write_replace_keys(spark, path, df, "period_month", MARKET, "metric_type").rows
     assert put(make(("1", jan, 1.0, "ZHVI"), ("1", jan2, 2.0, "ZHVI"), ("1", feb, 3.0, "ZHVI"))) == 3
     assert put(make(("1", jan, 4.0, "ZORI"))) == 1
     assert put(make(("2", jan, 5.0, "ZHVI"))) == 1
