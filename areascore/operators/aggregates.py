@@ -42,17 +42,20 @@ def grouped_medians(
     keys: Sequence[str],
     medians: Mapping[str, str],
     rows: str | None = None,
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Exact interpolated medians per group, nulls skipped; optionally the row count too.
 
     ``medians`` maps output name to input column. Group sizes are checked first, by a count that
     combines on the map side and reads only the keys. Groups within ``hot_rows`` are sorted
-    whole; the others, if there are any, are found without being brought together.
+    whole; the others, if there are any, are found without being brought together. A caller
+    that has already counted and found no large group passes ``hot_rows=None``.
     """
     keys = list(keys)
     inputs = sorted(set(medians.values()))
     slim = df.select(*keys, *(F.col(c).cast("double").alias(c) for c in inputs))
+    if hot_rows is None:
+        return _sorted_medians(slim, keys, medians, rows)
     sizes = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
     hot = sizes.filter(F.col("_rows") > hot_rows)
     found = hot.limit(BROADCAST_GROUPS + 1).count()
@@ -185,7 +188,7 @@ def monthly_medians(
     date: str,
     cols: Mapping[str, str],
     rows: str = "week_count",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Medians and row count per area and calendar month."""
     monthly = df.withColumn("period_month", month_of(F.col(date)))

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from areascore.functions.fixed_values import ADMINISTRATIVE, SCORING_VINTAGE
+from areascore.functions.fixed_values import (
+    ADMINISTRATIVE,
+    DEFAULT_CATEGORY,
+    INCIDENT_PATTERNS,
+    SCORING_VINTAGE,
+)
 from areascore.functions.numbers import Rounding, ratio
+from areascore.functions.text import classify
 from areascore.functions.times import year_of
 from areascore.operators.aggregates import HOT_ROWS, count_and_sum, count_by, monthly_medians
 from areascore.operators.filters import drop_null, exclude_value, pin_vintage
@@ -40,25 +46,34 @@ def zip_demographics(
     )
 
 
-def market_activity(market: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+def market_activity(market: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
     return monthly_medians(market, "zip_code", "period_end", MARKET_MEDIANS, hot_rows=hot_rows)
 
 
-def _criminal(crime: DataFrame) -> DataFrame:
-    return exclude_value(crime, "crime_category", ADMINISTRATIVE).select(
-        "zip_code", year_of(F.col("incident_occurred")).alias("incident_year"), "crime_category"
-    )
+def _criminal_counts(crime: DataFrame, keys: list[str]) -> DataFrame:
+    """Incidents per ``keys`` without the administrative ones.
+
+    The category depends on the offence text alone, so incidents are first counted per area,
+    year and text, and the pattern lists are matched once per such count, not once per incident.
+    """
+    per_text = count_by(
+        crime.withColumn("incident_year", year_of(F.col("incident_occurred"))),
+        ["zip_code", "incident_year", "incident_type"],
+        "_n",
+    ).withColumn("crime_category", classify(F.col("incident_type"), INCIDENT_PATTERNS, DEFAULT_CATEGORY))
+    criminal = exclude_value(per_text, "crime_category", ADMINISTRATIVE)
+    return criminal.groupBy(*keys).agg(F.sum("_n").alias("incident_count"))
 
 
 def crime_index(crime: DataFrame, demographics: DataFrame, rounding: Rounding = F.round) -> DataFrame:
     """Yearly incidents per area and per 1,000 residents. Counted before the join."""
-    counts = count_by(_criminal(crime), ["zip_code", "incident_year"], "incident_count")
+    counts = _criminal_counts(crime, ["zip_code", "incident_year"])
     return with_population(counts, demographics, rounding=rounding)
 
 
 def crime_by_category(crime: DataFrame, demographics: DataFrame, rounding: Rounding = F.round) -> DataFrame:
-    keys = ["zip_code", "incident_year", "crime_category"]
-    return with_population(count_by(_criminal(crime), keys, "incident_count"), demographics, rounding=rounding)
+    counts = _criminal_counts(crime, ["zip_code", "incident_year", "crime_category"])
+    return with_population(counts, demographics, rounding=rounding)
 
 
 def permit_activity(permits: DataFrame, money_scale: int | None = None) -> DataFrame:

@@ -376,10 +376,10 @@ def weekly_counts(spark, sf):
 
 
 @query(
-    """SELECT n_name AS source_name FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_acctbal > 9000)"""
+    """SELECT p_partkey AS source_name FROM part
+       WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity >= 50)"""
 )
 def seed_state_if_absent(spark, sf):
-    nation, supplier = s.load(spark, sf, "nation"), s.load(spark, sf, "supplier")
-    rich = supplier.filter("s_acctbal > 9000").select(F.col("s_nationkey").alias("n_nationkey"))
-    present = nation.join(rich, "n_nationkey", "left_semi").select(F.col("n_name").alias("source_name"))
-    return init_state(nation.select(F.col("n_name").alias("source_name")), present)
+    """Parts without a full-sized sale; the sold ones stand for sources that have a state row."""
+    known = s.load(spark, sf, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("source_name"))
+    return init_state(s.load(spark, sf, "part").select(F.col("p_partkey").alias("source_name")), known)

@@ -5,10 +5,11 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from areascore.functions.display import badge, display_money, score_channels
-from areascore.functions.fixed_values import SIGNALS
+from areascore.functions.fixed_values import DEFAULT_CATEGORY, INCIDENT_PATTERNS, SIGNALS
 from areascore.functions.numbers import exact_mean, floor_round
 from areascore.functions.scores import confidence, minmax_score
-from areascore.operators.aggregates import count_by, grouped_medians
+from areascore.functions.text import classify
+from areascore.operators.aggregates import HOT_ROWS, count_by, grouped_medians, monthly_mean
 from areascore.operators.joins import map_features, restrict_to
 from areascore.operators.reshape import month_columns, pivot_metrics, unpivot_months
 from areascore.operators.windows import latest_month_rows, latest_per, with_global_stats
@@ -40,13 +41,14 @@ def monthly(spark, sf):
 
 def combined(spark, sf):
     """One row per area with the latest of each feed, settled because scoring reads it twice."""
-    people = demographics(spark, sf)
+    people = settle(demographics(spark, sf))
     permits = staging.stg_permits(s.permits(spark, sf, s.PERMIT_TOP), s.regions(spark, sf))
-    latest = latest_month_rows(s.market(spark, sf, s.MARKET_TOP), "zip_code", "period_end")
+    latest, largest = latest_month_rows(s.market(spark, sf, s.MARKET_TOP), "zip_code", "period_end")
+    hot_rows = None if largest <= HOT_ROWS else HOT_ROWS
     return settle(
         marts.combine_signals(
             marts.geography(people),
-            intermediate.market_activity(latest),
+            intermediate.market_activity(latest, hot_rows),
             intermediate.crime_index(staged_crime(spark, sf, s.CRIME_AREAS), people, floor_round),
             intermediate.permit_activity(permits, money_scale=2),
         )
@@ -124,8 +126,6 @@ def wide_months_to_long(spark, sf):
 
 @query(f"{m.with_(s.RATES, m.MONTHLY_RATE)} SELECT * FROM monthly_rate")
 def rate_monthly_mean(spark, sf):
-    from areascore.operators.aggregates import monthly_mean
-
     rates = staging.stg_rates(s.rates(spark, sf))
     return monthly_mean(rates, "observation_date", "rate", 2, "avg_mortgage_rate", exact_mean, floor_round)
 
@@ -139,9 +139,6 @@ def rate_monthly_mean(spark, sf):
     SELECT 'part', {m.category_sql("concat(p_type, ' ', p_name)")}, count(*) FROM part GROUP BY 2"""
 )
 def classify_incidents(spark, sf):
-    from areascore.functions.fixed_values import DEFAULT_CATEGORY, INCIDENT_PATTERNS
-    from areascore.functions.text import classify
-
     events = s.load(spark, sf, "events")
     sources = {
         "event": events.select(F.col("event_type").alias("t")),
@@ -160,9 +157,6 @@ def classify_incidents(spark, sf):
 
 @query(f"SELECT doc_id, {m.category_sql('text')} AS category FROM documents")
 def classify_documents(spark, sf):
-    from areascore.functions.fixed_values import DEFAULT_CATEGORY, INCIDENT_PATTERNS
-    from areascore.functions.text import classify
-
     return s.load(spark, sf, "documents").select(
         "doc_id", classify(F.col("text"), INCIDENT_PATTERNS, DEFAULT_CATEGORY).alias("category")
     )

@@ -15,14 +15,15 @@ from areascore.operators.aggregates import (
     median_by,
 )
 from areascore.operators.filters import positive_only
-from areascore.operators.joins import against_all
+from areascore.operators.joins import against_all, with_supply
 from areascore.operators.ordering import top_n
 from areascore.operators.reshape import unpivot_freshness
+from areascore.operators.windows import latest_per
 from areascore.plans import intermediate, reports
 from areascore.session import settle
 from queries import model_sql as m
 from queries import standins as s
-from queries.models import combined, demographics, monthly, staged_crime
+from queries.models import combined, demographics, monthly, permit_activity, staged_crime
 from queries.registry import query
 
 
@@ -87,8 +88,6 @@ def yearly_median_rate(spark, sf):
     FROM latest"""
 )
 def kpi_summary(spark, sf):
-    from areascore.operators.windows import latest_per
-
     activity = intermediate.market_activity(s.market(spark, sf))
     latest = settle(
         latest_per(activity, ["zip_code"], "period_month").select("zip_code", "median_sale_price", "median_dom")
@@ -112,8 +111,6 @@ def kpi_summary(spark, sf):
     ORDER BY permit_count DESC, zip_code, permit_year LIMIT 20"""
 )
 def top_n_areas(spark, sf):
-    from queries.models import permit_activity
-
     counts = positive_only(permit_activity(spark, sf), "permit_count")
     top = top_n(counts, "permit_count", 20, ["zip_code", "permit_year"])
     return top.select("zip_code", "permit_year", "permit_count")
@@ -168,8 +165,6 @@ _INVENTORY = ["median_inventory", "computed_months_of_supply", "median_new_listi
            median(median_new_listings) AS new_listings FROM latest"""
 )
 def inventory_kpis(spark, sf):
-    from areascore.operators.joins import with_supply
-
     activity = with_supply(intermediate.market_activity(s.market(spark, sf)))
     latest = settle(latest_nonnull(activity, "zip_code", "period_month", _INVENTORY))
     figures = kpis(

@@ -238,7 +238,9 @@ def test_argmax(spark):
 
 def test_latest_month_rows(spark):
     df = spark.createDataFrame([("1", date(2024, 1, 5)), ("1", date(2024, 2, 5)), ("1", date(2024, 2, 9)), ("2", date(2023, 1, 1))], "z string, d date")
-    assert rows(windows.latest_month_rows(df, "z", "d")) == [("1", date(2024, 2, 5)), ("1", date(2024, 2, 9)), ("2", date(2023, 1, 1))]
+    latest, largest = windows.latest_month_rows(df, "z", "d")
+    assert largest == 2 and windows.latest_month_rows(df.limit(0), "z", "d")[1] == 0
+    assert rows(latest) == [("1", date(2024, 2, 5)), ("1", date(2024, 2, 9)), ("2", date(2023, 1, 1))]
 
 
 def test_global_stats_need_no_join_and_no_single_task(spark):
