@@ -259,8 +259,8 @@ def publish(df: DataFrame, layer: str, name: str) -> DataFrame:
 
 
 def write_seed(df: DataFrame, path: str) -> None:
-    """One small CSV with a header."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path)
+    """CSV with a header; a list that fits one task comes out as one file."""
+    df.write.mode("overwrite").option("header", True).csv(path)
 
 
 def append_audit(

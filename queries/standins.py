@@ -23,8 +23,15 @@ OFFENCES = {
 METRIC_OF_STATUS = {"F": "ZHVI", "O": "ZORI", "P": "ZHVF"}
 
 
+_SCHEMAS: dict = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    """A given table; its schema is read from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
 
 
 def chosen(col: str, table: dict[str, str]):
