@@ -64,8 +64,11 @@ CONTRACTS: dict[str, dict] = {
 
 
 def check_models(models: Mapping[str, DataFrame]) -> DataFrame:
-    """Results of all declared checks as (check, violations, status) rows."""
-    return union_all([run_checks(name, models[name], **rules) for name, rules in CONTRACTS.items()])
+    """Results of the declared checks of ``models`` as (check, violations, status) rows.
+
+    A check may read its model more than once; hand in published tables or settled frames.
+    """
+    return union_all([run_checks(name, df, **CONTRACTS[name]) for name, df in models.items()])
 
 
 def check_sources(raw: Mapping[str, DataFrame], now: datetime | str) -> DataFrame:

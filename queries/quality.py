@@ -18,6 +18,10 @@ from areascore.operators.checks import (
     run_checks,
 )
 from areascore.operators.reshape import union_all
+from areascore.plans import intermediate, marts, staging
+from areascore.plans.contracts import CONTRACTS, check_models
+from areascore.session import settle
+from queries import model_sql as m
 from queries import standins as s
 from queries.registry import query
 
@@ -148,3 +152,88 @@ def area_coverage(spark, sf):
     nation, supplier = s.load(spark, sf, "nation"), s.load(spark, sf, "supplier")
     rich = supplier.filter("s_acctbal > 8000").select(F.col("s_nationkey").alias("zip_code"))
     return coverage(rich, nation.select(F.col("n_nationkey").alias("zip_code")), "zip_code")
+
+
+# Model -> its relation on the SQL side.
+_RELATIONS = {
+    "stg_home_values": "home_values",
+    "stg_market": "market",
+    "stg_crime": "staged_crime",
+    "stg_rates": "daily_rates",
+    "stg_permits": "staged_permits",
+    "zip_demographics": "demographics",
+    "market_activity": "activity",
+    "crime_index": "crime_index",
+    "crime_by_category": "by_category",
+    "permit_activity": "permit_activity",
+    "monthly_fact": "monthly",
+    "geography": "demographics",
+    "opportunity_score": "scored",
+}
+_DAILY_RATES = """
+daily_rates AS (
+  SELECT * FROM rates QUALIFY row_number() OVER (PARTITION BY observation_date ORDER BY rate) = 1)"""
+
+
+def _contract_sql() -> str:
+    """The declared checks of every model as one union of counts."""
+    parts = []
+
+    def add(label: str, expression: str, relation: str) -> None:
+        parts.append(f"SELECT '{label}' AS \"check\", {expression} AS violations FROM {relation}")
+
+    for model, relation in _RELATIONS.items():
+        rules = CONTRACTS[model]
+        for col in rules.get("not_null", ()):
+            add(f"{model}.{col} not null", f"count(*) FILTER (WHERE {col} IS NULL)", relation)
+        for col, values in rules.get("accepted", {}).items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            add(f"{model}.{col} accepted", f"count(*) FILTER (WHERE {col} NOT IN ({listed}))", relation)
+        for col, (low, high) in rules.get("ranges", {}).items():
+            add(f"{model}.{col} range", f"count(*) FILTER (WHERE {col} < {low} OR {col} > {high})", relation)
+        for col, budget in rules.get("null_budgets", {}).items():
+            nulls = f"count(*) FILTER (WHERE {col} IS NULL)"
+            add(f"{model}.{col} null budget", f"CASE WHEN {nulls} > {budget} THEN {nulls} ELSE 0 END", relation)
+        for col in rules.get("unique", ()):
+            repeated = f"(SELECT 1 FROM {relation} WHERE {col} IS NOT NULL GROUP BY {col} HAVING count(*) > 1)"
+            add(f"{model}.{col} unique", "count(*)", repeated)
+        for keys in rules.get("grains", ()):
+            repeated = f"(SELECT 1 FROM {relation} GROUP BY {', '.join(keys)} HAVING count(*) > 1)"
+            add(f"{model}.{'+'.join(keys)} grain", "count(*)", repeated)
+    chain = m.with_(
+        *m.SCORE_CHAIN, s.HOME_VALUES, s.RATES, _DAILY_RATES, m.PIVOT, m.MONTHLY_RATE, m.MONTHLY, m.BY_CATEGORY
+    )
+    counted = " UNION ALL ".join(parts)
+    return f"""{chain} SELECT "check", violations, CASE WHEN violations = 0 THEN 'pass' ELSE 'fail' END AS status
+    FROM ({counted})"""
+
+
+@query(_contract_sql())
+def declared_checks(spark, sf):
+    """The declared checks of the models on the stand-ins. Area-grain models are settled, as the
+    tables they would be, since a check may read its model more than once."""
+    regions = s.regions(spark, sf)
+    market = s.market(spark, sf, s.MARKET_TOP)
+    crime = staging.stg_crime(s.crime(spark, sf, s.CRIME_AREAS), regions)
+    rates = staging.stg_rates(s.rates(spark, sf))
+    permits = staging.stg_permits(s.permits(spark, sf, s.PERMIT_TOP), regions)
+    people = settle(intermediate.zip_demographics(s.census(spark, sf), regions, rounding=floor_round))
+    activity = settle(intermediate.market_activity(market))
+    index = settle(intermediate.crime_index(crime, people, floor_round))
+    issued = settle(intermediate.permit_activity(permits, money_scale=2))
+    models = {
+        "stg_home_values": s.home_values(spark, sf),
+        "stg_market": market,
+        "stg_crime": crime,
+        "stg_rates": rates,
+        "stg_permits": permits,
+        "zip_demographics": people,
+        "market_activity": activity,
+        "crime_index": index,
+        "crime_by_category": settle(intermediate.crime_by_category(crime, people, floor_round)),
+        "permit_activity": issued,
+        "monthly_fact": settle(marts.monthly_fact(activity, s.home_values(spark, sf), rates)),
+        "geography": marts.geography(people),
+        "opportunity_score": settle(marts.opportunity_score(people, activity, index, issued, floor_round)),
+    }
+    return check_models(models)
