@@ -200,7 +200,7 @@ def all_area_monthly(
     cols: Mapping[str, str],
     constants: Mapping[str, str] | None = None,
     month: str = "period_month",
-    hot_rows: int = HOT_ROWS,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """Medians over all areas per month; ``constants`` are the same for every area of a month."""
     out = grouped_medians(df, [month], cols, hot_rows=hot_rows)
@@ -210,7 +210,9 @@ def all_area_monthly(
     return out
 
 
-def median_by(df: DataFrame, key: str, col: str, out: str | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
+def median_by(
+    df: DataFrame, key: str, col: str, out: str | None = None, hot_rows: int | None = HOT_ROWS
+) -> DataFrame:
     """Median of the non-null values per key."""
     return grouped_medians(df.dropna(subset=[col]), [key], {out or col: col}, hot_rows=hot_rows)
 
@@ -253,7 +255,7 @@ def extreme_area(df: DataFrame, col: str, which: str, key: str = "zip_code") ->
     return F.coalesce(best["k"].cast("string"), F.lit("N/A"))
 
 
-def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]], hot_rows: int = HOT_ROWS) -> DataFrame:
+def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]], hot_rows: int | None = HOT_ROWS) -> DataFrame:
     """One row of key figures. A spec is an aggregate Column or ``("median", column)``."""
     medians = {name: spec[1] for name, spec in specs.items() if isinstance(spec, tuple)}
     plain = [spec.alias(name) for name, spec in specs.items() if not isinstance(spec, tuple)]

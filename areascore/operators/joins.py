@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from areascore.functions.display import display_money, score_rgba
 from areascore.functions.fixed_values import NEUTRAL_SCORE
 from areascore.functions.numbers import Rounding, divide, per_1k
-from areascore.operators.aggregates import grouped_medians
+from areascore.operators.aggregates import HOT_ROWS, grouped_medians
 
 
 def restrict_to(df: DataFrame, valid: DataFrame, key: str, df_key: str | None = None) -> DataFrame:
@@ -61,10 +61,10 @@ def against_all(
     col: str,
     key: str = "zip_code",
     month: str = "period_month",
-    hot_rows: int | None = None,
+    hot_rows: int | None = HOT_ROWS,
 ) -> DataFrame:
     """One area's monthly value next to the all-area median of the same month."""
-    everyone = grouped_medians(series, [month], {f"all_{col}": col}, **_hot(hot_rows))
+    everyone = grouped_medians(series, [month], {f"all_{col}": col}, hot_rows=hot_rows)
     return (
         series.filter(F.col(key) == zip_code)
         .select(month, col)
@@ -73,10 +73,6 @@ def against_all(
     )
 
 
-def _hot(hot_rows: int | None) -> dict[str, int]:
-    return {} if hot_rows is None else {"hot_rows": hot_rows}
-
-
 def map_features(
     features: DataFrame,
     scores: DataFrame,
