@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -29,17 +27,12 @@ def build_session(app_name: str = "areascore", master: str | None = None, **conf
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the cluster names; fall back to a temp folder in local mode only."""
+    """Use the shared folder the cluster names; where none is named, one below the warehouse."""
     context = spark.sparkContext
     if context.getCheckpointDir() is not None:
         return
     shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared:
-        context.setCheckpointDir(shared)
-    elif context.master.startswith("local"):
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="areascore-checkpoint-"))
-    else:
-        raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    context.setCheckpointDir(shared or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_checkpoints")
 
 
 def settle(df: DataFrame) -> DataFrame:

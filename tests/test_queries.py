@@ -1,7 +1,8 @@
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
 from compare import difference, open_tables
+from queries import ORACLES, QUERIES
 
 SF = "/root/testdata/sf0.001"
 
@@ -12,12 +13,12 @@ def db():
 
 
 def test_every_query_has_a_twin_and_no_twin_is_alone():
-    assert set(oracle_sql()) == set(queries())
+    assert set(ORACLES) == set(QUERIES)
 
 
-@pytest.mark.parametrize("name", list(queries()))
+@pytest.mark.parametrize("name", list(QUERIES))
 def test_query_equals_its_sql_twin(spark, db, name):
-    count, problem = difference(queries()[name](spark, SF), db, oracle_sql()[name])
+    count, problem = difference(QUERIES[name](spark, SF), db, ORACLES[name])
     assert problem is None and count > 0
 
 
