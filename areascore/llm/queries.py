@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from areascore.llm import bpe, langid, mixing, sharding, simhash
+from areascore.llm import bpe, langid, mixing, sharding, simhash, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -42,6 +42,11 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.predict(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.predict(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
