@@ -164,11 +164,12 @@ def near_duplicates(
     reach = components(links.select(F.col("node").alias("a"), F.col("root").alias("b")))
     reach = reach.withColumnRenamed("node", "_node")
     named = nodes.select("h1", "h2", "node", "n").join(direct, "node", "left")
-    named = named.join(reach, named["node"] == reach["_node"], "left").select(
+    # written, so that the last join reads two plain exchanges and a frequent vector can be split
+    named = settled(named.join(reach, named["node"] == reach["_node"], "left").select(
         F.col("h1").alias("_h1"), F.col("h2").alias("_h2"),
         (F.coalesce("_links", F.lit(0)) + F.col("n") - 1).alias("n_links"),
         F.coalesce("root", "node").alias("component_id"),
-    )
+    ))
     met = rows.select("vec_id", "h1", "h2").join(
         named, (F.col("h1") == F.col("_h1")) & (F.col("h2") == F.col("_h2")), "left"
     )

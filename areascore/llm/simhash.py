@@ -150,7 +150,8 @@ def near_duplicates(
     rooted = nodes.join(reach, nodes["fp"] == reach["node"]).select("fp", "least", "root")
     smallest = rooted.groupBy("root").agg(F.min("least").alias("least"))
     linked = rooted.select("fp", "root").join(smallest, "root").select("fp", F.col("least").alias("linked"))
-    ids = nodes.join(linked, "fp", "left").select("fp", F.coalesce("linked", "least").alias("component_id"))
+    # written, so that the last join reads two plain exchanges and a frequent fingerprint can be split
+    ids = settled(nodes.join(linked, "fp", "left").select("fp", F.coalesce("linked", "least").alias("component_id")))
     return marked.join(ids, "fp").select(
         "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
