@@ -23,8 +23,8 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the smallest key of each group of near-duplicates: five words to a shingle, fingerprints
-    within three bits."""
-    return simhash.representatives(docs, shingle=5)
+    within five bits. That stands for a similarity well over 0.8; a wider radius doubles the masks with each bit."""
+    return simhash.representatives(docs, shingle=5, radius=5)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
