@@ -103,11 +103,11 @@ def mix(
     repeated keys are ordered by size and digest, equal rows are interchangeable; an empty table gives no rows;
     other columns are ignored.
     """
-    digest = F.xxhash64(F.lit(seed), F.col(key))
+    digest = F.md5(F.concat_ws(":", F.lit(seed), F.col(key)))
     rows = settled(
         docs.select(
             F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
-            digest.alias("_draw"), F.xxhash64(F.col(text)).alias("_text"),
+            digest.alias("_draw"), F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")).alias("_text"),
         )
     )
     targets = settled(
@@ -150,7 +150,7 @@ def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", **o
         "doc_id", "source", "_text", "positions",
         F.row_number().over(same("doc_id", "source", "_text")).alias("_copy"),
     )
-    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).alias("_id"), F.col(source).alias("_source"), F.xxhash64(F.col(text)).alias("_digest"))
+    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).alias("_id"), F.col(source).alias("_source"), F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")).alias("_digest"))
     given = given.withColumn("_nth", F.row_number().over(same("_id", "_source", "_digest")))
     met = given.join(
         uses,

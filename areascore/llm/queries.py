@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, embeddings, langid, mixing, pii, quality, sharding, simhash, suffixes, toxicity
+from areascore.llm import bpe, embeddings, langid, mixing, pii, quality, sharding, simhash, sql, suffixes, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -19,13 +19,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def query(fn):
     QUERIES[fn.__name__] = fn
+    if fn.__name__ in sql.ORACLES:
+        ORACLES[fn.__name__] = sql.ORACLES[fn.__name__]
     return fn
 
 
 @query
 def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.order_by_position(mixing.mix(table(spark, sf_dir, "documents")))
-    return mixed.select("doc_id", "size", "source_size", "target", "taken", "positions")
+    # the time of the first use, rounded for the comparison with SQL
+    first = F.round(F.get("positions", F.lit(0)), 9).alias("position")
+    return mixed.select("doc_id", "size", "source_size", "target", "taken", first)
 
 
 @query
@@ -50,7 +54,7 @@ def op5_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.assess(table(spark, sf_dir, "documents"))
+    return quality.assess(table(spark, sf_dir, "documents")).drop("char_distance", "word_distance")
 
 
 @query
