@@ -12,12 +12,16 @@ from areascore.llm.common import settled
 SPACE = r"[\x20\x09-\x0D]"
 #: Characters that count as symbols. Fixed value.
 SYMBOLS = "#*$%&|<>"
-#: Classes of the characters in words; all others are one more class. Letters count without case, and
-#: upper-case letters once more.
+#: Classes of the characters in words; all others are one more class. Fixed values.
 CLASSES = {
-    "vowels": "aeiou", "consonants": "bcdfghjklmnpqrstvwxyz", "digits": "0123456789",
+    "vowels": "aeiouAEIOU", "consonants": "bcdfghjklmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ", "digits": "0123456789",
     "punctuation": ".,;:!?'\"()-", "symbols": SYMBOLS + "@=+/\\_~^`{}[]",
 }
+#: The sign that stands for a character while its class is counted: one for each class, upper case apart, and
+#: the contract's symbols apart.
+_SIGNS = {"v": "aeiou", "V": "AEIOU", "k": "bcdfghjklmnpqrstvwxyz", "K": "BCDFGHJKLMNPQRSTVWXYZ", "0": "0123456789",
+          ".": CLASSES["punctuation"], "#": SYMBOLS, "@": CLASSES["symbols"][len(SYMBOLS):]}
+_OF = {"vowels": "vV", "consonants": "kK", "digits": "0", "punctuation": ".", "symbols": "#@", "upper": "VK"}
 #: Words that a repeated run has.
 RUN = 5
 #: Common words of a language that are compared.
@@ -33,11 +37,25 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]++"), F.lit(0))
 
 
-def without(text: Column, characters: str) -> Column:
-    return F.translate(text, characters, "")
+def signs(packed: Column) -> Column:
+    """``packed`` with each ASCII character replaced by the sign of its class."""
+    return F.translate(packed, "".join(_SIGNS.values()), "".join(c * len(v) for c, v in _SIGNS.items()))
 
 
-def repeat_words(hashes: str, grams: str, ranked: str) -> Column:
+def n_sign(coded: str, sign: str) -> Column:
+    return F.octet_length(coded) - F.octet_length(F.replace(F.col(coded), F.lit(sign), F.lit("")))
+
+
+def _counted(sign: str) -> str:
+    return f"sign_{ord(sign)}"
+
+
+def n_class(name: str) -> Column:
+    """Characters of a class, from the counts of its signs."""
+    return reduce(lambda a, b: a + b, (F.col(_counted(c)) for c in _OF[name])).alias(name)
+
+
+def repeat_words(ranked: str) -> Column:
     """Words that stand in a run found twice: sorted by hash, a run's like is next to it; what the runs' places
     cover, in order, counts once."""
     like = lambda x, i: (F.get(ranked, i - 1)["g"] == x["g"]) | (F.get(ranked, i + 1)["g"] == x["g"])
@@ -54,47 +72,46 @@ def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     rows = rows.withColumn("words", words_of(F.col("text")))
     rows = rows.withColumn("hashes", F.transform("words", lambda w: F.xxhash64(w)))
     n = F.size("words")
-    run = lambda i: F.xxhash64(*(F.get("hashes", i + j) for j in range(RUN)))
-    rows = rows.withColumn(
-        "grams", F.when(n >= RUN, F.transform(F.sequence(F.lit(0), n - RUN), run)).otherwise(F.array().cast("array<bigint>"))
-    )
+    none = F.array().cast("array<bigint>")
+    rows = rows.withColumn("pairs", F.when(n >= RUN, F.zip_with(F.slice("hashes", 1, n - 1), F.slice("hashes", 2, n - 1), _both)).otherwise(none))
+    rows = rows.withColumn("fours", F.when(n >= RUN, F.zip_with(F.slice("pairs", 1, n - 3), F.slice("pairs", 3, n - 3), _both)).otherwise(none))
+    rows = rows.withColumn("grams", F.when(n >= RUN, F.zip_with(F.slice("fours", 1, n - 4), F.slice("hashes", 5, n - 4), _both)).otherwise(none))
     twice = F.size(F.array_distinct("grams")) < F.size("grams")
     numbered = F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     rows = rows.withColumn("ranked", F.when(twice, numbered))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("lines", lines).withColumn("packed", F.regexp_replace("text", SPACE + "+", ""))
-    low = F.lower("packed")
-    counts = {c: F.length("packed") - F.length(without(low, CLASSES[c])) for c in CLASSES}
-    return rows.select(
-        "doc_id", "lang", "text",
-        n.cast("long").alias("n_words"),
+    rows = rows.withColumn("coded", signs(F.col("packed")))
+    rows = rows.select(
+        "doc_id", "lang", "text", n.cast("long").alias("n_words"),
         F.length("packed").cast("long").alias("word_chars"),
-        (F.length("text") - F.length(without(F.col("text"), SYMBOLS))).cast("long").alias("n_symbols"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
-        F.coalesce(repeat_words("hashes", "grams", "ranked"), F.lit(0)).cast("long").alias("n_repeat_words"),
-        *(c.alias(name) for name, c in counts.items()),
-        (F.length("packed") - F.length(F.regexp_replace("packed", "[A-Z]+", ""))).alias("upper"),
+        F.coalesce(repeat_words("ranked"), F.lit(0)).cast("long").alias("n_repeat_words"),
+        *(n_sign("coded", c).alias(_counted(c)) for c in _SIGNS),
     )
+    kept = ["doc_id", "lang", "text", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
+    return rows.select(*kept, F.col(_counted("#")).cast("long").alias("n_symbols"), *map(n_class, _OF))
+
+
+def _both(p: Column, q: Column) -> Column:
+    return F.xxhash64(p, q)
 
 
 def references(docs: DataFrame, text: str, lang: str, common: int = COMMON) -> DataFrame:
     """Per language, and for all texts together (null): its ``common`` most frequent words with their shares, and the
     shares of the character classes, counted over all words of all documents."""
     words = docs.select(F.col(lang).cast("string").alias("lang"), F.explode(words_of(F.col(text))).alias("word"))
-    up = F.length("word") - F.length(F.regexp_replace("word", "[A-Z]+", ""))
-    counted = settled(
-        words.groupBy("lang", "word").agg(F.count("*").alias("k"))
-        .groupBy("lang", F.lower("word").alias("word")).agg(F.sum("k").alias("n"), F.sum(F.col("k") * up).alias("upper"))
-    )
-    pooled = counted.groupBy("word").agg(F.sum("n").alias("n"), F.sum("upper").alias("upper"))
-    every = counted.filter("lang is not null").select("lang", "word", "n", "upper", F.lit(False).alias("pooled")).union(
-        pooled.select(F.lit("").alias("lang"), "word", "n", "upper", F.lit(True).alias("pooled"))
-    )
-    chars = F.length("word")
-    of = {c: F.sum(F.col("n") * (chars - F.length(without(F.col("word"), CLASSES[c])))).alias(c) for c in CLASSES}
-    sums = every.groupBy("lang", "pooled").agg(
-        F.sum("n").alias("all_words"), F.sum(F.col("n") * chars).alias("chars"), F.sum("upper").alias("upper"), *of.values()
+    counted = settled(words.groupBy("lang", "word").agg(F.count("*").alias("n")))
+    pooled = counted.groupBy("word").agg(F.sum("n").alias("n"))
+    every = counted.filter("lang is not null").select("lang", "word", "n", F.lit(False).alias("pooled")).union(
+        pooled.select(F.lit("").alias("lang"), "word", "n", F.lit(True).alias("pooled"))
     )
+    coded = every.withColumn("coded", signs(F.col("word")))
+    sums = coded.groupBy("lang", "pooled").agg(
+        F.sum("n").alias("all_words"), F.sum(F.col("n") * F.length("word")).alias("chars"),
+        *(F.sum(F.col("n") * n_sign("coded", c)).alias(_counted(c)) for c in _SIGNS),
+    ).select("lang", "pooled", "all_words", "chars", *map(n_class, _OF))
+    every = every.groupBy("lang", "pooled", F.lower("word").alias("word")).agg(F.sum("n").alias("n"))
     place = F.row_number().over(Window.partitionBy("lang", "pooled").orderBy(F.desc("n"), "word"))
     top = every.withColumn("place", place).filter(F.col("place") <= common).groupBy("lang", "pooled").agg(
         F.sort_array(F.collect_list(F.struct("place", "word", "n"))).alias("top")  # at most ``common``

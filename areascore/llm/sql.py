@@ -69,7 +69,7 @@ def _quoted(characters: str) -> str:
 
 
 _COUNTS = ", ".join(
-    f"length(packed) - length(translate(lower(packed), {_quoted(v)}, '')) AS {k}" for k, v in CLASSES.items()
+    f"length(packed) - length(translate(packed, {_quoted(v)}, '')) AS {k}" for k, v in CLASSES.items()
 )
 _SUMS = ", ".join(f"sum({c}) AS {c}" for c in [*CLASSES, "upper", "word_chars"])
 _SHARES = ", ".join(f"{{0}}.{c} / {{0}}.word_chars" for c in CLASSES)
