@@ -25,7 +25,7 @@ _OF = {"vowels": "vV", "consonants": "kK", "digits": "0", "punctuation": ".", "s
 #: Words that a repeated run has.
 RUN = 5
 #: Common words of a language that are compared.
-COMMON = 32
+COMMON = 16
 #: Limits of the two distances, and the words that a text has at least for them to count.
 CHAR_LIMIT, CHAR_WORDS = 0.35, 30
 WORD_LIMIT, WORD_WORDS = 0.45, 50
@@ -160,8 +160,8 @@ def assess(
         lambda w: (F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
         / (F.octet_length(w) + 2) / F.col("n_words"),
     )
-    rows = rows.withColumn("_found", found)
     has = F.col("n_words") > 0
+    rows = rows.withColumn("_found", F.when(has, found))
     own = F.array(*(F.col(c) / F.col("word_chars") for c in CLASSES))
     # upper case is a part of the letters: its share and the rest's are compared on their own
     upper = F.array(F.col("upper") / F.col("word_chars"))
