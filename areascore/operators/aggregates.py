@@ -42,23 +42,36 @@ def grouped_medians(
     keys: Sequence[str],
     medians: Mapping[str, str],
     rows: str | None = None,
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Exact interpolated medians per group, nulls skipped; optionally the row count too.
 
-    ``medians`` maps output name to input column. Group sizes are checked first, by a count that
-    combines on the map side and reads only the keys. Groups within ``hot_rows`` are sorted
-    whole; the others, if there are any, are found without being brought together. A caller
-    that has already counted and found no large group passes ``hot_rows=None``.
+    ``medians`` maps output name to input column. NaN is a value, larger than any other, whatever
+    the size of its group. Group sizes are checked first, by a count that combines on the map
+    side and reads only the keys. Groups within ``hot_rows`` are sorted whole; the others, if
+    there are any, are found without being brought together. Columns have names of their own
+    inside, so any key or column name will do.
     """
-    keys = list(keys)
     inputs = sorted(set(medians.values()))
-    slim = df.select(*keys, *(F.col(c).cast("double").alias(c) for c in inputs))
-    if hot_rows is None:
-        return _sorted_medians(slim, keys, medians, rows)
+    key_as = {k: f"key_{i}" for i, k in enumerate(dict.fromkeys(keys))}
+    in_as = {c: f"in_{i}" for i, c in enumerate(inputs)}
+    out_as = {out: f"out_{i}" for i, out in enumerate(medians)}
+    slim = df.select(
+        *(df[k].alias(n) for k, n in key_as.items()), *(df[c].cast("double").alias(n) for c, n in in_as.items())
+    )
+    found = _medians(
+        slim, [*key_as.values()], {out_as[out]: in_as[c] for out, c in medians.items()}, "n_rows" if rows else None, hot_rows
+    )
+    named = {**{n: k for k, n in key_as.items()}, **{n: out for out, n in out_as.items()}, **({"n_rows": rows} if rows else {})}
+    return found.select(*(F.col(n).alias(name) for n, name in named.items()))
+
+
+def _medians(slim: DataFrame, keys: list[str], medians: Mapping[str, str], rows: str | None, hot_rows: int) -> DataFrame:
+    inputs = sorted(set(medians.values()))
     sizes = slim.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    hot = sizes.filter(F.col("_rows") > hot_rows)
-    found = hot.limit(BROADCAST_GROUPS + 1).count()
+    # Few rows, read by the count and by each of the branches.
+    hot = settle(sizes.filter(F.col("_rows") > hot_rows))
+    found = hot.count()
     if found == 0:
         return _sorted_medians(slim, keys, medians, rows)
     hot = _prefixed(hot, keys, ["_rows"])
@@ -112,7 +125,7 @@ def _hot_medians(
     """
     group = [*keys, "_metric"]
     members = slim.join(_hinted(hot, fits), _same(keys), "left_semi")
-    long = members.unpivot(keys, inputs, "_metric", "_value").dropna(subset=["_value"])
+    long = members.unpivot(keys, inputs, "_metric", "_value").filter("_value is not null")
 
     sketch = long.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"),
@@ -131,13 +144,13 @@ def _hot_medians(
     )
 
     cuts = _prefixed(
-        counts.dropna(subset=["_value"])
+        counts.filter("_value is not null")
         .groupBy(*group)
         .agg(F.percentile_approx("_value", _CUTS, _ACCURACY).alias("_cuts")),
         group,
         ["_cuts"],
     )
-    binned = counts.join(cuts, _same(group)).select(
+    binned = counts.join(_hinted(cuts, fits), _same(group)).select(
         *group,
         "_value",
         "_n",
@@ -158,7 +171,7 @@ def _hot_medians(
         .filter((F.col("_before") < high) & (F.col("_upto") >= low))
     )
     spots = _prefixed(placed, [*group, "_bin"], ["_before"])
-    inside = binned.join(spots, _same([*group, "_bin"]))
+    inside = binned.join(_hinted(spots, fits), _same([*group, "_bin"]))
     ladder = W.partitionBy(*group, "_bin").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
     ranked = inside.withColumn("_upto", F.col("_before") + F.sum("_c").over(ladder))
     lower = F.min(F.when((F.col("_upto") >= low) & (F.col("_bin") >= 0), F.col("_value")))
@@ -188,7 +201,7 @@ def monthly_medians(
     date: str,
     cols: Mapping[str, str],
     rows: str = "week_count",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Medians and row count per area and calendar month."""
     monthly = df.withColumn("period_month", month_of(F.col(date)))
@@ -200,7 +213,7 @@ def all_area_monthly(
     cols: Mapping[str, str],
     constants: Mapping[str, str] | None = None,
     month: str = "period_month",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """Medians over all areas per month; ``constants`` are the same for every area of a month."""
     out = grouped_medians(df, [month], cols, hot_rows=hot_rows)
@@ -211,10 +224,10 @@ def all_area_monthly(
 
 
 def median_by(
-    df: DataFrame, key: str, col: str, out: str | None = None, hot_rows: int | None = HOT_ROWS
+    df: DataFrame, key: str, col: str, out: str | None = None, hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """Median of the non-null values per key."""
-    return grouped_medians(df.dropna(subset=[col]), [key], {out or col: col}, hot_rows=hot_rows)
+    return grouped_medians(df.filter(F.col(col).isNotNull()), [key], {out or col: col}, hot_rows=hot_rows)
 
 
 def count_by(df: DataFrame, keys: Sequence[str], out: str = "n") -> DataFrame:
@@ -255,7 +268,7 @@ def extreme_area(df: DataFrame, col: str, which: str, key: str = "zip_code") ->
     return F.coalesce(best["k"].cast("string"), F.lit("N/A"))
 
 
-def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]], hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]], hot_rows: int = HOT_ROWS) -> DataFrame:
     """One row of key figures. A spec is an aggregate Column or ``("median", column)``."""
     medians = {name: spec[1] for name, spec in specs.items() if isinstance(spec, tuple)}
     plain = [spec.alias(name) for name, spec in specs.items() if not isinstance(spec, tuple)]

@@ -42,10 +42,10 @@ def join_valuation(market: DataFrame, pivot: DataFrame, key: str = "zip_code") -
 def join_rate(df: DataFrame, monthly_rate: DataFrame) -> DataFrame:
     """Attach the national monthly rate.
 
-    ``monthly_rate`` has one row per calendar month, 12 a year whatever the volume below it,
-    so the broadcast has a fixed bound.
+    ``monthly_rate`` has one row per calendar month, 12 a year whatever the volume below it; the
+    planner sees its size and broadcasts it.
     """
-    return df.join(F.broadcast(monthly_rate), "period_month", "left")
+    return df.join(monthly_rate, "period_month", "left")
 
 
 def star_join(
@@ -61,7 +61,7 @@ def against_all(
     col: str,
     key: str = "zip_code",
     month: str = "period_month",
-    hot_rows: int | None = HOT_ROWS,
+    hot_rows: int = HOT_ROWS,
 ) -> DataFrame:
     """One area's monthly value next to the all-area median of the same month."""
     everyone = grouped_medians(series, [month], {f"all_{col}": col}, hot_rows=hot_rows)

@@ -73,7 +73,7 @@ def unpivot_freshness(audit: DataFrame, prefix: str = "freshness_") -> DataFrame
     """(source, status) rows from the freshness columns of an audit row."""
     cols = [c for c in audit.columns if c.startswith(prefix)]
     long = audit.unpivot([], cols, "source", "status")
-    return long.withColumn("source", F.substring("source", len(prefix) + 1, 100))
+    return long.withColumn("source", F.col("source").substr(F.lit(len(prefix) + 1), F.length("source")))
 
 
 def union_all(frames: Sequence[DataFrame]) -> DataFrame:

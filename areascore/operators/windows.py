@@ -9,7 +9,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from areascore.functions.times import month_of
-from areascore.session import broadcast_checked, settle
 
 Order = str | Column
 
@@ -32,20 +31,15 @@ def dedup(df: DataFrame, keys: Sequence[str], tie: Sequence[Order]) -> DataFrame
     return _first_of(df, keys, [F.col(t).asc_nulls_last() if isinstance(t, str) else t for t in tie])
 
 
-def latest_month_rows(df: DataFrame, key: str, date: str) -> tuple[DataFrame, int]:
-    """All rows of the latest calendar month of each key, and the size of the largest such group.
+def latest_month_rows(df: DataFrame, key: str, date: str) -> DataFrame:
+    """All rows of the latest calendar month of each key.
 
     The latest months come from a pass over two columns that combines on the map side and
     leaves one row per key. What follows, medians above all, then works on one month instead
-    of the whole history, and knows whether any group is large.
+    of the whole history.
     """
-    sizes = df.groupBy(key, month_of(F.col(date)).alias("_month")).agg(F.count(F.lit(1)).alias("_rows"))
-    last = settle(
-        sizes.groupBy(key).agg(F.max("_month").alias("_last"), F.max_by("_rows", "_month").alias("_rows"))
-    )
-    largest = last.agg(F.max("_rows")).head()[0] or 0
-    joined = df.join(broadcast_checked(last.select(key, "_last")), key)
-    return joined.filter(month_of(F.col(date)) == F.col("_last")).drop("_last"), largest
+    last = df.groupBy(key).agg(month_of(F.max(date)).alias("_last"))
+    return df.join(last, key).filter(month_of(F.col(date)) == F.col("_last")).drop("_last")
 
 
 def argmax_by(df: DataFrame, key: str, value: str, tie: Sequence[Order] = ()) -> DataFrame:

@@ -46,23 +46,20 @@ def zip_demographics(
     )
 
 
-def market_activity(market: DataFrame, hot_rows: int | None = HOT_ROWS) -> DataFrame:
+def market_activity(market: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     return monthly_medians(market, "zip_code", "period_end", MARKET_MEDIANS, hot_rows=hot_rows)
 
 
 def _criminal_counts(crime: DataFrame, keys: list[str]) -> DataFrame:
     """Incidents per ``keys`` without the administrative ones.
 
-    The category depends on the offence text alone, so incidents are first counted per area,
-    year and text, and the pattern lists are matched once per such count, not once per incident.
+    The category is staged with the incident; where it isn't, it is found in the same map stage.
+    Only the keys cross the shuffle, a handful of categories per area, year and task, never texts.
     """
-    per_text = count_by(
-        crime.withColumn("incident_year", year_of(F.col("incident_occurred"))),
-        ["zip_code", "incident_year", "incident_type"],
-        "_n",
-    ).withColumn("crime_category", classify(F.col("incident_type"), INCIDENT_PATTERNS, DEFAULT_CATEGORY))
-    criminal = exclude_value(per_text, "crime_category", ADMINISTRATIVE)
-    return criminal.groupBy(*keys).agg(F.sum("_n").alias("incident_count"))
+    if "crime_category" not in crime.columns:
+        crime = crime.withColumn("crime_category", classify(F.col("incident_type"), INCIDENT_PATTERNS, DEFAULT_CATEGORY))
+    criminal = exclude_value(crime, "crime_category", ADMINISTRATIVE)
+    return count_by(criminal.withColumn("incident_year", year_of(F.col("incident_occurred"))), keys, "incident_count")
 
 
 def crime_index(crime: DataFrame, demographics: DataFrame, rounding: Rounding = F.round) -> DataFrame:

@@ -11,7 +11,8 @@ from areascore.functions.scores import composite, confidence, minmax_score
 from areascore.operators.aggregates import monthly_mean
 from areascore.operators.joins import join_rate, join_valuation, star_join, with_supply
 from areascore.operators.reshape import pivot_metrics
-from areascore.operators.windows import latest_per, with_global_stats
+from areascore.operators.windows import latest_month_rows, latest_per, with_global_stats
+from areascore.plans import intermediate
 
 # Score column -> (signal column, direction, imputation, zero-floored minimum).
 SIGNAL_RULES = {
@@ -61,6 +62,21 @@ def combine_signals(geo: DataFrame, monthly: DataFrame, crime: DataFrame, permit
     return star_join(geo, market, incidents, issued).select(*SCORE_COLUMNS)
 
 
+def latest_signals(
+    demographics: DataFrame, market: DataFrame, crime: DataFrame, permits: DataFrame,
+    rounding: Rounding = F.round, money_scale: int | None = None,
+) -> DataFrame:
+    """``combine_signals`` from staged feeds. Only the latest month of each area's market rows is
+    aggregated, since the score reads no other."""
+    latest = latest_month_rows(market, "zip_code", "period_end")
+    return combine_signals(
+        geography(demographics),
+        intermediate.market_activity(latest),
+        intermediate.crime_index(crime, demographics, rounding),
+        intermediate.permit_activity(permits, money_scale),
+    )
+
+
 def score_areas(combined: DataFrame, rounding: Rounding = F.round) -> DataFrame:
     """Seven scores, the composite and the completeness label.
 

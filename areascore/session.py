@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 
 def build_session(app_name: str = "areascore", master: str | None = None, **conf: str) -> SparkSession:
@@ -12,8 +11,6 @@ def build_session(app_name: str = "areascore", master: str | None = None, **conf
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.session.timeZone": "UTC",
-        # Sorted medians keep one array per group; a task's groups hold no more rows than the task.
-        "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "100000",
         # Checkpoint files go when the frame that wrote them is no longer used.
         "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
         **conf,
@@ -43,9 +40,3 @@ def settle(df: DataFrame) -> DataFrame:
     """
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
-
-
-def broadcast_checked(df: DataFrame, max_rows: int = 1_000_000) -> DataFrame:
-    """Mark ``df`` for broadcast if it has at most ``max_rows`` rows, else leave the join to the
-    planner. ``df`` should be settled or cheap, since its rows are counted up to the limit."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df

@@ -9,10 +9,10 @@ from areascore.functions.fixed_values import DEFAULT_CATEGORY, INCIDENT_PATTERNS
 from areascore.functions.numbers import exact_mean, floor_round
 from areascore.functions.scores import confidence, minmax_score
 from areascore.functions.text import classify
-from areascore.operators.aggregates import HOT_ROWS, count_by, grouped_medians, monthly_mean
+from areascore.operators.aggregates import count_by, grouped_medians, monthly_mean
 from areascore.operators.joins import map_features, restrict_to
 from areascore.operators.reshape import month_columns, pivot_metrics, unpivot_months
-from areascore.operators.windows import latest_month_rows, latest_per, with_global_stats
+from areascore.operators.windows import latest_per, with_global_stats
 from areascore.plans import intermediate, marts, staging
 from areascore.plans.reports import reweight
 from areascore.session import settle
@@ -41,16 +41,16 @@ def monthly(spark, sf):
 
 def combined(spark, sf):
     """One row per area with the latest of each feed, settled because scoring reads it twice."""
-    people = settle(demographics(spark, sf))
+    people = demographics(spark, sf)
     permits = staging.stg_permits(s.permits(spark, sf, s.PERMIT_TOP), s.regions(spark, sf))
-    latest, largest = latest_month_rows(s.market(spark, sf, s.MARKET_TOP), "zip_code", "period_end")
-    hot_rows = None if largest <= HOT_ROWS else HOT_ROWS
     return settle(
-        marts.combine_signals(
-            marts.geography(people),
-            intermediate.market_activity(latest, hot_rows),
-            intermediate.crime_index(staged_crime(spark, sf, s.CRIME_AREAS), people, floor_round),
-            intermediate.permit_activity(permits, money_scale=2),
+        marts.latest_signals(
+            people,
+            s.market(spark, sf, s.MARKET_TOP),
+            staged_crime(spark, sf, s.CRIME_AREAS),
+            permits,
+            floor_round,
+            money_scale=2,
         )
     )
 

@@ -1,3 +1,4 @@
+import math
 import random
 import statistics
 from datetime import date, datetime
@@ -8,7 +9,6 @@ from pyspark.sql import functions as F
 
 from areascore.operators import aggregates as agg
 from areascore.operators import filters, joins, ordering, reshape, windows
-from areascore.session import broadcast_checked, settle
 
 
 def plan(df):
@@ -136,6 +136,25 @@ def test_medians_against_brute_force(spark, hot_rows):
     assert {r["k"]: (r["ma"], r["mb"], r["n"]) for r in got.collect()} == want
 
 
+def test_medians_mean_one_thing_at_every_size(spark):
+    """NaN is the largest value, infinities are values, and column names don't matter, however large a group is."""
+    nan, inf = math.nan, math.inf
+    data = [("n", v) for v in (nan, 1.0, 2.0, nan, 3.0)] + [("i", v) for v in (-inf, inf, 5.0, 4.0, None)]
+    data += [(None, v) for v in (7.0, None, 9.0)] + [("e", None), ("m", nan), ("m", nan), ("m", 1.0)]
+    names = ["_value", "_rows"]
+    df = spark.createDataFrame(data, "`_value` string, `_rows` double")
+    got = [
+        sorted(map(str, agg.grouped_medians(df, names[:1], {"_metric": "_rows"}, rows="_n", hot_rows=h).collect()))
+        for h in (0, 2, 10**6)
+    ]
+    assert got[0] == got[1] == got[2]
+    want = {("n", "3.0"), ("i", "4.5"), (None, "8.0"), ("e", "None"), ("m", "nan")}
+    found = agg.grouped_medians(df, names[:1], {"_metric": "_rows"}, rows="_n").collect()
+    assert {(r["_value"], str(r["_metric"])) for r in found} == want
+    by = [sorted(map(str, agg.median_by(df, "_value", "_rows", hot_rows=h).collect())) for h in (0, 10**6)]
+    assert by[0] == by[1]
+
+
 def test_hot_groups_beyond_the_broadcast_limit(spark, monkeypatch):
     data = [(i % 4, float(i)) for i in range(999)]
     df = spark.createDataFrame(data, "k int, a double")
@@ -238,8 +257,8 @@ def test_argmax(spark):
 
 def test_latest_month_rows(spark):
     df = spark.createDataFrame([("1", date(2024, 1, 5)), ("1", date(2024, 2, 5)), ("1", date(2024, 2, 9)), ("2", date(2023, 1, 1))], "z string, d date")
-    latest, largest = windows.latest_month_rows(df, "z", "d")
-    assert largest == 2 and windows.latest_month_rows(df.limit(0), "z", "d")[1] == 0
+    latest = windows.latest_month_rows(df, "z", "d")
+    assert windows.latest_month_rows(df.limit(0), "z", "d").count() == 0
     assert rows(latest) == [("1", date(2024, 2, 5)), ("1", date(2024, 2, 9)), ("2", date(2023, 1, 1))]
 
 
@@ -291,10 +310,3 @@ def test_order_and_top(spark):
     assert [r[0] for r in ordering.distinct_sorted(df.union(df), "zip_code").collect()] == list("abcd")
     assert [r[0] for r in ordering.ordered(df, ["zip_code"]).collect()] == list("abcd")
     assert "TakeOrderedAndProject" in plan(ordering.top_n(df, "v", 3))
-
-
-def test_checked_broadcast(spark):
-    small = settle(spark.range(5))
-    assert "Broadcast" in plan(spark.range(10**7).join(broadcast_checked(small, 5), "id"))
-    hint = broadcast_checked(small, 4)._jdf.queryExecution().analyzed().toString()
-    assert "ResolvedHint" not in hint
