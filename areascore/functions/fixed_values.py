@@ -29,7 +29,6 @@ RATE_MISSING = "."
 STATE_CODE = "TN"
 STATE_FIPS = "47"
 AREA_CODE_RANGE = (37000, 38599)
-CENSUS_VINTAGES = [2019, 2020, 2021, 2022, 2023, 2024]
 SCORING_VINTAGE = 2023
 
 # Home-value metrics and the rate series.

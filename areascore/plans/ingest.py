@@ -8,10 +8,12 @@ the same files gives the same table.
 from __future__ import annotations
 
 import logging
+from collections.abc import Callable, Sequence
 from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from areascore.functions import fixed_values as fixed
 from areascore.functions.numbers import null_if_sentinel, to_double
@@ -22,7 +24,6 @@ from areascore.operators.filters import (
     drop_all_null,
     drop_null,
     drop_sentinel,
-    from_bound,
     in_code_range,
     keep_codes,
     keep_state,
@@ -30,18 +31,17 @@ from areascore.operators.filters import (
     newer_versions,
     valid_sales,
 )
+from areascore.operators.windows import dedup
 from areascore.operators.reshape import stamp, stamp_ingested, unpivot_months
 from areascore.plans.staging import MARKET_MEASURES
-from areascore.schemas import CRIME_ATTRIBUTES, PERMIT_ATTRIBUTES, PROPERTY_ATTRIBUTES, RAW_TABLES
+from areascore.schemas import CRIME_ATTRIBUTES, OBSERVATIONS, PERMIT_ATTRIBUTES, PROPERTY_ATTRIBUTES, RAW_TABLES, feature_page
 from areascore.sources.files import (
     assert_no_error_pages,
     read_header_matrix,
     read_market_tsv,
-    read_observations,
-    read_pages,
+    RELEASE,
     read_wide_csv,
     spread,
-    unwrap_features,
 )
 from areascore.sources.tables import (
     KEEP,
@@ -69,8 +69,11 @@ DAY_FORMAT = "%Y-%m-%d"
 
 
 def stage_home_values(raw: DataFrame, metric: str, now: datetime | None = None) -> DataFrame:
-    """Long rows of one metric in one state."""
-    long = unpivot_months(keep_state(raw, "State", fixed.STATE_CODE), WIDE_IDENTITY, metric)
+    """Long rows of one metric in one state; of several releases the newest that has a value counts."""
+    identity = [*WIDE_IDENTITY, *(c for c in (RELEASE,) if c in raw.columns)]
+    long = unpivot_months(keep_state(raw, "State", fixed.STATE_CODE), identity, metric)
+    if RELEASE in identity:
+        long = dedup(long, ["RegionName", "period_month"], [F.col(RELEASE).desc()])
     return stamp_ingested(
         long.select(
             code_text(F.col("RegionName")).alias("zip_code"),
@@ -142,6 +145,11 @@ def stage_census_county(raw: DataFrame, now: datetime | None = None) -> DataFram
     )
 
 
+def _fetch(raw: DataFrame) -> list[str]:
+    """The name of the fetch goes along where rows have one."""
+    return [c for c in ("load",) if c in raw.columns]
+
+
 def crime_loss_rules() -> dict:
     """Rules a raw incident must pass, in order."""
     area = F.col("ZIP_Code")
@@ -165,6 +173,7 @@ def _typed_crime(kept: DataFrame, now: datetime | None) -> DataFrame:
             from_epoch_ms_seconds(F.col("Incident_Occurred")).alias("incident_occurred"),
             F.col("Offense_Description").alias("incident_type"),
             zip_from_float_text(F.col("ZIP_Code")).alias("zip_code"),
+            *_fetch(kept),
         ),
         now,
     )
@@ -178,6 +187,7 @@ def stage_permits(raw: DataFrame, now: datetime | None = None) -> DataFrame:
             from_epoch_ms_local(F.col("Date_Issued"), fixed.PERMIT_ZONE).alias("date_issued"),
             F.col("ZIP").alias("zip_code"),
             to_double(F.col("Const_Cost"), lenient=True).alias("construction_cost"),
+            *_fetch(raw),
         ),
         now,
     )
@@ -185,7 +195,7 @@ def stage_permits(raw: DataFrame, now: datetime | None = None) -> DataFrame:
 
 def stage_rates(raw: DataFrame, now: datetime | None = None) -> DataFrame:
     known = drop_sentinel(raw, "value", fixed.RATE_MISSING).select(
-        iso_date(F.col("date")).alias("observation_date"), to_double(F.col("value")).alias("rate")
+        iso_date(F.col("date")).alias("observation_date"), to_double(F.col("value")).alias("rate"), *_fetch(raw)
     )
     return stamp_ingested(stamp(known, series_id=fixed.RATE_SERIES), now)
 
@@ -202,6 +212,7 @@ def stage_property(raw: DataFrame, now: datetime | None = None) -> DataFrame:
             F.col("ValidSale").alias("valid_sale"),
             to_double(F.col("TotlAppr")).alias("totl_appr"),
             to_double(F.col("TotlAssd")).alias("totl_assd"),
+            *_fetch(raw),
         ),
         now,
     )
@@ -220,7 +231,7 @@ def ingest_home_values(spark: SparkSession, landing_dir: str, table_dir: str, st
             continue
         source = f"home_values/{metric}"
         watermark, _ = get_state(spark, state, source)
-        new = newer_than(stage_home_values(read_wide_csv(spark, folder), metric), "period_month", watermark)
+        new = newer_than(stage_home_values(read_wide_csv(spark, folder, WIDE_IDENTITY), metric), "period_month", watermark)
         done = write_replace_keys(
             spark, f"{table_dir}/home_values", new, "period_month", RAW_TABLES["home_values"], "metric_type"
         )
@@ -247,73 +258,163 @@ def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state:
 
 
 def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> dict[str, int]:
-    """List-of-lists responses under ``zip/vintage=YYYY`` and ``county/vintage=YYYY``. The
-    watermark moves to the last vintage that was loaded."""
-    watermark, _ = get_state(spark, state, "census")
+    """List-of-lists responses under ``zip/vintage=YYYY`` and ``county/vintage=YYYY``. Each part has
+    its own watermark, its last loaded vintage, so a part that lands late is not skipped."""
     layouts = {
         "zip": ("census_zip", stage_census_zip, [*CENSUS_CODES, "zip code tabulation area"]),
         "county": ("census_county", stage_census_county, ["NAME", *CENSUS_CODES, "state", "county"]),
     }
-    counts, tops = {}, []
+    counts = {}
     for part, (table, stage, columns) in layouts.items():
         counts[part] = 0
         folder = f"{landing_dir}/{part}"
         if not path_exists(spark, folder):
             continue
-        fresh = newer_versions(read_header_matrix(spark, folder, columns), "vintage", watermark)
-        new = stage(fresh.filter(F.col("vintage").isin(fixed.CENSUS_VINTAGES)))
+        source = f"census/{part}"
+        watermark, _ = get_state(spark, state, source)
+        new = stage(newer_versions(read_header_matrix(spark, folder, columns), "vintage", watermark))
         done = write_replace_partitions(spark, f"{table_dir}/{table}", new, "vintage_year", RAW_TABLES[table])
         counts[part] = done.rows
         if done.rows:
-            tops.append(done.top)
-    if tops:
-        set_state(spark, state, "census", str(max(tops)))
+            set_state(spark, state, source, str(done.top))
     return counts
 
 
-def load_range(
-    spark: SparkSession, source: str, staged: DataFrame, ts_col: str, table_dir: str, state: str, pattern: str
+# A fetch is a folder ``load=<name>`` of the landing folder with its pages; it counts once it holds this
+# file, which states the number of its pages. Names sort in the order of the fetches.
+COMPLETE = "complete"
+
+
+def complete_fetches(markers: DataFrame) -> list[tuple[str, int]]:
+    """(name, pages) of the fetches whose marker is among ``markers`` (``value``, ``load``), in order."""
+    found = markers.filter("load is not null").groupBy("load").agg(F.max(F.trim("value").cast("int")).alias("pages"))
+    return [(r["load"], r["pages"]) for r in found.orderBy("load").collect()]  # one row per fetch since the last run
+
+
+def read_markers(spark: SparkSession, landing_dir: str) -> DataFrame:
+    schema = StructType([StructField("value", StringType()), StructField("load", StringType())])
+    return spark.read.schema(schema).option("pathGlobFilter", COMPLETE).option("basePath", landing_dir).text(landing_dir)
+
+
+def applied_fetches(spark: SparkSession, log: str) -> set[str]:
+    """Names of the fetches that were applied, from the log beside the table."""
+    return {r[0] for r in spark.read.parquet(log).select("load").collect()} if path_exists(spark, log) else set()
+
+
+def load_fetches(
+    spark: SparkSession,
+    source: str,
+    landing_dir: str,
+    read: Callable[[SparkSession, Sequence[str]], DataFrame],
+    stage: Callable[[DataFrame], DataFrame],
+    ts_col: str,
+    table_dir: str,
+    state: str,
+    pattern: str,
+    fetches: Sequence[tuple[str, int]] | None = None,
 ) -> int:
-    """Replace everything from the lookback bound of ``source`` and move its watermark.
+    """Apply the complete fetches that weren't applied yet as if one after the other, in one plan.
 
-    The same bound filters the new rows and clears the old ones, on the same column, so no row
-    is lost or doubled.
+    A fetch replaces everything from its lookback bound, which depends on the newest time of the fetch before
+    it. Those times come from one aggregate over all fetches; a row then counts if it lies from its own
+    fetch's bound on and before the bounds of all later ones. So the number of jobs doesn't grow with the number
+    of fetches, and only the folders of the new ones are read. The log of applied fetches is written last: a run
+    that is repeated after a crash replaces the same range by the same rows.
     """
+    log = f"{table_dir}/_applied/{source}"
+    done = applied_fetches(spark, log)
+    given = complete_fetches(read_markers(spark, landing_dir)) if fetches is None else fetches
+    new = [f for f in given if f[0] not in done]
+    if not new:
+        return 0
+    names = [name for name, _ in new]
+    folders = [f"{landing_dir}/load={name}" for name in names]
+    counted = count_pages(spark, folders)
+    for name, expected in new:
+        if expected is not None and counted.get(name, 0) != expected:
+            raise ValueError(f"fetch {name} has {counted.get(name, 0)} of {expected} pages")
+    staged = stage(read(spark, folders, landing_dir))
+    tops = dict(staged.groupBy("load").agg(F.max(ts_col)).collect())
     watermark, _ = get_state(spark, state, source)
-    bound = lookback_bound(watermark, *fixed.LOOKBACK[source])
-    new = from_bound(staged, ts_col, bound)
-    done = write_replace_from(spark, f"{table_dir}/{source}", new, ts_col, bound, RAW_TABLES[source])
-    if done.rows:
-        set_state(spark, state, source, done.top.strftime(pattern))
-    return done.rows
+    bounds: list[tuple[str, str]] = []
+    for name in names:
+        bound = lookback_bound(watermark, *fixed.LOOKBACK[source])
+        top = tops.get(name)
+        if top is not None and top.strftime(TIME_FORMAT) >= bound:
+            bounds.append((name, bound))
+            watermark = top.strftime(pattern)
+    if bounds:
+        ranges, until = [], None
+        for name, bound in reversed(bounds):
+            ranges.append((name, bound, until))
+            until = bound if until is None else min(until, bound)
+        kind = RAW_TABLES[source][ts_col].dataType
+        ranged = spark.createDataFrame(ranges, "load string, _from string, _until string").withColumns(
+            {"_from": F.col("_from").cast(kind), "_until": F.col("_until").cast(kind)}
+        )
+        kept = staged.join(ranged, "load").filter(
+            (F.col(ts_col) >= F.col("_from")) & (F.col("_until").isNull() | (F.col(ts_col) < F.col("_until")))
+        )
+        rows = write_replace_from(spark, f"{table_dir}/{source}", kept, ts_col, until, RAW_TABLES[source]).rows
+        set_state(spark, state, source, watermark)
+    else:
+        rows = 0
+    spark.createDataFrame([(n,) for n in names], "load string").coalesce(1).write.mode("append").parquet(log)
+    return rows
+
+
+def _read_json(spark: SparkSession, folders: Sequence[str], base: str, page: StructType) -> DataFrame:
+    schema = StructType([*page.fields]).add("load", StringType())
+    return spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").option("basePath", base).json([*folders])
+
+
+def count_pages(spark: SparkSession, folders: Sequence[str]) -> dict[str, int]:
+    """Pages that each fetch has, from the listing of its folder; no file is opened."""
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load([*folders]).select("path")
+    return dict(files.groupBy(F.regexp_extract("path", "load=([^/]+)/", 1)).count().collect())
+
+
+def _fetched_pages(attributes: StructType):
+    """Reads the pages of fetches as attributes with ``load``; an error page fails the load."""
+
+    def read(spark: SparkSession, folders: Sequence[str], base: str) -> DataFrame:
+        pages = _read_json(spark, folders, base, feature_page(attributes))
+        assert_no_error_pages(pages)
+        return pages.select("load", F.explode("features").alias("f")).select("load", "f.attributes.*")
+
+    return read
+
+
+def _fetched_observations(spark: SparkSession, folders: Sequence[str], base: str) -> DataFrame:
+    pages = _read_json(spark, folders, base, OBSERVATIONS)
+    return pages.select("load", F.explode("observations").alias("o")).select("load", "o.date", "o.value")
+
+
+#: Source -> (reader of its pages, staging, time column, format of its watermark).
+FEEDS = {
+    "crime": (_fetched_pages(CRIME_ATTRIBUTES), stage_crime, "incident_occurred", TIME_FORMAT),
+    "permits": (_fetched_pages(PERMIT_ATTRIBUTES), stage_permits, "date_issued", TIME_FORMAT),
+    "rates": (_fetched_observations, stage_rates, "observation_date", DAY_FORMAT),
+    "property": (_fetched_pages(PROPERTY_ATTRIBUTES), lambda raw: valid_sales(stage_property(raw)), "own_date", DAY_FORMAT),
+}
+
+
+def ingest_feed(spark: SparkSession, source: str, landing_dir: str, table_dir: str, state: str, fetches=None) -> int:
+    read, stage, ts_col, pattern = FEEDS[source]
+    return load_fetches(spark, source, landing_dir, read, stage, ts_col, table_dir, state, pattern, fetches)
 
 
 def ingest_crime(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
-    pages = read_pages(spark, landing_dir, CRIME_ATTRIBUTES)
-    assert_no_error_pages(pages)
-    kept, loss = observe_loss(unwrap_features(pages), crime_loss_rules())
-    written = load_range(
-        spark, "crime", _typed_crime(kept, None), "incident_occurred", table_dir, state, TIME_FORMAT
-    )
-    if written:
-        log.info("crime: %s", loss.get)
-    return written
+    return ingest_feed(spark, "crime", landing_dir, table_dir, state)
 
 
 def ingest_permits(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
-    pages = read_pages(spark, landing_dir, PERMIT_ATTRIBUTES)
-    assert_no_error_pages(pages)
-    staged = stage_permits(unwrap_features(pages))
-    return load_range(spark, "permits", staged, "date_issued", table_dir, state, TIME_FORMAT)
+    return ingest_feed(spark, "permits", landing_dir, table_dir, state)
 
 
 def ingest_rates(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
-    staged = stage_rates(read_observations(spark, landing_dir))
-    return load_range(spark, "rates", staged, "observation_date", table_dir, state, DAY_FORMAT)
+    return ingest_feed(spark, "rates", landing_dir, table_dir, state)
 
 
 def ingest_property(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:
-    pages = read_pages(spark, landing_dir, PROPERTY_ATTRIBUTES)
-    assert_no_error_pages(pages)
-    staged = valid_sales(stage_property(unwrap_features(pages)))
-    return load_range(spark, "property", staged, "own_date", table_dir, state, DAY_FORMAT)
+    return ingest_feed(spark, "property", landing_dir, table_dir, state)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,9 +16,10 @@ def read_market_tsv(spark: SparkSession, path: str) -> DataFrame:
     """Tab-separated text with a header, plain or gzip, every column as text.
 
     Only the columns a query selects are parsed. A gzip file is one task, so spread its rows
-    after the first filter when there are few files: ``spread(df)``.
+    after the first filter when there are few files: ``spread(df)``. All files must have the same
+    header; one that differs fails the read instead of being mapped by position.
     """
-    return spark.read.option("sep", "\t").option("header", True).csv(path)
+    return spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False).csv(path)
 
 
 def spread(df: DataFrame) -> DataFrame:
@@ -25,9 +27,28 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(max(df.sparkSession.sparkContext.defaultParallelism, 1))
 
 
-def read_wide_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Comma-separated text with a header whose month columns vary by release; all text."""
-    return spark.read.option("header", True).csv(path)
+#: Column with the place of a row's release among those of its folder.
+RELEASE = "_release"
+
+
+def read_wide_csv(spark: SparkSession, path: str, required: Sequence[str] = ()) -> DataFrame:
+    """Comma-separated releases with a header each, whose month columns vary; all text.
+
+    Every file is read by its own header and columns are matched by name; a file without one of
+    ``required`` fails the read. ``_release`` numbers the files in the order of their names, a handful of monthly
+    releases.
+    """
+    files = spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()
+    releases = []
+    for i, (file,) in enumerate(files):
+        one = spark.read.option("header", True).csv(file)
+        missing = [c for c in required if c not in one.columns]
+        if missing:
+            raise ValueError(f"{file} has no column {missing}")
+        releases.append(one.withColumn(RELEASE, F.lit(i)))
+    if not releases:
+        raise ValueError(f"no file in {path}")
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), releases)
 
 
 def read_header_matrix(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

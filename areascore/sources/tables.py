@@ -6,7 +6,7 @@ import uuid
 from datetime import date, datetime
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -20,7 +20,9 @@ KEEP = object()  # set_state: leave this field as it is
 # A raw table is a parquet folder partitioned by this column, taken from its time column, so
 # that replacing a range rewrites only the months the range touches.
 MONTH = "part_month"
-MAX_LISTED_KEYS = 10_000
+# Below a month, the load that wrote it. What a table holds is what its newest manifest lists.
+SNAPSHOT = "part_load"
+MANIFESTS = "_manifests"
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -37,9 +39,7 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partition:
 
 def ensure_raw_tables(spark: SparkSession, root: str) -> None:
     for name, schema in RAW_TABLES.items():
-        if name in RANGE_COLUMNS:
-            ensure_table(spark, f"{root}/{name}", partitioned_schema(schema), MONTH)
-        else:
+        if name not in RANGE_COLUMNS:  # a range table without a manifest is empty
             ensure_table(spark, f"{root}/{name}", schema, "vintage_year")
 
 
@@ -61,38 +61,75 @@ def partitioned_schema(schema: StructType) -> StructType:
 def read_raw(spark: SparkSession, root: str, name: str) -> DataFrame:
     """A raw table with its contract columns."""
     schema = RAW_TABLES[name]
-    full = partitioned_schema(schema) if name in RANGE_COLUMNS else schema
-    return spark.read.schema(full).parquet(f"{root}/{name}").select(*schema.names)
+    if name in RANGE_COLUMNS:
+        return read_range_table(spark, f"{root}/{name}", schema).select(*schema.names)
+    return spark.read.schema(schema).parquet(f"{root}/{name}").select(*schema.names)
+
+
+def _files(spark: SparkSession, path: str):
+    """The file system of ``path`` and a function that makes its paths."""
+    make = spark._jvm.org.apache.hadoop.fs.Path
+    return make(path).getFileSystem(spark._jsc.hadoopConfiguration()), make
+
+
+def read_manifest(spark: SparkSession, path: str) -> tuple[int, list[str]]:
+    """Number and month folders (``part_month=.../part_load=...``) of the newest manifest; (0, []) if there is none."""
+    fs, make = _files(spark, path)
+    folder = make(f"{path}/{MANIFESTS}")
+    names = [f.getPath().getName() for f in fs.listStatus(folder)] if fs.exists(folder) else []
+    version = max((int(n) for n in names if n.isdigit()), default=0)
+    if not version:
+        return 0, []
+    stream = fs.open(make(f"{path}/{MANIFESTS}/{version:012d}"))
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return version, [line for line in text.split("\n") if line]
+
+
+def write_manifest(spark: SparkSession, path: str, version: int, folders: list[str]) -> None:
+    """Publish ``folders`` as the table's content in one step: a file is written aside and renamed. A second
+    writer of the same version fails, since the name is taken."""
+    fs, make = _files(spark, path)
+    aside = make(f"{path}/{MANIFESTS}/.{version:012d}-{uuid.uuid4().hex}")
+    stream = fs.create(aside)
+    try:
+        stream.write(bytearray("\n".join(sorted(folders)) + "\n", "utf-8"))
+    finally:
+        stream.close()
+    if not fs.rename(aside, make(f"{path}/{MANIFESTS}/{version:012d}")):
+        raise RuntimeError(f"version {version} of {path} was written by another job")
+
+
+def _read_folders(spark: SparkSession, path: str, folders: list[str], schema: StructType) -> DataFrame:
+    full = StructType([*partitioned_schema(schema).fields]).add(SNAPSHOT, "string")
+    if not folders:
+        return spark.createDataFrame([], full)
+    return spark.read.schema(full).option("basePath", path).parquet(*(f"{path}/{f}" for f in folders))
+
+
+def read_range_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """The table as its newest manifest has it. A load that runs meanwhile writes other folders."""
+    return _read_folders(spark, path, read_manifest(spark, path)[1], schema)
 
 
 def append(df: DataFrame, path: str) -> int:
-    """Append and return the number of rows, counted while writing; no rows is no change."""
-    seen = Observation()
-    df.observe(seen, F.count(F.lit(1)).alias("n")).write.mode("append").parquet(path)
-    return seen.get["n"]
+    """Append and return the number of rows, counted from what is appended; no rows write nothing."""
+    df = settle(df)
+    n = df.count()
+    if n:
+        df.write.mode("append").parquet(path)
+    return n
 
 
 def replace_keys(target: DataFrame, new: DataFrame, key: str, scope: str | None = None) -> DataFrame:
     """``target`` without the rows whose key occurs in ``new``, plus ``new``.
 
-    With ``scope`` a row is replaced only when both columns match. A list of keys that is
-    short, as periods are, is used as a plain predicate that reaches the scan; a longer list
-    is joined.
+    With ``scope`` a row is replaced only when both columns match. Null keys replace nothing.
     """
     cols = [key, scope] if scope else [key]
-    listed = new.select(*cols).dropna().distinct().limit(MAX_LISTED_KEYS + 1).collect()
-    if len(listed) > MAX_LISTED_KEYS:
-        return target.join(new.select(*cols).distinct(), cols, "left_anti").unionByName(new)
-    by_scope: dict = {}
-    for row in listed:
-        by_scope.setdefault(row[1] if scope else None, []).append(row[0])
-    kept = target
-    for value, keys in by_scope.items():
-        gone = F.col(key).isin(keys)
-        if scope:
-            gone = gone & (F.col(scope) == value)
-        kept = kept.filter(~F.coalesce(gone, F.lit(False)))
-    return kept.unionByName(new)
+    return target.join(new.select(*cols).dropna().distinct(), cols, "left_anti").select(*target.columns).unionByName(new)
 
 
 def replace_from(target: DataFrame, new: DataFrame, ts_col: str, cutoff: str) -> DataFrame:
@@ -108,23 +145,40 @@ class Written(NamedTuple):
     top: date | datetime | int | None
 
 
-def _overwrite_months(df: DataFrame, path: str) -> None:
-    """Write the month folders that ``df`` has rows for; other folders stay.
+def _month_of(folder: str) -> str | None:
+    """Month of a manifest line, None for rows without a time."""
+    value = folder.split("/")[0].partition("=")[2]
+    return None if value == "__HIVE_DEFAULT_PARTITION__" else value
 
-    Rebalancing gathers small months and splits a hot one over several tasks and files.
+
+class _Load:
+    """One load of a range table: rows go to folders of its own, and count once the manifest lists them.
+
+    Nothing that readers see is changed or removed before that, so a crash at any point leaves the old
+    table, and a rerun writes new folders. Folders that no manifest lists may be deleted at any time.
     """
-    (
-        df.hint("rebalance", MONTH)
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(MONTH)
-        .parquet(path)
-    )
 
+    def __init__(self, spark: SparkSession, path: str, schema: StructType):
+        self.spark, self.path, self.schema = spark, path, schema
+        self.name = uuid.uuid4().hex
+        self.version, self.folders = read_manifest(spark, path)
+
+    def write(self, df: DataFrame) -> None:
+        """Rebalancing gathers small months and splits a hot one over several tasks and files."""
+        marked = df.select(*self.schema.names, MONTH, F.lit(self.name).alias(SNAPSHOT))
+        marked.hint("rebalance", MONTH).write.mode("append").partitionBy(MONTH, SNAPSHOT).parquet(self.path)
 
-def _months(df: DataFrame) -> list:
-    """Month folders of a table, a handful per year."""
-    return sorted(row[0] for row in df.select(MONTH).distinct().collect() if row[0] is not None)
+    def own(self) -> list[str]:
+        """The folders this load has written, from the listing of its months."""
+        fs, make = _files(self.spark, self.path)
+        found = fs.globStatus(make(f"{self.path}/{MONTH}=*/{SNAPSHOT}={self.name}"))
+        return [f"{f.getPath().getParent().getName()}/{f.getPath().getName()}" for f in found or ()]
+
+    def read(self, folders: list[str]) -> DataFrame:
+        return _read_folders(self.spark, self.path, folders, self.schema).drop(SNAPSHOT)
+
+    def publish(self, kept: list[str]) -> None:
+        write_manifest(self.spark, self.path, self.version + 1, [*kept, *self.own()])
 
 
 def _measured(df: DataFrame, col: str) -> Written:
@@ -134,20 +188,25 @@ def _measured(df: DataFrame, col: str) -> Written:
 def write_replace_keys(
     spark: SparkSession, path: str, new: DataFrame, key: str, schema: StructType, scope: str | None = None
 ) -> Written:
-    """Replace the rows whose ``key`` date occurs in ``new``.
+    """Replace the rows whose ``key`` date occurs in ``new``; rows of ``new`` without a date are left out.
 
-    Only month folders that hold one of those dates are read and rewritten. ``new`` is settled,
-    since its dates, its rows and its measures are needed; the merged rows are settled only when
-    there is something to merge with.
+    The new rows are written once and measured from what was written. Only months that they touch are
+    read, and their rows that stay are written beside the new ones.
     """
-    full = partitioned_schema(schema)
-    ensure_table(spark, path, full, MONTH)
-    new = settle(new.select(*schema.names).withColumn(MONTH, month_of(F.col(key))))
-    measured = _measured(new, key)
+    load = _Load(spark, path, schema)
+    dated = new.filter(F.col(key).isNotNull())
+    load.write(dated.select(*schema.names).withColumn(MONTH, month_of(F.col(key))))
+    own = load.own()
+    fresh = load.read(own)
+    measured = _measured(fresh, key)
     if measured.rows == 0:
         return measured
-    touched = spark.read.schema(full).parquet(path).filter(F.col(MONTH).isin(_months(new)))
-    _overwrite_months(settle(replace_keys(touched, new, key, scope)) if _months(touched) else new, path)
+    months = {_month_of(f) for f in own}
+    touched = [f for f in load.folders if _month_of(f) in months]
+    if touched:
+        cols = [key, scope] if scope else [key]
+        load.write(load.read(touched).join(fresh.select(*cols).distinct(), cols, "left_anti"))
+    load.publish([f for f in load.folders if f not in touched])
     return measured
 
 
@@ -171,29 +230,21 @@ def write_replace_from(
 ) -> Written:
     """Replace everything at or after ``cutoff`` by ``new``, whose rows all lie there.
 
-    Months before the cutoff are neither read nor rewritten. Rows of the cutoff's own month
-    that lie before it are kept. Later months without a new row are emptied, which an overwrite
-    of only the incoming partitions would miss. Rows to write are settled in the shared folder
-    first when they come partly from the folders being overwritten; a first load is written
-    straight away. No new rows change nothing. A rerun with the same input gives the same table.
+    Months before the cutoff, and rows without a time, are neither read nor written. Rows of the
+    cutoff's own month that lie before it are written beside the new ones; later months are the new
+    rows' alone. No new rows change nothing. A rerun with the same input gives the same table.
     """
-    full = partitioned_schema(schema)
-    ensure_table(spark, path, full, MONTH)
-    bound = F.lit(cutoff).cast(schema[ts_col].dataType)
-    first_month = F.trunc(F.lit(cutoff).cast("timestamp_ntz"), "MM")
-    tail = spark.read.schema(full).parquet(path).filter(F.col(MONTH) >= first_month)
-    incoming = new.select(*schema.names).withColumn(MONTH, month_of(F.col(ts_col)))
-    before = _months(tail)
-    if not before:
-        _overwrite_months(incoming, path)
-        return _measured(spark.read.schema(full).parquet(path).filter(F.col(MONTH) >= first_month), ts_col)
-    settled = settle(replace_from(tail, incoming, ts_col, cutoff))
-    measured = _measured(settled.filter(F.col(ts_col) >= bound), ts_col)
+    load = _Load(spark, path, schema)
+    load.write(new.select(*schema.names).withColumn(MONTH, month_of(F.col(ts_col))))
+    measured = _measured(load.read(load.own()), ts_col)
     if measured.rows == 0:
         return measured
-    for month in sorted(set(before) - set(_months(settled))):
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/{MONTH}={month}")
-    _overwrite_months(settled, path)
+    first = cutoff[:7] + "-01"
+    split = [f for f in load.folders if _month_of(f) == first]
+    if split:
+        bound = F.lit(cutoff).cast(schema[ts_col].dataType)
+        load.write(load.read(split).filter(F.col(ts_col) < bound))
+    load.publish([f for f in load.folders if _month_of(f) is None or _month_of(f) < first])
     return measured
 
 

@@ -1,47 +1,30 @@
-"""Incremental run over a landing folder of feature pages."""
+"""Incremental run over a landing folder of fetches."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StringType, StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
-from areascore.plans.ingest import TIME_FORMAT, load_range, stage_crime, stage_permits
-from areascore.schemas import CRIME_ATTRIBUTES, PERMIT_ATTRIBUTES, feature_page
-from areascore.session import settle
-from areascore.sources.files import assert_no_error_pages, unwrap_features
+from areascore.plans.ingest import COMPLETE, complete_fetches, ingest_feed
 
-FEEDS: dict[str, tuple[StructType, Callable[[DataFrame], DataFrame], str]] = {
-    "crime": (CRIME_ATTRIBUTES, stage_crime, "incident_occurred"),
-    "permits": (PERMIT_ATTRIBUTES, stage_permits, "date_issued"),
-}
+MARKER = StructType([StructField("value", StringType()), StructField("load", StringType())])
 
 
 def run_incremental(
     spark: SparkSession, landing: str, table_dir: str, checkpoint: str, state: str, source: str = "crime"
 ) -> None:
-    """Load every fetch that landed since the last run, then stop.
+    """Load every fetch that was completed since the last run, then stop.
 
-    ``landing`` holds one folder per fetch, ``load=<name>``, with its pages. A batch may carry
-    several fetches whose lookback ranges overlap, so they are applied one after the other in
-    name order, as the runs they stand for would have been. Replaying a batch replaces the same
-    range by the same rows.
+    The stream reads completion markers, not pages: a fetch whose pages are still landing is not
+    seen, and once its marker is there all its pages are read, whenever they landed. The fetches of a
+    batch are applied in one plan. A batch that is replayed finds its fetches in the log of applied
+    ones, or replaces the same range by the same rows.
     """
-    attributes, stage, ts_col = FEEDS[source]
-    schema = StructType([*feature_page(attributes).fields]).add("load", StringType())
-
-    def apply(batch: DataFrame, _batch_id: int) -> None:
-        pages = settle(batch)
-        assert_no_error_pages(pages)
-        # One entry per fetch since the last run, not per row.
-        loads = [row[0] for row in pages.select("load").distinct().orderBy("load").collect()]
-        for load in loads:
-            one = unwrap_features(pages.filter(F.col("load").eqNullSafe(load)))
-            load_range(spark, source, stage(one), ts_col, table_dir, state, TIME_FORMAT)
-
-    stream = spark.readStream.schema(schema).option("multiLine", True).json(landing)
+
+    def apply(markers: DataFrame, _batch_id: int) -> None:
+        ingest_feed(spark, source, landing, table_dir, state, complete_fetches(markers))
+
+    stream = spark.readStream.schema(MARKER).option("pathGlobFilter", COMPLETE).text(landing)
     query = (
         stream.writeStream.foreachBatch(apply)
         .option("checkpointLocation", checkpoint)

@@ -1,4 +1,5 @@
 import gzip
+import os
 from datetime import date, datetime
 
 import pytest
@@ -67,6 +68,18 @@ def test_home_values_incremental_per_metric(spark, write, place):
     assert tables.get_state(spark, place[2], "home_values/ZHVF")[0] == "2025-01-31"
 
 
+def test_releases_are_read_by_their_own_headers(spark, write, place):
+    head = f"{WIDE},2024-01-31,2024-02-29"
+    write("land/ZHVI/2024-02.csv", f"{head}\n1,0,37203,Zip,x,TN,c,m,Davidson,1,2\n")
+    write("land/ZHVI/2024-03.csv", f"{WIDE},2024-02-29,2024-03-31\n1,0,37203,Zip,x,TN,c,m,Davidson,20,3\n")
+    assert ingest.ingest_home_values(spark, *place) == 3
+    want = [(date(2024, 1, 31), 1.0), (date(2024, 2, 29), 20.0), (date(2024, 3, 31), 3.0)]
+    assert stored(spark, place, "home_values", "period_month", "value") == want
+    write("land/ZORI/x.csv", "RegionID,2024-01-31\n1,2\n")
+    with pytest.raises(ValueError, match="RegionName"):
+        ingest.ingest_home_values(spark, *place)
+
+
 def test_home_values_without_the_state_is_empty(spark, write, place):
     wide(write, "ZHVI", ["2024-01-31"], ("28202", "NC", "1"), ("30301", "GA", "1"))
     assert ingest.ingest_home_values(spark, *place) == 0
@@ -103,6 +116,19 @@ def test_market_parse_and_incremental(spark, place):
     assert tables.get_state(spark, place[2], "market") == ("2024-03-31", '"v2"')
 
 
+def test_market_files_with_another_column_order_fail_and_null_periods_are_left_out(spark, place):
+    full = ["45", "10", "0.98", "NA", "450000", "3", "2"]
+    market(place, ["Zip Code: 37040", "TN", "c", "", *full])
+    assert ingest.ingest_market(spark, *place) == 0
+    market(place, ["Zip Code: 37040", "TN", "c", "2024-03-24", *full], ["Zip Code: 37041", "TN", "c", "", *full])
+    assert ingest.ingest_market(spark, *place) == 1
+    with gzip.open(f"{place[0]}/zother.tsv.gz", "wt") as f:
+        f.write("\t".join(["STATE_CODE", "REGION", "CITY", "PERIOD_END", *MARKET_COLS]) + "\n")
+        f.write("\t".join(["TN", "Zip Code: 37042", "c", "2024-03-31", *full]) + "\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        ingest.ingest_market(spark, *place)
+
+
 def test_market_without_the_state_is_empty(spark, place):
     market(place, ["Zip Code: 10001", "NY", "c", "2024-03-31", *(["1"] * 7)])
     assert ingest.ingest_market(spark, *place) == 0
@@ -130,12 +156,23 @@ def test_census(spark, write, place):
     assert stored(spark, place, "census_county", "county_fips", "county_name", "state_fips", "poverty_count") == [
         ("47037", "Davidson County", "47", None)
     ]
-    assert tables.get_state(spark, place[2], "census")[0] == "2022"
+    assert tables.get_state(spark, place[2], "census/zip")[0] == "2022"
     assert ingest.ingest_census(spark, *place) == {"zip": 0, "county": 0}
     census(write, 2024, ("1", "1", "1", "37203"))
     assert ingest.ingest_census(spark, *place) == {"zip": 1, "county": 1}
     assert len(stored(spark, place, "census_zip")) == 5
-    assert tables.get_state(spark, place[2], "census")[0] == "2024"
+    assert tables.get_state(spark, place[2], "census/county")[0] == "2024"
+
+
+def test_census_parts_land_apart_and_later_years_load(spark, write, place):
+    census(write, 2023, ("1", "1", "1", "37203"))
+    os.rename(f"{place[0]}/zip", f"{place[0]}/zip-later")
+    assert ingest.ingest_census(spark, *place) == {"zip": 0, "county": 1}
+    os.rename(f"{place[0]}/zip-later", f"{place[0]}/zip")
+    assert ingest.ingest_census(spark, *place) == {"zip": 1, "county": 0}
+    census(write, 2031, ("2", "2", "2", "37203"))
+    assert ingest.ingest_census(spark, *place) == {"zip": 1, "county": 1}
+    assert stored(spark, place, "census_zip", "vintage_year") == [(2023,), (2031,)]
 
 
 # -- crime ------------------------------------------------------------------------------------
@@ -159,31 +196,93 @@ def test_crime_stage_rules(spark):
     assert ingest.stage_crime(raw.filter("ZIP_Code = 'UNK'")).count() == 0
 
 
+def fetch(write, name, *pages, complete=True):
+    """A landed fetch: its pages, and the marker with their number."""
+    for i, content in enumerate(pages):
+        write(f"land/load={name}/p{i}.json", content)
+    if complete:
+        write(f"land/load={name}/complete", f"{len(pages)}\n")
+
+
+def crimes(spark, place):
+    return sorted((r[0], r[1]) for r in stored(spark, place, "crime", "incident_occurred", "incident_type"))
+
+
 def test_crime_lookback_and_replay(spark, write, place):
-    write("land/p1.json", page(incident(ms(2024, 1, 5)), incident(ms(2024, 3, 1, 10))))
-    write("land/p2.json", page(incident(ms(2024, 2, 20)), incident(ms(2024, 2, 21), "UNK")))
+    fetch(write, "01", page(incident(ms(2024, 1, 5)), incident(ms(2024, 3, 1, 10))), page(incident(ms(2024, 2, 20)), incident(ms(2024, 2, 21), "UNK")))
     assert ingest.ingest_crime(spark, *place) == 3
     assert tables.get_state(spark, place[2], "crime")[0] == "2024-03-01T10:00:00"
-    first = stored(spark, place, "crime", "incident_occurred", "incident_type")
-    assert ingest.ingest_crime(spark, *place) == 2  # the same rows, within the lookback
-    assert stored(spark, place, "crime", "incident_occurred", "incident_type") == first
+    first = crimes(spark, place)
+    assert ingest.ingest_crime(spark, *place) == 0 and crimes(spark, place) == first
     # A late record inside the lookback arrives once, one before it does not.
-    write("land/p3.json", page(incident(ms(2024, 2, 10), kind="LATE"), incident(ms(2024, 1, 6), kind="TOO LATE")))
-    for _ in range(2):
-        assert ingest.ingest_crime(spark, *place) == 3
-        assert [r[1] for r in stored(spark, place, "crime", "incident_occurred", "incident_type")] == ["THEFT", "LATE", "THEFT", "THEFT"]
+    again = [incident(ms(2024, 2, 20)), incident(ms(2024, 3, 1, 10))]
+    fetch(write, "02", page(*again, incident(ms(2024, 2, 10), kind="LATE"), incident(ms(2024, 1, 6), kind="TOO LATE")))
+    assert ingest.ingest_crime(spark, *place) == 3
+    want = [(datetime(2024, 1, 5), "THEFT"), (datetime(2024, 2, 10), "LATE"), (datetime(2024, 2, 20), "THEFT"), (datetime(2024, 3, 1, 10), "THEFT")]
+    assert crimes(spark, place) == want
+
+
+def test_overlapping_fetches_store_each_incident_once(spark, write, place):
+    two = [incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2))]
+    fetch(write, "01", page(*two))
+    fetch(write, "02", page(*two, incident(ms(2024, 3, 5))))
+    assert ingest.ingest_crime(spark, *place) == 3
+    assert [r[0].day for r in crimes(spark, place)] == [1, 2, 5]
+
+
+def test_a_fetch_counts_when_it_is_complete(spark, write, place):
+    fetch(write, "01", page(incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2))), complete=False)
+    assert ingest.ingest_crime(spark, *place) == 0
+    write("land/load=01/p1.json", page(incident(ms(2024, 3, 5))))
+    write("land/load=01/complete", "3")
+    with pytest.raises(ValueError, match="2 of 3 pages"):
+        ingest.ingest_crime(spark, *place)
+    write("land/load=01/complete", "2")
+    assert ingest.ingest_crime(spark, *place) == 3
+    assert [r[0].day for r in crimes(spark, place)] == [1, 2, 5]
+
+
+def test_many_fetches_equal_the_runs_they_stand_for(spark, write, place, monkeypatch):
+    days = [(2024, 1, 1 + i) for i in range(24)]
+    for i in range(8):
+        fetch(write, f"{i:03d}", page(*(incident(ms(*d), kind=f"f{i}") for d in days[max(0, 3 * i - 2) : 3 * i + 3])))
+    monkeypatch.setitem(ingest.fixed.LOOKBACK, "crime", (2, "2010-01-01T00:00:00"))
+    jobs = lambda: len(spark.sparkContext.statusTracker().getJobIdsForGroup("many"))
+    spark.sparkContext.setJobGroup("many", "many")
+    ingest.ingest_crime(spark, *place)
+    used = jobs()
+    spark.sparkContext.setJobGroup("one", "one")
+    apart = (place[0], f"{place[1]}-apart", f"{place[2]}-apart")
+    for i in range(8):
+        ingest.ingest_feed(spark, "crime", *apart, fetches=[(f"{i:03d}", 1)])
+    assert crimes(spark, place) == crimes(spark, apart) and used < 40
+    assert tables.get_state(spark, place[2], "crime")[0] == tables.get_state(spark, apart[2], "crime")[0]
+
+
+@pytest.mark.parametrize("step", ["write_manifest", "set_state"])
+def test_a_crash_leaves_the_old_table_and_a_rerun_mends_it(spark, write, place, monkeypatch, step):
+    fetch(write, "01", page(incident(ms(2024, 2, 10)), incident(ms(2024, 3, 2))))
+    assert ingest.ingest_crime(spark, *place) == 2
+    before = crimes(spark, place)
+    fetch(write, "02", page(incident(ms(2024, 2, 10)), incident(ms(2024, 3, 2)), incident(ms(2024, 3, 9))))
+    with monkeypatch.context() as m:
+        m.setattr(tables if step == "write_manifest" else ingest, step, lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.ingest_crime(spark, *place)
+    assert crimes(spark, place) == before or step == "set_state"
+    assert ingest.ingest_crime(spark, *place) == 3
+    assert [r[0].day for r in crimes(spark, place)] == [10, 2, 9]
 
 
 def test_crime_error_page_changes_nothing(spark, write, place):
-    write("land/p1.json", page(incident(ms(2024, 1, 5))))
-    write("land/p2.json", {"error": {"code": 429}})
+    fetch(write, "01", page(incident(ms(2024, 1, 5))), {"error": {"code": 429}})
     with pytest.raises(ValueError, match="error"):
         ingest.ingest_crime(spark, *place)
     assert tables.get_state(spark, place[2], "crime") == (None, None)
 
 
 def test_crime_empty_pages(spark, write, place):
-    write("land/p1.json", {"features": []})
+    fetch(write, "01", {"features": []})
     assert ingest.ingest_crime(spark, *place) == 0
 
 
@@ -198,7 +297,7 @@ def test_permits(spark, write, place):
         {**base, "Permit__": "P003", "Date_Issued": None, "Const_Cost": 1},
         {**base, "Permit__": "P004", "Date_Issued": 1672574400000, "Const_Cost": "about 5"},
     ]
-    write("land/p.json", page(*raw))
+    fetch(write, "1", page(*raw))
     assert ingest.ingest_permits(spark, *place) == 3
     six = datetime(2023, 1, 1, 6)
     assert stored(spark, place, "permits", "permit_number", "date_issued", "construction_cost") == [
@@ -211,25 +310,25 @@ def test_permits(spark, write, place):
 
 def test_rates(spark, write, place):
     obs = [("2024-01-04", "6.62"), ("2024-01-11", "."), ("2024-01-18", "6.59")]
-    write("land/r.json", {"observations": [{"date": d, "value": v} for d, v in obs]})
+    fetch(write, "1", {"observations": [{"date": d, "value": v} for d, v in obs]})
     assert ingest.ingest_rates(spark, *place) == 2
     assert stored(spark, place, "rates", "observation_date", "rate", "series_id") == [
         (date(2024, 1, 18), 6.59, "MORTGAGE30US"), (date(2024, 1, 4), 6.62, "MORTGAGE30US"),
     ]
-    write("land/r2.json", {"observations": [{"date": "2024-01-25", "value": "6.69"}]})
+    fetch(write, "2", {"observations": [{"date": d, "value": v} for d, v in (("2024-01-18", "6.59"), ("2024-01-25", "6.69"))]})
     assert ingest.ingest_rates(spark, *place) == 2  # the stored date again, and the new one
     assert [r[0].day for r in stored(spark, place, "rates", "observation_date")] == [18, 25, 4]
     assert tables.get_state(spark, place[2], "rates")[0] == "2024-01-25"
 
 
 def test_rates_empty(spark, write, place):
-    write("land/r.json", {"observations": []})
+    fetch(write, "1", {"observations": []})
     assert ingest.ingest_rates(spark, *place) == 0
 
 
 def test_property(spark, write, place):
     sale = {"APN": "a1", "PropZip": 37203, "LUCode": 11, "LUDesc": "SINGLE", "SalePrice": 1, "OwnDate": ms(2024, 3, 15, 13), "ValidSale": "Y", "TotlAppr": 2, "TotlAssd": 3.5}
-    write("land/p.json", page(sale, {**sale, "APN": "a2", "SalePrice": None}, {**sale, "APN": "a3", "OwnDate": None}, {**sale, "APN": "a4", "ValidSale": "N"}))
+    fetch(write, "1", page(sale, {**sale, "APN": "a2", "SalePrice": None}, {**sale, "APN": "a3", "OwnDate": None}, {**sale, "APN": "a4", "ValidSale": "N"}))
     assert ingest.ingest_property(spark, *place) == 2
     assert stored(spark, place, "property", "apn", "prop_zip", "lu_code", "sale_price", "own_date", "totl_assd") == [
         ("a1", "37203", "11", 1.0, date(2024, 3, 15), 3.5), ("a2", "37203", "11", None, date(2024, 3, 15), 3.5),

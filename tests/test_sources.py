@@ -93,6 +93,6 @@ def test_relationship_and_geojson(spark, write):
 
 def test_wide_csv_and_named_table(spark, write):
     df = files.read_wide_csv(spark, write("w.csv", "RegionName,State,2024-01-31\n37203,TN,450000.0\n"))
-    assert rows(df) == [("37203", "TN", "450000.0")]
+    assert rows(df) == [("37203", "TN", "450000.0", 0)]
     spark.createDataFrame([(date(2024, 1, 1),)], ["d"]).createOrReplaceTempView("some_view")
     assert rows(files.read_table(spark, "some_view")) == [(date(2024, 1, 1),)]

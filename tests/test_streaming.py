@@ -1,7 +1,7 @@
 from datetime import datetime
 
 from conftest import page, rows
-from test_ingest import incident, ms
+from test_ingest import fetch, incident, ms
 
 from areascore.sources import tables
 from areascore.streaming.counts import stream_counts, tumbling_counts, yearly_from_windows
@@ -11,20 +11,25 @@ from areascore.streaming.incremental import run_incremental
 def test_incremental_runs_and_replay(spark, write, tmp_path):
     landing, raw, state = str(tmp_path / "land"), str(tmp_path / "raw"), str(tmp_path / "state")
     run = lambda mark: run_incremental(spark, landing, raw, str(tmp_path / mark), state)
-    table = lambda: rows(tables.read_raw(spark, raw, "crime"), "incident_occurred", "incident_type")
-    write("land/load=01/p1.json", page(incident(ms(2024, 1, 5)), incident(ms(2024, 2, 1))))
-    write("land/load=01/p2.json", page(incident(ms(2024, 2, 20))))
+    table = lambda: sorted(r[0] for r in rows(tables.read_raw(spark, raw, "crime"), "incident_occurred", "incident_type"))
+    # A run while a fetch is landing sees nothing of it; the next one reads all its pages.
+    fetch(write, "01", page(incident(ms(2024, 1, 5)), incident(ms(2024, 2, 1))), complete=False)
     run("ck")
-    assert [r[0] for r in table()] == [datetime(2024, 1, 5), datetime(2024, 2, 1), datetime(2024, 2, 20)]
+    assert table() == []
+    fetch(write, "01", page(incident(ms(2024, 1, 5)), incident(ms(2024, 2, 1))), page(incident(ms(2024, 2, 20))))
+    run("ck")
+    assert table() == [datetime(2024, 1, 5), datetime(2024, 2, 1), datetime(2024, 2, 20)]
 
     # Two fetches with overlapping lookback land before the next run; each repeats the range.
-    write("land/load=02/p1.json", page(incident(ms(2024, 2, 1)), incident(ms(2024, 2, 10), kind="LATE"), incident(ms(2024, 2, 20)), incident(ms(2024, 3, 1))))
-    write("land/load=03/p1.json", page(incident(ms(2024, 2, 1)), incident(ms(2024, 2, 10), kind="LATE"), incident(ms(2024, 2, 20)), incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2))))
+    again = [incident(ms(2024, 2, 1)), incident(ms(2024, 2, 10), kind="LATE"), incident(ms(2024, 2, 20)), incident(ms(2024, 3, 1))]
+    fetch(write, "02", page(*again))
+    fetch(write, "03", page(*again, incident(ms(2024, 3, 2))))
     run("ck")
     want = [datetime(2024, 1, 5), datetime(2024, 2, 1), datetime(2024, 2, 10), datetime(2024, 2, 20), datetime(2024, 3, 1), datetime(2024, 3, 2)]
-    assert sorted(r[0] for r in table()) == want
+    assert table() == want
     run("ck")
-    assert sorted(r[0] for r in table()) == want
+    run("another checkpoint, which replays every batch")
+    assert table() == want
     assert tables.get_state(spark, state, "crime")[0] == "2024-03-02T00:00:00"
 
 
