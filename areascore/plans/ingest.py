@@ -301,6 +301,37 @@ def applied_fetches(spark: SparkSession, log: str) -> set[str]:
     return {r[0] for r in spark.read.parquet(log).select("load").collect()} if path_exists(spark, log) else set()
 
 
+def fetch_ranges(
+    names: Sequence[str], tops: dict, watermark: str | None, lookback: tuple[int, str], pattern: str
+) -> tuple[list[tuple[str, str, str | None]], str | None]:
+    """(fetch, first time it replaces, first time a later one replaces) of the fetches that have something new, and the
+    watermark after the last. ``tops`` has the newest time of each fetch; one that ends before its bound
+    changes nothing."""
+    bounds: list[tuple[str, str]] = []
+    for name in names:
+        bound, top = lookback_bound(watermark, *lookback), tops.get(name)
+        if top is not None and top.strftime(TIME_FORMAT) >= bound:
+            bounds.append((name, bound))
+            watermark = top.strftime(pattern)
+    ranges: list[tuple[str, str, str | None]] = []
+    until = None
+    for name, bound in reversed(bounds):
+        ranges.append((name, bound, until))
+        until = bound if until is None else min(until, bound)
+    return ranges, watermark
+
+
+def last_fetch_wins(staged: DataFrame, ranges: list[tuple[str, str, str | None]], ts_col: str) -> DataFrame:
+    """Rows of ``staged`` (with ``load``) that lie in the part of time where their fetch is the last to speak."""
+    kind = staged.schema[ts_col].dataType
+    table = staged.sparkSession.createDataFrame(ranges, "load string, _from string, _until string").withColumns(
+        {"_from": F.col("_from").cast(kind), "_until": F.col("_until").cast(kind)}
+    )
+    return staged.join(table, "load").filter(
+        (F.col(ts_col) >= F.col("_from")) & (F.col("_until").isNull() | (F.col(ts_col) < F.col("_until")))
+    )
+
+
 def load_fetches(
     spark: SparkSession,
     source: str,
@@ -336,29 +367,13 @@ def load_fetches(
     staged = stage(read(spark, folders, landing_dir))
     tops = dict(staged.groupBy("load").agg(F.max(ts_col)).collect())
     watermark, _ = get_state(spark, state, source)
-    bounds: list[tuple[str, str]] = []
-    for name in names:
-        bound = lookback_bound(watermark, *fixed.LOOKBACK[source])
-        top = tops.get(name)
-        if top is not None and top.strftime(TIME_FORMAT) >= bound:
-            bounds.append((name, bound))
-            watermark = top.strftime(pattern)
-    if bounds:
-        ranges, until = [], None
-        for name, bound in reversed(bounds):
-            ranges.append((name, bound, until))
-            until = bound if until is None else min(until, bound)
-        kind = RAW_TABLES[source][ts_col].dataType
-        ranged = spark.createDataFrame(ranges, "load string, _from string, _until string").withColumns(
-            {"_from": F.col("_from").cast(kind), "_until": F.col("_until").cast(kind)}
-        )
-        kept = staged.join(ranged, "load").filter(
-            (F.col(ts_col) >= F.col("_from")) & (F.col("_until").isNull() | (F.col(ts_col) < F.col("_until")))
-        )
-        rows = write_replace_from(spark, f"{table_dir}/{source}", kept, ts_col, until, RAW_TABLES[source]).rows
+    ranges, watermark = fetch_ranges(names, tops, watermark, fixed.LOOKBACK[source], pattern)
+    rows = 0
+    if ranges:
+        kept = last_fetch_wins(staged, ranges, ts_col)
+        lowest = min(bound for _, bound, _ in ranges)
+        rows = write_replace_from(spark, f"{table_dir}/{source}", kept, ts_col, lowest, RAW_TABLES[source]).rows
         set_state(spark, state, source, watermark)
-    else:
-        rows = 0
     spark.createDataFrame([(n,) for n in names], "load string").coalesce(1).write.mode("append").parquet(log)
     return rows
 

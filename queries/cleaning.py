@@ -24,6 +24,7 @@ from areascore.functions.times import (
     to_epoch_ms,
     year_of,
 )
+from areascore.plans.ingest import TIME_FORMAT, fetch_ranges, last_fetch_wins
 from areascore.operators.aggregates import count_by, count_loss, high_water, periods
 from areascore.operators.filters import (
     drop_all_null,
@@ -72,11 +73,13 @@ def region_assignment(spark, sf):
     )
     best = argmax_by(supplied, "l_partkey", "overlap", ["s_nationkey"])
     part = s.load(spark, sf, "part").select(F.col("p_partkey").alias("l_partkey"), "p_brand")
-    # One entry per nation.
-    names = {row[0]: (row[1], row[1]) for row in s.load(spark, sf, "nation").select("n_nationkey", "n_name").collect()}
+    nation = s.load(spark, sf, "nation").select(F.col("n_nationkey").alias("s_nationkey"), "n_name")
     split = {"Low": ["Brand#1", "Brand#2", "Brand#3"], "High": ["Brand#7", "Brand#8", "Brand#9"]}
-    region = region_of(F.col("p_brand"), F.col("s_nationkey"), names, 0, split, "Middle")
-    return count_by(best.join(part, "l_partkey").withColumn("region", region), ["region"], "areas")
+    inside = region_of(F.col("p_brand"), F.lit(0), {}, 0, split, "Middle")
+    placed = best.join(nation, "s_nationkey").join(part, "l_partkey").withColumn(
+        "region", F.when(F.col("s_nationkey") == 0, inside).otherwise(F.col("n_name"))
+    )
+    return count_by(placed, ["region"], "areas")
 
 
 @query(
@@ -376,10 +379,34 @@ def weekly_counts(spark, sf):
 
 
 @query(
-    """SELECT p_partkey AS source_name FROM part
-       WHERE NOT EXISTS (SELECT 1 FROM lineitem WHERE l_partkey = p_partkey AND l_quantity >= 50)"""
+    """SELECT c_custkey AS source_name FROM customer
+       WHERE NOT EXISTS (SELECT 1 FROM supplier WHERE s_suppkey = c_custkey)"""
 )
 def seed_state_if_absent(spark, sf):
-    """Parts without a full-sized sale; the sold ones stand for sources that have a state row."""
-    known = s.load(spark, sf, "lineitem").filter("l_quantity >= 50").select(F.col("l_partkey").alias("source_name"))
-    return init_state(s.load(spark, sf, "part").select(F.col("p_partkey").alias("source_name")), known)
+    """Customers whose number no supplier has; the suppliers stand for sources that have a state row."""
+    known = s.load(spark, sf, "supplier").select(F.col("s_suppkey").alias("source_name"))
+    return init_state(s.load(spark, sf, "customer").select(F.col("c_custkey").alias("source_name")), known)
+
+
+@query(
+    """WITH fetched AS (
+      SELECT f, event_id, ts FROM events JOIN range(0, 10) r(f)
+      ON date_diff('day', DATE '2024-01-01', CAST(ts AS DATE)) BETWEEN 3 * f - 5 AND 3 * f + 2),
+    tops AS (SELECT f, date_trunc('second', max(ts)) AS top FROM fetched GROUP BY f),
+    bounds AS (
+      SELECT f, coalesce(lag(top) OVER (ORDER BY f) - INTERVAL 5 DAY, TIMESTAMP '2010-01-01') AS bound FROM tops),
+    spoken AS (
+      SELECT f, bound, min(bound) OVER (ORDER BY f ROWS BETWEEN 1 FOLLOWING AND UNBOUNDED FOLLOWING) AS later FROM bounds)
+    SELECT event_id, CAST(f AS VARCHAR) AS load FROM fetched JOIN spoken USING (f)
+    WHERE ts >= bound AND (later IS NULL OR ts < later)"""
+)
+def overlapping_fetches(spark, sf):
+    """Ten fetches of the events, each of its three days and the five before; every event is stored once, from the
+    last fetch whose lookback covers it."""
+    events = s.load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
+    day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
+    first, last = F.greatest(F.ceil((day - 2) / 3), F.lit(0)), F.least(F.floor((day + 5) / 3), F.lit(9))
+    fetched = events.withColumn("load", F.explode(F.sequence(first, last).cast("array<string>")))
+    tops = dict(fetched.groupBy("load").agg(F.max("ts")).collect())
+    ranges, _ = fetch_ranges(sorted(tops), tops, None, (5, "2010-01-01T00:00:00"), TIME_FORMAT)
+    return last_fetch_wins(fetched, ranges, "ts").select("event_id", "load")

@@ -118,40 +118,58 @@ _PERMIT = (
     "((coalesce(CAST(permit_count AS DOUBLE), avg(permit_count) OVER ()) - min(permit_count) OVER ())"
     " / nullif(max(permit_count) OVER () - min(permit_count) OVER (), 0)) * 100"
 )
-_SCORES = ["affordability", "market_speed", "activity", "income", "poverty", "safety", "permit"]
-_SUM = " + ".join(f"coalesce({name}_score, CAST(50 AS DOUBLE))" for name in _SCORES)
+
+# The score from its rules: every signal runs from its lowest to its highest value over all areas, the span; a
+# signal where little is good counts from the top; missing safety and permit signals take the mean.
+_SPANNED = ["median_sale_price", "median_dom", "median_homes_sold", "median_household_income", "poverty_rate", "incidents_per_1k", "permit_count"]
+_SPAN = ", ".join(f"min({c}) AS {c}_low, max({c}) AS {c}_high" for c in _SPANNED)
+
+
+def _share(value: str, col: str, low: str | None = None) -> str:
+    return f"({value} - {low or f'{col}_low'}) / nullif({col}_high - {col}_low, 0)"
+
+
+_RULES = {
+    "affordability": f"1 - {_share('median_sale_price', 'median_sale_price')}",
+    "market_speed": f"1 - {_share('median_dom', 'median_dom')}",
+    "activity": _share("median_homes_sold", "median_homes_sold"),
+    "income": _share("median_household_income", "median_household_income"),
+    "poverty": f"1 - {_share('poverty_rate', 'poverty_rate')}",
+    "safety": f"1 - {_share('coalesce(incidents_per_1k, mean_incidents)', 'incidents_per_1k', 'incidents_or_0_low')}",
+    "permit": _share("coalesce(CAST(permit_count AS DOUBLE), mean_permits)", "permit_count"),
+}
+_SUM = " + ".join(f"coalesce({name}_score, CAST(50 AS DOUBLE))" for name in _RULES)
 
 SCORED = f"""
-latest_market AS (
-  SELECT * FROM activity QUALIFY row_number() OVER (PARTITION BY zip_code ORDER BY period_month DESC) = 1),
-latest_crime AS (
-  SELECT * FROM crime_index QUALIFY row_number() OVER (PARTITION BY zip_code ORDER BY incident_year DESC) = 1),
-latest_permits AS (
-  SELECT * FROM permit_activity QUALIFY row_number() OVER (PARTITION BY zip_code ORDER BY permit_year DESC) = 1),
-combined AS (
-  SELECT g.zip_code, region, county_name, county_fips, period_month AS market_as_of,
-         incident_year AS crime_as_of, median_sale_price, median_dom, median_homes_sold,
-         median_household_income, poverty_rate, incidents_per_1k, permit_year, permit_count,
-         total_construction_cost
-  FROM demographics g
-  LEFT JOIN latest_market m ON g.zip_code = m.zip_code
-  LEFT JOIN latest_crime c ON g.zip_code = c.zip_code
-  LEFT JOIN latest_permits p ON g.zip_code = p.zip_code),
-normalised AS (
-  SELECT *, {_score("median_sale_price", True)} AS affordability_score,
-         {_score("median_dom", True)} AS market_speed_score,
-         {_score("median_homes_sold", False)} AS activity_score,
-         {_score("median_household_income", False)} AS income_score,
-         {_score("poverty_rate", True)} AS poverty_score,
-         {rounded(_SAFETY)} AS safety_score,
-         {rounded(_PERMIT)} AS permit_score
-  FROM combined),
+areas AS (
+  SELECT d.zip_code, region, county_name, county_fips, market_as_of, crime_as_of,
+         market.price AS median_sale_price, market.dom AS median_dom, market.sold AS median_homes_sold,
+         median_household_income, poverty_rate, incidents_per_1k,
+         permit_year, permits.n AS permit_count, permits.cost AS total_construction_cost
+  FROM demographics d
+  LEFT JOIN (
+    SELECT zip_code, max(period_month) AS market_as_of,
+           arg_max({{'price': median_sale_price, 'dom': median_dom, 'sold': median_homes_sold}}, period_month) AS market
+    FROM activity GROUP BY zip_code) USING (zip_code)
+  LEFT JOIN (
+    SELECT zip_code, max(incident_year) AS crime_as_of,
+           arg_max({{'rate': incidents_per_1k}}, incident_year).rate AS incidents_per_1k
+    FROM crime_index GROUP BY zip_code) USING (zip_code)
+  LEFT JOIN (
+    SELECT zip_code, max(permit_year) AS permit_year,
+           arg_max({{'n': permit_count, 'cost': total_construction_cost}}, permit_year) AS permits
+    FROM permit_activity GROUP BY zip_code) USING (zip_code)),
+span AS (
+  SELECT {_SPAN}, min(coalesce(incidents_per_1k, 0)) AS incidents_or_0_low, avg(permit_count) AS mean_permits,
+         CAST(sum(CAST(incidents_per_1k AS DECIMAL(28,2))) AS DOUBLE) / count(incidents_per_1k) AS mean_incidents
+  FROM areas),
+rated AS (
+  SELECT areas.*, {", ".join(f"{rounded(f'({rule}) * 100')} AS {name}_score" for name, rule in _RULES.items())}
+  FROM areas CROSS JOIN span),
 scored AS (
   SELECT *, {rounded(f"({_SUM}) / 7")} AS opportunity_score,
-         CASE WHEN median_sale_price IS NULL AND incidents_per_1k IS NULL THEN 'Low'
-              WHEN median_sale_price IS NULL OR incidents_per_1k IS NULL THEN 'Partial'
-              ELSE 'High' END AS data_confidence
-  FROM normalised)"""
+         ['High', 'Partial', 'Low'][1 + (median_sale_price IS NULL)::INT + (incidents_per_1k IS NULL)::INT] AS data_confidence
+  FROM rated)"""
 
 CRIME_CHAIN = [s.REGIONS, s.CENSUS, DEMOGRAPHICS, s.crime_sql(), STAGED_CRIME]
 MONTHLY_CHAIN = [s.market_sql(), s.HOME_VALUES, s.RATES, ACTIVITY, PIVOT, MONTHLY_RATE, MONTHLY]
