@@ -8,10 +8,10 @@ the same files gives the same table.
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -19,7 +19,7 @@ from areascore.functions import fixed_values as fixed
 from areascore.functions.numbers import null_if_sentinel, to_double
 from areascore.functions.text import area_from_label, code_text, concat_fips, zip_from_float_text
 from areascore.functions.times import from_epoch_ms_local, from_epoch_ms_seconds, iso_date, lookback_bound
-from areascore.operators.aggregates import observe_loss
+from areascore.operators.aggregates import count_loss, observe_loss
 from areascore.operators.filters import (
     drop_all_null,
     drop_null,
@@ -332,6 +332,22 @@ def last_fetch_wins(staged: DataFrame, ranges: list[tuple[str, str, str | None]]
     )
 
 
+def record_loss(raw: DataFrame, source: str, rules: Mapping[str, Column], path: str, now: datetime | None = None) -> None:
+    """Append how many rows of ``raw`` came in, which rule was the first to drop how many, and how many passed."""
+    counts = count_loss(raw, rules).drop("percent_kept")
+    long = counts.unpivot([], counts.columns, "rule", "n_rows").withColumn("source", F.lit(source))
+    stamp_ingested(long, now).select("source", "rule", "n_rows", "ingested_at").coalesce(1).write.mode("append").parquet(path)
+
+
+#: Source -> the rules that its staging drops rows by, in order.
+LOSS_RULES: dict[str, Callable[[], dict[str, Column]]] = {
+    "crime": crime_loss_rules,
+    "permits": lambda: {"no_date": F.col("Date_Issued").isNotNull()},
+    "rates": lambda: {"no_rate": F.col("value") != fixed.RATE_MISSING},
+    "property": lambda: {"no_date": F.col("OwnDate").isNotNull(), "not_valid": F.col("ValidSale") == "Y"},
+}
+
+
 def load_fetches(
     spark: SparkSession,
     source: str,
@@ -364,7 +380,8 @@ def load_fetches(
     for name, expected in new:
         if expected is not None and counted.get(name, 0) != expected:
             raise ValueError(f"fetch {name} has {counted.get(name, 0)} of {expected} pages")
-    staged = stage(read(spark, folders, landing_dir))
+    raw = read(spark, folders, landing_dir)
+    staged = stage(raw)
     tops = dict(staged.groupBy("load").agg(F.max(ts_col)).collect())
     watermark, _ = get_state(spark, state, source)
     ranges, watermark = fetch_ranges(names, tops, watermark, fixed.LOOKBACK[source], pattern)
@@ -374,6 +391,7 @@ def load_fetches(
         lowest = min(bound for _, bound, _ in ranges)
         rows = write_replace_from(spark, f"{table_dir}/{source}", kept, ts_col, lowest, RAW_TABLES[source]).rows
         set_state(spark, state, source, watermark)
+    record_loss(raw, source, LOSS_RULES[source](), f"{table_dir}/_losses")
     spark.createDataFrame([(n,) for n in names], "load string").coalesce(1).write.mode("append").parquet(log)
     return rows
 

@@ -222,6 +222,15 @@ def test_crime_lookback_and_replay(spark, write, place):
     assert crimes(spark, place) == want
 
 
+def test_lost_rows_are_counted_by_rule(spark, write, place):
+    fetch(write, "01", page(incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2), ""), incident(ms(2024, 3, 2), "UNK"), incident(None)))
+    assert ingest.ingest_crime(spark, *place) == 1
+    losses = spark.read.parquet(f"{place[1]}/_losses").filter("source = 'crime'")
+    assert dict(losses.select("rule", "n_rows").collect()) == {
+        "rows_in": 4, "dropped_blank_area": 1, "dropped_bad_area": 1, "dropped_no_time": 1, "rows_kept": 1,
+    }
+
+
 def test_overlapping_fetches_store_each_incident_once(spark, write, place):
     two = [incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2))]
     fetch(write, "01", page(*two))
