@@ -108,6 +108,7 @@ def mix(
         docs.select(
             F.col(key).alias("doc_id"), F.col(source).alias("source"), n_words(F.col(text)).alias("size"),
             digest.alias("_draw"), F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")).alias("_text"),
+            _identity(key, source, text).alias("_same"),
         )
     )
     targets = settled(
@@ -131,7 +132,7 @@ def mix(
         at = times if at is None else F.when(kind == i, times).otherwise(at)
     return used.select(
         "doc_id", "source", "size", "source_size", "target", (F.col("size") * F.size("_uses")).alias("taken"),
-        at.alias("positions"), "_text",
+        at.alias("positions"), "_same",
     )
 
 
@@ -145,17 +146,18 @@ def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", **o
     stay as they are. Rows equal in key, source and text share their uses in any order."""
     source = options.get("source", "source")
     mixed = mix(docs, key=key, text=text, **options)
-    same = lambda *c: Window.partitionBy(*c).orderBy(*c)
-    uses = mixed.select(
-        "doc_id", "source", "_text", "positions",
-        F.row_number().over(same("doc_id", "source", "_text")).alias("_copy"),
-    )
-    given = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).alias("_id"), F.col(source).alias("_source"), F.coalesce(F.md5(F.col(text).cast("binary")), F.lit("")).alias("_digest"))
-    given = given.withColumn("_nth", F.row_number().over(same("_id", "_source", "_digest")))
-    met = given.join(
-        uses,
-        given["_id"].eqNullSafe(uses["doc_id"]) & given["_source"].eqNullSafe(uses["source"])
-        & (given["_digest"] == uses["_text"]) & (given["_nth"] == uses["_copy"]),
-    )
+    copy = F.row_number().over(Window.partitionBy("_same").orderBy("_same"))
+    uses = mixed.withColumn("_copy", copy).select(F.col("_same").alias("_used"), "_copy", "positions")
+    given = docs.select(
+        F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), _identity(key, source, text).alias("_same")
+    ).withColumn("_nth", copy)
+    # joined by the identity alone, so that the rows, texts and all, cross the network once before the sort
+    met = given.join(uses, F.col("_same") == F.col("_used")).filter(F.col("_nth") - F.col("_copy") == 0)
     placed = met.select("_row", F.explode("positions").alias("_at"))
     return placed.orderBy("_at", F.col("_row").getField(key)).select("_row.*")
+
+
+def _identity(key: str, source: str, text: str) -> Column:
+    """A digest that rows share if they are equal in key, source and text."""
+    parts = [F.col(key).cast("string"), F.col(source).cast("string"), F.md5(F.col(text).cast("binary"))]
+    return F.md5(F.concat_ws("\u0001", *(F.coalesce(p, F.lit("\u0002")) for p in parts)))
