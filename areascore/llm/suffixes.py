@@ -265,8 +265,9 @@ def repeated(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block
     """For ``texts`` (``raw`` binary, ``d1``, ``d2``): per digest the ``spans`` (s, e) of bytes that repeated windows cover, unmerged."""
     long = texts.filter(F.octet_length("raw") >= window)
     every = settled(long.select("raw", "d1", "d2").mapInArrow(_find(window, anchor), RUN_SCHEMA))
-    # most anchors occur once, and their windows then too
-    shared = every.groupBy("a").agg(F.count("*").alias("k")).filter("k > 1").select("a")
+    # Most anchors occur once, and their windows then too. Written, so that the join reads two plain exchanges and a
+    # frequent anchor can be split.
+    shared = settled(every.groupBy("a").agg(F.count("*").alias("k")).filter("k > 1").select("a"))
     runs = settled(every.join(shared, "a", "left_semi"))
     one = F.struct("d1", "d2", "at", "n", "off")
     segments = runs.groupBy("a", "s1", "s2").agg(F.count("*").alias("found"), F.min(one).alias("one"))
