@@ -1,4 +1,4 @@
-"""SimHash near-duplicates through covering masks: no pair within the radius is missed."""
+"""SimHash near-duplicates through covering masks: no pair within the radius is missed. Similar texts by shingles."""
 
 from __future__ import annotations
 
@@ -15,6 +15,13 @@ from areascore.llm.common import blocks, components, same_runs, settled, smalles
 BITS, SEED = 64, 42
 #: Fingerprints of one bucket that are compared in one piece.
 BLOCK = 2000
+#: Bands of least hashes and hashes of a band: a pair at similarity s shares a band with 1 - (1 - s^6)^24, 0.9993 at 0.8.
+BANDS, ROWS = 24, 6
+#: Differing bits up to which two fingerprints of one band are a candidate; at similarity 0.8 they differ in 9.7, with
+#: a deviation of 2.9.
+WIDE = 24
+#: Sets of shingles that are compared in one piece, and shingles that are held as a dense matrix at once.
+SETS, COLUMNS = 500, 4096
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -71,7 +78,8 @@ def _linked(bucket: np.ndarray, fp: np.ndarray, radius: int) -> tuple[np.ndarray
     while len(same):
         same = same[same + step < len(fp)]
         same = same[bucket[same] == bucket[same + step]]
-        near = same[np.bitwise_count(fp[same] ^ fp[same + step]) <= radius]
+        # unsigned: of a negative number numpy counts the bits of its absolute value
+        near = same[np.bitwise_count((fp[same] ^ fp[same + step]).view(np.uint64)) <= radius]
         a.append(near)
         b.append(near + step)
         if sum(map(len, a)) > 1_000_000:  # what is found so far, as a star
@@ -98,6 +106,12 @@ def near_links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame
     entries = fps.select("fp", under.alias("u")).select("u.mask", "u.value", "fp")
     dealt = blocks(entries, ["mask", "value"], "fp", block).select("mask", "value", "_i", "_j", "fp")
 
+    return dealt.mapInArrow(_spanning(radius), "a long, b long")
+
+
+def _spanning(radius: int):
+    """For rows sorted by four columns of a comparison: links of the fifth, ``fp``, within the radius."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held = None  # rows of the last key, which may go on
         for batch, last in _with_last(batches):
@@ -119,7 +133,7 @@ def near_links(fps: DataFrame, radius: int = 3, block: int = BLOCK) -> DataFrame
             a, b = _linked(bucket, fp, radius)
             yield pa.RecordBatch.from_arrays([pa.array(fp[a]), pa.array(fp[b])], names=["a", "b"])
 
-    return dealt.mapInArrow(run, "a long, b long")
+    return run
 
 
 def _with_last(batches):
@@ -157,11 +171,177 @@ def near_duplicates(
     )
 
 
+def shingle_set(text: bytes, shingle: int) -> np.ndarray:
+    """The distinct shingles of UTF-8 ``text`` as sorted 64-bit hashes; words and short texts as in ``fingerprint``."""
+    words = text.lower().split()
+    if not words:
+        return np.empty(0, np.uint64)
+    if len(words) < shingle:
+        parts = {b" ".join(words)}
+    else:
+        parts = set(map(b" ".join, zip(*(words[i:] for i in range(shingle)))))
+    return np.sort(np.array([xxhash.xxh64_intdigest(p, SEED) for p in parts], dtype=np.uint64))
+
+
+def _set_fingerprint(hashes: np.ndarray) -> int:
+    """As ``fingerprint``, each distinct shingle once."""
+    counts = np.zeros(BITS, dtype=np.int64)
+    for at in range(0, len(hashes), 4096):
+        raw = hashes[at : at + 4096].view(np.uint8).reshape(-1, 8)
+        counts += np.unpackbits(raw, axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+    return int(np.packbits(2 * counts > len(hashes), bitorder="little").view("<i8")[0])
+
+
+_RANDOM = np.random.default_rng(SEED)
+_FACTOR = _RANDOM.integers(2**63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_SHIFT = _RANDOM.integers(2**63, size=(BANDS * ROWS, 1), dtype=np.uint64)
+
+
+def _bands(hashes: np.ndarray) -> list[int]:
+    """For each band a hash of its least values over the set; an empty set has one value for all."""
+    least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
+    for at in range(0, len(hashes), 4096):
+        mixed = hashes[None, at : at + 4096] * _FACTOR + _SHIFT
+        mixed ^= mixed >> np.uint64(32)
+        mixed *= np.uint64(0x9E3779B97F4A7C15)
+        least = np.minimum(least, mixed.min(axis=1))
+    keys = least.astype("<u8").reshape(BANDS, ROWS)
+    return [xxhash.xxh64_intdigest(k.tobytes(), SEED) for k in keys]
+
+
+def _digest(hashes: np.ndarray) -> bytes:
+    return xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
+
+
+def _described(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fps, digests, bands = [], [], []
+            for t in batch.column(1).to_pylist():
+                hashes = shingle_set(t, shingle)
+                fps.append(_set_fingerprint(hashes))
+                digests.append(_digest(hashes))
+                bands.append(np.array(_bands(hashes), np.uint64).astype(np.int64))
+            arrays = [batch.column(0), pa.array(digests, pa.binary()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "fp", "bands"])
+
+    return run
+
+
+def _sets(shingle: int):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                found = [shingle_set(t, shingle) for t in part.column(2).to_pylist()]
+                digests, raw = [_digest(x) for x in found], [x.astype("<u8").tobytes() for x in found]
+                arrays = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(raw, pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["root", "node", "h", "raw"])
+
+    return run
+
+
+def _alike(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Links (as positions) that span the sets connected by a Jaccard similarity of ``least`` or more, all pairs compared."""
+    n = np.array([len(s) for s in sets], np.int64)
+    hashes = np.concatenate(sets) if len(sets) else np.empty(0, np.uint64)
+    member = np.repeat(np.arange(len(sets)), n)
+    _, place, times = np.unique(hashes, return_inverse=True, return_counts=True)
+    shared = times[place] > 1
+    member, place = member[shared], (np.cumsum(times > 1) - 1)[place[shared]]
+    by = np.argsort(place, kind="stable")
+    member, place = member[by], place[by]
+    both = np.zeros((len(sets), len(sets)), np.float64)
+    for low in range(0, int(place[-1]) + 1 if len(place) else 0, COLUMNS):
+        s, e = np.searchsorted(place, [low, low + COLUMNS])
+        dense = np.zeros((len(sets), COLUMNS), np.float32)
+        dense[member[s:e], place[s:e] - low] = 1
+        both += dense @ dense.T
+    union = n[:, None] + n[None] - both
+    root = smallest_reachable(len(sets), *np.nonzero((both >= least * union - 1e-9) & (union > 0)))
+    far = np.flatnonzero(root != np.arange(len(sets)))
+    return root[far], far
+
+
+def _verified(least: float):
+    """For rows (root, _i, _j, node, raw) sorted by comparison: links of the nodes whose sets are alike."""
+
+    def links(rows: list[tuple]) -> pa.RecordBatch:
+        a, b = _alike([np.frombuffer(r[1], "<u8") for r in rows], least)
+        node = np.array([r[0] for r in rows], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, of = [], None
+        for batch in batches:
+            root, i, j, node, raw = batch.columns
+            for k in range(batch.num_rows):
+                key = root[k].as_py(), i[k].as_py(), j[k].as_py()
+                if key != of:
+                    if held:
+                        yield links(held)
+                    held, of = [], key
+                held.append((node[k].as_py(), raw[k].as_py()))
+        if held:
+            yield links(held)
+
+    return run
+
+
+def similar_links(docs: DataFrame, shingle: int, radius: int, least: float, block: int = SETS) -> tuple[DataFrame, DataFrame]:
+    """For ``docs`` (``doc_id`` long without nulls, ``text`` binary): ``node``, the smallest keys of equal sets of shingles,
+    and links ``a``, ``b`` that connect the nodes whose sets have a Jaccard similarity of ``least`` or more.
+
+    Candidates are fingerprints within ``radius`` bits, all of them by the covering masks, and fingerprints
+    within ``WIDE`` bits that share a band of least hashes. What candidates connect is compared exactly, all pairs, in
+    blocks; the sets of other texts are never moved.
+    """
+    marked = docs.mapInArrow(_described(shingle), "doc_id long, h binary, fp long, bands array<long>")
+    nodes = settled(marked.groupBy("h").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
+    under = nodes.select("fp", F.posexplode("bands").alias("band", "value")).distinct()
+    dealt = blocks(under.select(F.col("band").cast("byte").alias("mask"), "value", "fp"), ["mask", "value"], "fp", BLOCK)
+    wide = dealt.select("mask", "value", "_i", "_j", "fp").mapInArrow(_spanning(WIDE), "a long, b long")
+    reach = components(near_links(nodes.select("fp").distinct(), radius).union(wide)).withColumnRenamed("node", "_fp")
+    joined = nodes.join(reach, nodes["fp"] == reach["_fp"], "left").select("h", "node", F.coalesce("root", "fp").alias("root"))
+    several = joined.groupBy("root").agg(F.count("*").alias("_n")).filter("_n > 1").select("root")
+    chosen = settled(joined.join(several, "root").select("root", F.col("node").alias("_node"), F.col("h").alias("_h")))
+    met = docs.join(chosen.select("root", "_node").distinct(), docs["doc_id"] == F.col("_node"))
+    sets = met.select("root", "doc_id", "text").mapInArrow(_sets(shingle), "root long, node long, h binary, raw binary")
+    # a key may have several texts: only those of its nodes, once each
+    sets = sets.join(chosen, (sets["h"] == chosen["_h"]) & (sets["node"] == chosen["_node"]) & (sets["root"] == chosen["root"]), "left_semi")
+    sets = settled(sets.dropDuplicates(["root", "node", "h"]))
+    pieces = blocks(sets.select("root", "h", "node", "raw"), ["root"], "h", block).select("root", "_i", "_j", "node", "raw")
+    return nodes.select("node"), settled(pieces.mapInArrow(_verified(least), "a long, b long"))
+
+
+def similar_representatives(
+    docs: DataFrame, key: str = "doc_id", text: str = "text", shingle: int = 5, radius: int = 5, least: float = 0.8, block: int = SETS
+) -> DataFrame:
+    """The rows of ``docs`` whose key is the smallest of its group, once each; all columns stay as they are.
+
+    Texts link if the sets of their shingles have a Jaccard similarity of ``least`` or more; equal sets are one node,
+    texts without words are all equal. A group is what links connect. Null texts have no words; rows
+    without a key can't be told apart and stay.
+    """
+    given = docs.filter(F.col(key).isNotNull()).select(
+        F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
+    )
+    nodes, links = similar_links(given, shingle, radius, least, block)
+    reach = components(links).filter("node <> root").select(F.col("node").alias("_node")).distinct()
+    kept = settled(nodes.distinct().join(reach, nodes["node"] == reach["_node"], "left_anti").select(F.col("node").alias("_kept")))
+    return _first_rows(docs, key, kept)
+
+
 def representatives(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` whose key is their component's smallest, once each; all columns stay as they are.
     Rows without a key can't be told apart and stay."""
     found = near_duplicates(docs, key, text, **options)
     kept = settled(found.filter("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct())
+    return _first_rows(docs, key, kept)
+
+
+def _first_rows(docs: DataFrame, key: str, kept: DataFrame) -> DataFrame:
+    """One row of ``docs`` for each key in ``_kept``, and the rows without a key."""
     rows = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), F.col(key).cast("long").alias("_id"))
     met = rows.join(kept, rows["_id"] == kept["_kept"], "left_semi")
     first = F.row_number().over(Window.partitionBy("_id").orderBy("_row"))

@@ -22,9 +22,9 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest key of each group of near-duplicates: five words to a shingle, fingerprints
-    within five bits. That stands for a similarity well over 0.8; a wider radius doubles the masks with each bit."""
-    return simhash.representatives(docs, shingle=5, radius=5)
+    """The document with the smallest key of each group of near-duplicates: texts whose sets of five-word shingles have a
+    Jaccard similarity of 0.8 or more. Candidates are compared exactly."""
+    return simhash.similar_representatives(docs, shingle=5, radius=5, least=0.8)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
