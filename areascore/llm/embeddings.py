@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from areascore.llm.common import blocks, components, same_runs, settled, smallest_reachable
 
 #: Reference points (the sample that fits the index), how many describe a vector, how many a pair must share.
-PIVOTS, NEAREST, SHARED = 128, 5, 4
+PIVOTS, NEAREST, SHARED = 128, 5, 3
 LEAST_COSINE = 0.98
 #: Vectors of one list that are compared in one piece.
 BLOCK = 1000
