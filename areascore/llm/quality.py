@@ -25,10 +25,11 @@ _OF = {"vowels": "vV", "consonants": "kK", "digits": "0", "punctuation": ".", "s
 #: Words that a repeated run has.
 RUN = 5
 #: Common words of a language that are compared.
-COMMON = 16
-#: Limits of the two distances, and the words that a text has at least for them to count.
+COMMON = 32
+#: Limits of the two distances, and the words that a text has at least for them to count. A text without any of the
+#: common words has a word distance of 0.38 to 0.39 in the given languages, whose common words hold 26-27% of all.
 CHAR_LIMIT, CHAR_WORDS = 0.35, 30
-WORD_LIMIT, WORD_WORDS = 0.45, 50
+WORD_LIMIT, WORD_WORDS = 0.36, 50
 #: Languages up to which their references are broadcast, some kilobytes each.
 BROADCAST_LANGUAGES = 10_000
 
