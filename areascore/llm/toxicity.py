@@ -35,9 +35,13 @@ STEMS = (4, 5)
 EDGES = ".,;:!?\"'()[]{}<>*#%&=/\\-_~^`|"
 LEAST_SCORE = 0.3
 
-_APART = r"(?:[^\W\d_]|[" + re.escape("".join(LEET)) + "])"
-#: Three or more letters or signs, each set apart by the same spacer.
-SPACED = re.compile(rf"(?<!\S){_APART}([{re.escape(SPACERS)}]){_APART}(?:\1{_APART})+(?!\w)")
+_APART = r"(?:[^\W\d_]|[" + re.escape("".join(LEET)) + r"])(?![^\W_])"
+_MARKS = re.escape(SPACERS.replace(" ", ""))
+#: What may stand between spaced letters: white space or spacers of any width, also a spacer in white space.
+_GAP = rf"(?>\s++(?={_APART})|[{_MARKS}]++(?={_APART})|\s*+[{_MARKS}]++\s*+)"
+#: Three or more letters or signs, each set apart; which of the gaps are edges of words is left to the search.
+SPACED = re.compile(rf"(?<![^\W_])(?<![^\W_][{_MARKS}]){_APART}(?:{_GAP}{_APART}){{2,}}+")
+GAPS = re.compile(rf"({_APART})(?:{_GAP}(?={_APART}))?")
 REPEATED = re.compile(r"([^\W\d_])\1\1")
 WORDS = re.compile(r"[^\W\d_]+")
 HIDDEN = re.compile(r"[^\W\d_]")
@@ -133,9 +137,31 @@ def lattice(shown: str) -> list[list[tuple[str, float]]]:
 
 
 def restore(shown: str, chars: np.ndarray) -> str:
-    """The most probable word behind ``shown``: Viterbi over the lattice with the last two letters as state."""
+    """The most probable word behind ``shown``."""
+    return search(lattice(shown), chars)
+
+
+def spaced_words(shown: str, chars: np.ndarray) -> list[str]:
+    """The most probable words behind letters set apart: each gap is an edge of words or nothing, and of three
+    or more equal letters some may go."""
+    letters = [m[1] for m in GAPS.finditer(shown)]
+    same = [len(run[0]) for run in re.finditer(r"(.)\1*", "".join(letters), re.S)]
+    sizes = [(n, i) for n in same for i in range(n)]
+    steps = []
+    for letter, (n, i) in zip(letters, sizes):
+        options = lattice(letter)[0]
+        if i and n > 2:
+            options = [*options, ("", RUN_COST)]
+        if steps:
+            steps.append([("", 0.0), (" ", 0.0)])
+        steps.append(options)
+    return search(steps, chars).split()
+
+
+def search(steps: list[list[tuple[str, float]]], chars: np.ndarray) -> str:
+    """The most probable string through ``steps``: Viterbi with the last two letters as state; a space is an edge."""
     paths: dict[tuple[int, int], tuple[float, tuple]] = {(0, 0): (0.0, ())}
-    for options in lattice(shown):
+    for options in steps:
         new: dict[tuple[int, int], tuple[float, tuple]] = {}
         for (a, b), (cost, word) in paths.items():
             for add, extra in options:
@@ -160,7 +186,9 @@ def features(text: str | None, model: Model) -> tuple[set[str], int]:
     text = (text or "").lower()
     tokens = set(text.split())
     for m in SPACED.finditer(text):
-        tokens.add(m[0].replace(m[1], ""))
+        if HIDDEN.search(m[0]):
+            tokens.update(spaced_words(m[0], model.chars))
+            tokens.add("".join(GAPS.findall(m[0])))  # one word, should the search have split it
     return set().union(*map(model.tokens.__getitem__, tokens)), len(tokens)
 
 
