@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from areascore.llm import bpe, embeddings, langid, mixing, pii, quality, sharding, simhash, sql, suffixes, toxicity
+from areascore.llm import bpe, embeddings, langid, middle, mixing, pii, quality, search, sharding, simhash, sql, suffixes, tokens, toxicity
+from areascore.llm.common import shared_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -76,3 +77,22 @@ def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query
+def op11_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = shared_folder(spark, "tokens")
+    tokens.write_tokens(table(spark, sf_dir, "documents"), folder)
+    return tokens.with_crc32(tokens.read_documents(spark, folder))
+
+
+@query
+def op12_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = middle.fill_in_middle(table(spark, sf_dir, "documents"))
+    digests = F.sha2("output", 256).alias("output_sha256"), F.sha2(middle.restored(), 256).alias("restored_sha256")
+    return moved.select("doc_id", "n", "form", "prefix_chars", "middle_chars", *digests)
+
+
+@query
+def op13_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))

@@ -131,4 +131,46 @@ SELECT doc_id, n_words::BIGINT AS n_words, word_chars::BIGINT AS word_chars, n_s
 FROM b
 """
 
-ORACLES = {"op1_mixing": OP1, "op6_quality": OP6, "op10_sharding": OP10}
+_DRAW = "('0x' || substr(h, {}, 8))::UBIGINT"
+OP12 = rf"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('42:' || doc_id) AS h,
+    regexp_extract_all(coalesce(text, ''), '[\x20\x09-\x0D]*[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+') AS t
+  FROM documents),
+n AS (SELECT *, len(t) AS n FROM d),
+c AS (
+  SELECT *, least({_DRAW.format(1)} % (n + 1), {_DRAW.format(9)} % (n + 1))::BIGINT AS a,
+    greatest({_DRAW.format(1)} % (n + 1), {_DRAW.format(9)} % (n + 1))::BIGINT AS b,
+    CASE WHEN doc_id IS NULL OR text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+           OR {_DRAW.format(17)} % 100 >= 50 THEN 'plain' WHEN {_DRAW.format(25)} % 100 < 80 THEN 'spm' ELSE 'psm' END AS form
+  FROM n),
+p AS (
+  SELECT doc_id, n, form, text, array_to_string(list_slice(t, 1, a), '') AS prefix, array_to_string(list_slice(t, a + 1, b), '') AS middle,
+    array_to_string(list_slice(t, b + 1, n), '') AS suffix
+  FROM c)
+SELECT doc_id, n::BIGINT AS n, form,
+  CASE WHEN form <> 'plain' THEN length(prefix)::BIGINT END AS prefix_chars, CASE WHEN form <> 'plain' THEN length(middle)::BIGINT END AS middle_chars,
+  sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+    ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+  sha256(text) AS restored_sha256
+FROM p
+"""
+
+_TERMS = r"""regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+OP13 = f"""
+WITH dt AS (SELECT r, doc_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS r, doc_id, text FROM documents)),
+tf AS (SELECT r, doc_id, term, count(*) AS tf FROM dt GROUP BY ALL),
+l AS (SELECT r, sum(tf)::BIGINT AS n FROM tf GROUP BY r),
+s AS (SELECT count(*)::BIGINT AS nd, sum(n)::BIGINT AS nt FROM l),
+w AS (SELECT term, floor(1000 * ln((2 * nd + 2)::DOUBLE / (2 * count(*) + 1)))::BIGINT AS w FROM tf, s GROUP BY term, nd),
+it AS (SELECT i, item_id, unnest({_TERMS}) AS term FROM (SELECT row_number() OVER () AS i, item_id, text FROM benchmark)),
+q AS (SELECT i, item_id, term, count(*) AS q FROM it GROUP BY ALL),
+f AS (
+  SELECT i, item_id, tf.r, doc_id, sum(q * w * ((1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + (25 * n * nd) // nt))))::BIGINT AS score
+  FROM q JOIN tf USING (term) JOIN w USING (term) JOIN l ON l.r = tf.r, s GROUP BY i, item_id, tf.r, doc_id),
+k AS (SELECT *, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM f WHERE score > 0)
+SELECT item_id, rank::INT AS rank, doc_id, score FROM k WHERE rank <= 20
+"""
+
+ORACLES = {"op1_mixing": OP1, "op6_quality": OP6, "op10_sharding": OP10, "op12_middle": OP12, "op13_search": OP13}
