@@ -288,6 +288,15 @@ def periods(df: DataFrame, col: str) -> DataFrame:
     return df.select(col).distinct().orderBy(col)
 
 
+def first_failed(rules: Mapping[str, Column]) -> Column:
+    """Name of the first rule that a row fails; null if it passes all. A rule that is null fails."""
+    out = None
+    for name, keep in rules.items():
+        failed = ~F.coalesce(keep, F.lit(False))
+        out = F.when(failed, name) if out is None else out.when(failed, name)
+    return F.lit(None).cast("string") if out is None else out
+
+
 def _loss_counts(rules: Mapping[str, Column]) -> list[Column]:
     """Count per rule of the rows it is the first to drop, and of the rows that pass all."""
     counts, alive = [F.count(F.lit(1)).alias("rows_in")], F.lit(True)

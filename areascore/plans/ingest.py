@@ -1,15 +1,20 @@
 """Incremental loads: landed files to raw tables, one job per source.
 
-Each job reads its state, stages the landed payload as one lazy plan, keeps what is new,
+Each job reads its state, parses the landed payload once into typed columns, keeps what is new,
 replaces the affected range of the raw table and then moves the state. Running a job twice on
 the same files gives the same table.
+
+What is parsed is written as columns first, each row with the rule that drops it, if one does. Errors, newest
+times, losses, rejected rows and the rows of the table are all read from there, so that text is parsed once and the
+counts are those of what was stored.
 """
 
 from __future__ import annotations
 
-import logging
+import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +24,13 @@ from areascore.functions import fixed_values as fixed
 from areascore.functions.numbers import null_if_sentinel, to_double
 from areascore.functions.text import area_from_label, code_text, concat_fips, zip_from_float_text
 from areascore.functions.times import from_epoch_ms_local, from_epoch_ms_seconds, iso_date, lookback_bound
-from areascore.operators.aggregates import count_loss, observe_loss
-from areascore.operators.filters import (
-    drop_all_null,
-    drop_null,
-    drop_sentinel,
-    in_code_range,
-    keep_codes,
-    keep_state,
-    newer_than,
-    newer_versions,
-    valid_sales,
-)
+from areascore.operators.aggregates import first_failed
+from areascore.operators.filters import in_code_range, keep_codes, keep_state, newer_than, newer_versions
 from areascore.operators.windows import dedup
 from areascore.operators.reshape import stamp, stamp_ingested, unpivot_months
 from areascore.plans.staging import MARKET_MEASURES
 from areascore.schemas import CRIME_ATTRIBUTES, OBSERVATIONS, PERMIT_ATTRIBUTES, PROPERTY_ATTRIBUTES, RAW_TABLES, feature_page
 from areascore.sources.files import (
-    assert_no_error_pages,
     read_header_matrix,
     read_market_tsv,
     RELEASE,
@@ -44,7 +38,12 @@ from areascore.sources.files import (
     spread,
 )
 from areascore.sources.tables import (
+    GRACE,
     KEEP,
+    drop_folder,
+    expire,
+    expire_children,
+    fold_log,
     get_state,
     path_exists,
     set_state,
@@ -53,8 +52,6 @@ from areascore.sources.tables import (
     write_replace_partitions,
 )
 
-log = logging.getLogger(__name__)
-
 WIDE_IDENTITY = ["RegionName", "State", "Metro", "CountyName"]
 CENSUS_CODES = {
     "B19013_001E": "median_household_income",
@@ -88,27 +85,52 @@ def stage_home_values(raw: DataFrame, metric: str, now: datetime | None = None)
     )
 
 
-def stage_market(raw: DataFrame, now: datetime | None = None) -> DataFrame:
-    """Typed market rows of one state; rows without an area or without any measure are dropped."""
-    kept = keep_state(raw, "STATE_CODE", fixed.STATE_CODE).withColumn(
-        "zip_code", area_from_label(F.col("REGION"))
-    )
-    typed = drop_null(kept, ["zip_code"]).select(
-        "zip_code",
-        F.col("STATE_CODE").alias("state_code"),
-        iso_date(F.col("PERIOD_END")).alias("period_end"),
-        *(null_if_sentinel(F.col(c.upper()), fixed.MARKET_MISSING).alias(c) for c in MARKET_MEASURES),
-    )
-    return stamp_ingested(drop_all_null(typed, MARKET_MEASURES), now)
+#: Column with the first rule that drops a row; null if none does.
+RULE = "_rule"
+
+
+def _stage(raw: DataFrame, rules: Mapping[str, Column], columns: Mapping[str, Column], now: datetime | None) -> DataFrame:
+    """The rows that pass all rules, typed."""
+    kept = raw
+    for keep in rules.values():
+        kept = kept.filter(keep)
+    return stamp_ingested(kept.select(*(c.alias(n) for n, c in columns.items()), *_fetch(raw)), now)
+
 
+def _marked(raw: DataFrame, rule: Column, columns: Mapping[str, Column], carried: Sequence[str | Column], now: datetime | None) -> DataFrame:
+    """All rows with the rule that drops them; only rows that no rule drops are typed, so that a bad value fails nothing."""
+    typed = raw.withColumn(RULE, rule)
+    return stamp_ingested(typed.select(*carried, RULE, *(F.when(F.col(RULE).isNull(), c).alias(n) for n, c in columns.items())), now)
 
-def market_loss_rules() -> dict:
-    """Rules of ``stage_market`` after the state filter, on the raw columns."""
+
+def market_columns() -> dict[str, Column]:
+    measures = {c: null_if_sentinel(F.col(c.upper()), fixed.MARKET_MISSING) for c in MARKET_MEASURES}
+    return {"zip_code": area_from_label(F.col("REGION")), "state_code": F.col("STATE_CODE"), "period_end": iso_date(F.col("PERIOD_END")), **measures}
+
+
+def market_loss_rules() -> dict[str, Column]:
+    """Rules that a raw market row of the state must pass, in order."""
     present = [F.nullif(F.col(c.upper()), F.lit(fixed.MARKET_MISSING)) for c in MARKET_MEASURES]
-    some = present[0].isNotNull()
-    for col in present[1:]:
+    some, numbers = F.lit(False), F.lit(True)
+    for col in present:
         some = some | col.isNotNull()
-    return {"no_area": area_from_label(F.col("REGION")).isNotNull(), "no_measure": some}
+        numbers = numbers & (col.isNull() | col.try_cast("double").isNotNull())
+    return {
+        "no_area": area_from_label(F.col("REGION")).isNotNull(),
+        "no_measure": some,
+        "no_date": F.trim("PERIOD_END") != "",
+        "bad_date": F.try_to_timestamp("PERIOD_END", F.lit("yyyy-MM-dd")).isNotNull(),
+        "bad_number": numbers,
+    }
+
+
+#: Rules that reject a row: it has content that can't be read, and goes to the reject store.
+MARKET_REJECTS = ("bad_date", "bad_number")
+
+
+def stage_market(raw: DataFrame, now: datetime | None = None) -> DataFrame:
+    """Typed market rows of one state; rows without an area, a date or any measure are dropped, and rows that can't be read."""
+    return _stage(keep_state(raw, "STATE_CODE", fixed.STATE_CODE), market_loss_rules(), market_columns(), now)
 
 
 def _census_measures() -> list:
@@ -160,62 +182,70 @@ def crime_loss_rules() -> dict:
     }
 
 
+def crime_columns() -> dict[str, Column]:
+    return {
+        "incident_occurred": from_epoch_ms_seconds(F.col("Incident_Occurred")),
+        "incident_type": F.col("Offense_Description"),
+        "zip_code": zip_from_float_text(F.col("ZIP_Code")),
+    }
+
+
 def stage_crime(raw: DataFrame, now: datetime | None = None) -> DataFrame:
-    kept = raw
-    for keep in crime_loss_rules().values():
-        kept = kept.filter(keep)
-    return _typed_crime(kept, now)
+    return _stage(raw, crime_loss_rules(), crime_columns(), now)
 
 
-def _typed_crime(kept: DataFrame, now: datetime | None) -> DataFrame:
-    return stamp_ingested(
-        kept.select(
-            from_epoch_ms_seconds(F.col("Incident_Occurred")).alias("incident_occurred"),
-            F.col("Offense_Description").alias("incident_type"),
-            zip_from_float_text(F.col("ZIP_Code")).alias("zip_code"),
-            *_fetch(kept),
-        ),
-        now,
-    )
+def permit_loss_rules() -> dict[str, Column]:
+    return {"no_date": F.col("Date_Issued").isNotNull()}
+
+
+def permit_columns() -> dict[str, Column]:
+    return {
+        "permit_number": F.col("Permit__"),
+        "permit_type": F.col("Permit_Type_Description"),
+        "date_issued": from_epoch_ms_local(F.col("Date_Issued"), fixed.PERMIT_ZONE),
+        "zip_code": F.col("ZIP"),
+        "construction_cost": to_double(F.col("Const_Cost"), lenient=True),
+    }
 
 
 def stage_permits(raw: DataFrame, now: datetime | None = None) -> DataFrame:
-    return stamp_ingested(
-        drop_null(raw, ["Date_Issued"]).select(
-            F.col("Permit__").alias("permit_number"),
-            F.col("Permit_Type_Description").alias("permit_type"),
-            from_epoch_ms_local(F.col("Date_Issued"), fixed.PERMIT_ZONE).alias("date_issued"),
-            F.col("ZIP").alias("zip_code"),
-            to_double(F.col("Const_Cost"), lenient=True).alias("construction_cost"),
-            *_fetch(raw),
-        ),
-        now,
-    )
+    return _stage(raw, permit_loss_rules(), permit_columns(), now)
+
+
+def rate_loss_rules() -> dict[str, Column]:
+    return {"no_rate": F.col("value") != fixed.RATE_MISSING}
+
+
+def rate_columns() -> dict[str, Column]:
+    return {"observation_date": iso_date(F.col("date")), "rate": to_double(F.col("value")), "series_id": F.lit(fixed.RATE_SERIES)}
 
 
 def stage_rates(raw: DataFrame, now: datetime | None = None) -> DataFrame:
-    known = drop_sentinel(raw, "value", fixed.RATE_MISSING).select(
-        iso_date(F.col("date")).alias("observation_date"), to_double(F.col("value")).alias("rate"), *_fetch(raw)
-    )
-    return stamp_ingested(stamp(known, series_id=fixed.RATE_SERIES), now)
+    return _stage(raw, rate_loss_rules(), rate_columns(), now)
+
+
+def property_loss_rules() -> dict[str, Column]:
+    """``stage_property`` needs a date; the load keeps valid sales only."""
+    return {"no_date": F.col("OwnDate").isNotNull(), "not_valid": F.col("ValidSale") == "Y"}
+
+
+def property_columns() -> dict[str, Column]:
+    return {
+        "apn": F.col("APN"),
+        "prop_zip": code_text(F.col("PropZip")),
+        "lu_code": code_text(F.col("LUCode")),
+        "lu_desc": F.col("LUDesc"),
+        "sale_price": to_double(F.col("SalePrice")),
+        "own_date": from_epoch_ms_seconds(F.col("OwnDate")).cast("date"),
+        "valid_sale": F.col("ValidSale"),
+        "totl_appr": to_double(F.col("TotlAppr")),
+        "totl_assd": to_double(F.col("TotlAssd")),
+    }
 
 
 def stage_property(raw: DataFrame, now: datetime | None = None) -> DataFrame:
-    return stamp_ingested(
-        drop_null(raw, ["OwnDate"]).select(
-            F.col("APN").alias("apn"),
-            code_text(F.col("PropZip")).alias("prop_zip"),
-            code_text(F.col("LUCode")).alias("lu_code"),
-            F.col("LUDesc").alias("lu_desc"),
-            to_double(F.col("SalePrice")).alias("sale_price"),
-            from_epoch_ms_seconds(F.col("OwnDate")).cast("date").alias("own_date"),
-            F.col("ValidSale").alias("valid_sale"),
-            to_double(F.col("TotlAppr")).alias("totl_appr"),
-            to_double(F.col("TotlAssd")).alias("totl_assd"),
-            *_fetch(raw),
-        ),
-        now,
-    )
+    rules = property_loss_rules()
+    return _stage(raw, {"no_date": rules["no_date"]}, property_columns(), now)
 
 
 # -- jobs -------------------------------------------------------------------------------------
@@ -241,22 +271,98 @@ def ingest_home_values(spark: SparkSession, landing_dir: str, table_dir: str, st
     return written
 
 
+def landed(df: DataFrame, table_dir: str, source: str) -> tuple[DataFrame, str]:
+    """``df`` written once as columns below ``_landed`` and read from there, and the folder, which goes when the load is done."""
+    spark = df.sparkSession
+    folder = f"{table_dir}/_landed/{source}/{uuid.uuid4().hex}"
+    df.write.parquet(folder)
+    return spark.read.schema(df.schema).parquet(folder), folder
+
+
+#: Columns of the losses: what was loaded (a fetch or a release), the rule and the rows it dropped; ``rows_in`` and ``rows_kept``.
+LOSSES = "rule string, n_rows bigint, ingested_at timestamp_ntz, source string, load string"
+
+
+def loss_counts(rules: Sequence[str]) -> list[Column]:
+    """Aggregates over landed rows: rows in, rows dropped by each rule, rows kept. Rows that stand for a page aren't counted."""
+    own = [F.count_if(F.col(RULE).isNull() | ~F.col(RULE).isin(ERROR, EMPTY)).alias("rows_in")]
+    return [*own, *(F.count_if(F.col(RULE) == r).alias(f"dropped_{r}") for r in rules), F.count_if(F.col(RULE).isNull()).alias("rows_kept")]
+
+
+def record_losses(spark: SparkSession, table_dir: str, source: str, counts: Mapping[str, Mapping[str, int]], now: datetime | None = None) -> None:
+    """Store the counts of each fetch or release in place of those it had, so that a load that is repeated counts once."""
+    rows = [(rule, n, source, load) for load, own in counts.items() for rule, n in own.items()]
+    df = stamp_ingested(spark.createDataFrame(rows, "rule string, n_rows bigint, source string, load string"), now)
+    writer = df.coalesce(1).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy("source", "load").parquet(f"{table_dir}/_losses")
+
+
+def read_losses(spark: SparkSession, table_dir: str) -> DataFrame:
+    return spark.read.schema(LOSSES).parquet(f"{table_dir}/_losses")
+
+
+def read_rejects(spark: SparkSession, table_dir: str, source: str = "market") -> DataFrame:
+    """The rows of a feed that couldn't be read, as they came, with ``rule``, ``load`` (their file) and ``ingested_at``."""
+    raw = ", ".join(f"{c} string" for c in _market_raw())
+    return spark.read.schema(f"rule string, {raw}, ingested_at timestamp_ntz, load string").parquet(f"{table_dir}/_rejects/{source}")
+
+
+def _market_raw() -> list[str]:
+    return ["REGION", "STATE_CODE", "PERIOD_END", *(c.upper() for c in MARKET_MEASURES)]
+
+
+def newest_release(df: DataFrame, keys: Sequence[str], release: str = "load") -> DataFrame:
+    """Of rows with equal ``keys``, those of the release whose name sorts last, all of them."""
+    newest = df.groupBy(*keys).agg(F.max(release).alias("_newest"))
+    return df.join(newest, [*keys]).filter(F.col(release) == F.col("_newest")).drop("_newest")
+
+
 def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state: str, etag=KEEP) -> int:
-    """Gzip tab-separated market file. ``etag`` is stored even when no period is new."""
+    """Gzip tab-separated market releases. ``etag`` is stored even when no period is new.
+
+    Of several releases that hold a period of an area the one whose file name sorts last counts. Rows whose date or number
+    can't be read go to ``_rejects/market`` with their rule and file, rows without an area, date or measure are
+    dropped; both are counted by file in ``_losses``.
+    """
     watermark, _ = get_state(spark, state, "market")
-    listed = read_market_tsv(spark, landing_dir).select(
-        "REGION", "STATE_CODE", "PERIOD_END", *(c.upper() for c in MARKET_MEASURES)
-    )
+    listed = read_market_tsv(spark, landing_dir).select(*_market_raw(), F.col("_metadata.file_name").alias("load"))
     one_state = spread(keep_state(listed, "STATE_CODE", fixed.STATE_CODE))
-    counted, loss = observe_loss(one_state, market_loss_rules())
-    new = newer_than(stage_market(counted), "period_end", watermark)
+    rules = market_loss_rules()
+    rejected = F.col(RULE).isin(*MARKET_REJECTS)
+    kept_raw = F.when(rejected, F.struct(*_market_raw())).alias("_raw")
+    marked = _marked(one_state, first_failed(rules), market_columns(), ["load", kept_raw], None)
+    rows, folder = landed(marked, table_dir, "market")
+    found = {r["load"]: r.asDict() for r in rows.groupBy("load").agg(*loss_counts([*rules])).collect()}  # one row a file
+    for own in found.values():
+        own.pop("load")
+    record_losses(spark, table_dir, "market", found)
+    _write_rejects(rows.filter(rejected), f"{table_dir}/_rejects/market", found)
+    kept = newer_than(rows.filter(F.col(RULE).isNull()).drop(RULE, "_raw"), "period_end", watermark)
+    new = newest_release(kept, ["zip_code", "period_end"])
     done = write_replace_keys(spark, f"{table_dir}/market", new, "period_end", RAW_TABLES["market"])
-    if done.rows:
-        log.info("market: %s", loss.get)
     set_state(spark, state, "market", done.top.strftime(DAY_FORMAT) if done.rows else KEEP, etag)
+    drop_folder(spark, folder)
+    maintain(spark, table_dir, "market")
     return done.rows
 
 
+def _write_rejects(rejects: DataFrame, path: str, found: Mapping[str, Mapping[str, int]]) -> None:
+    """Rejected rows by file, in place of those the file had."""
+    for load, counts in found.items():
+        if not any(counts[f"dropped_{r}"] for r in MARKET_REJECTS):
+            drop_folder(rejects.sparkSession, f"{path}/load={load}")
+    out = rejects.select(F.col(RULE).alias("rule"), "_raw.*", "ingested_at", "load")
+    out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load").parquet(path)
+
+
+def maintain(spark: SparkSession, table_dir: str, source: str, grace: float = GRACE) -> None:
+    """Keep what a source's loads leave behind bounded: old versions of its table, its log of fetches, and landed rows of
+    loads that broke off."""
+    expire(spark, f"{table_dir}/{source}", grace=grace)
+    fold_log(spark, f"{table_dir}/_applied/{source}", "load string", ["load"], grace=grace)
+    expire_children(spark, f"{table_dir}/_landed/{source}", grace)
+
+
 def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> dict[str, int]:
     """List-of-lists responses under ``zip/vintage=YYYY`` and ``county/vintage=YYYY``. Each part has
     its own watermark, its last loaded vintage, so a part that lands late is not skipped."""
@@ -285,10 +391,9 @@ def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state:
 COMPLETE = "complete"
 
 
-def complete_fetches(markers: DataFrame) -> list[tuple[str, int]]:
-    """(name, pages) of the fetches whose marker is among ``markers`` (``value``, ``load``), in order."""
-    found = markers.filter("load is not null").groupBy("load").agg(F.max(F.trim("value").cast("int")).alias("pages"))
-    return [(r["load"], r["pages"]) for r in found.orderBy("load").collect()]  # one row per fetch since the last run
+def complete_fetches(markers: DataFrame) -> DataFrame:
+    """``load`` and ``pages`` of the fetches whose marker is among ``markers`` (``value``, ``load``)."""
+    return markers.filter("load is not null").groupBy("load").agg(F.max(F.trim("value").cast("int")).alias("pages"))
 
 
 def read_markers(spark: SparkSession, landing_dir: str) -> DataFrame:
@@ -296,9 +401,13 @@ def read_markers(spark: SparkSession, landing_dir: str) -> DataFrame:
     return spark.read.schema(schema).option("pathGlobFilter", COMPLETE).option("basePath", landing_dir).text(landing_dir)
 
 
-def applied_fetches(spark: SparkSession, log: str) -> set[str]:
-    """Names of the fetches that were applied, from the log beside the table."""
-    return {r[0] for r in spark.read.parquet(log).select("load").collect()} if path_exists(spark, log) else set()
+def new_fetches(given: DataFrame, log: str) -> list[tuple[str, int | None]]:
+    """(name, pages) of the fetches that weren't applied yet, in order. Spark takes those of the log out, so that what comes
+    to the driver are the fetches since the last run, whatever was loaded before."""
+    spark = given.sparkSession
+    if path_exists(spark, log):
+        given = given.join(spark.read.schema("load string").parquet(log), "load", "left_anti")
+    return [(r["load"], r["pages"]) for r in given.orderBy("load").collect()]
 
 
 def fetch_ranges(
@@ -332,46 +441,35 @@ def last_fetch_wins(staged: DataFrame, ranges: list[tuple[str, str, str | None]]
     )
 
 
-def record_loss(raw: DataFrame, source: str, rules: Mapping[str, Column], path: str, now: datetime | None = None) -> None:
-    """Append how many rows of ``raw`` came in, which rule was the first to drop how many, and how many passed."""
-    counts = count_loss(raw, rules).drop("percent_kept")
-    long = counts.unpivot([], counts.columns, "rule", "n_rows").withColumn("source", F.lit(source))
-    stamp_ingested(long, now).select("source", "rule", "n_rows", "ingested_at").coalesce(1).write.mode("append").parquet(path)
+#: Rules of rows that stand for a page and not for a record: it carries an error, or has none.
+ERROR, EMPTY = "_error", "_empty"
 
 
-#: Source -> the rules that its staging drops rows by, in order.
-LOSS_RULES: dict[str, Callable[[], dict[str, Column]]] = {
-    "crime": crime_loss_rules,
-    "permits": lambda: {"no_date": F.col("Date_Issued").isNotNull()},
-    "rates": lambda: {"no_rate": F.col("value") != fixed.RATE_MISSING},
-    "property": lambda: {"no_date": F.col("OwnDate").isNotNull(), "not_valid": F.col("ValidSale") == "Y"},
-}
+class Feed(NamedTuple):
+    """How the pages of a source are read, what drops their records, what columns they give, and the time that ranges go by."""
+
+    read: Callable[[SparkSession, Sequence[str], str], DataFrame]
+    rules: Callable[[], dict[str, Column]]
+    columns: Callable[[], dict[str, Column]]
+    time: str
+    pattern: str
 
 
 def load_fetches(
-    spark: SparkSession,
-    source: str,
-    landing_dir: str,
-    read: Callable[[SparkSession, Sequence[str]], DataFrame],
-    stage: Callable[[DataFrame], DataFrame],
-    ts_col: str,
-    table_dir: str,
-    state: str,
-    pattern: str,
-    fetches: Sequence[tuple[str, int]] | None = None,
+    spark: SparkSession, source: str, feed: Feed, landing_dir: str, table_dir: str, state: str, fetches: DataFrame | None = None
 ) -> int:
     """Apply the complete fetches that weren't applied yet as if one after the other, in one plan.
 
+    The pages are parsed once, into typed columns that are written aside (``landed``); all that follows reads those. One
+    aggregate over them finds pages that carry an error, the newest time of each fetch and what its rules dropped.
     A fetch replaces everything from its lookback bound, which depends on the newest time of the fetch before
-    it. Those times come from one aggregate over all fetches; a row then counts if it lies from its own
+    it. A row then counts if it lies from its own
     fetch's bound on and before the bounds of all later ones. So the number of jobs doesn't grow with the number
     of fetches, and only the folders of the new ones are read. The log of applied fetches is written last: a run
-    that is repeated after a crash replaces the same range by the same rows.
+    that is repeated after a crash replaces the same range by the same rows, and the losses of a fetch by the same counts.
     """
     log = f"{table_dir}/_applied/{source}"
-    done = applied_fetches(spark, log)
-    given = complete_fetches(read_markers(spark, landing_dir)) if fetches is None else fetches
-    new = [f for f in given if f[0] not in done]
+    new = new_fetches(complete_fetches(read_markers(spark, landing_dir)) if fetches is None else fetches, log)
     if not new:
         return 0
     names = [name for name, _ in new]
@@ -380,20 +478,30 @@ def load_fetches(
     for name, expected in new:
         if expected is not None and counted.get(name, 0) != expected:
             raise ValueError(f"fetch {name} has {counted.get(name, 0)} of {expected} pages")
-    raw = read(spark, folders, landing_dir)
-    staged = stage(raw)
-    tops = dict(staged.groupBy("load").agg(F.max(ts_col)).collect())
+    raw, rules = feed.read(spark, folders, landing_dir), feed.rules()
+    rule = F.when(F.col(ERROR).isNotNull(), ERROR).when(F.col(EMPTY), EMPTY).otherwise(first_failed(rules))
+    rows, folder = landed(_marked(raw, rule, feed.columns(), ["load", ERROR], None), table_dir, source)
+    summary = rows.groupBy("load").agg(*loss_counts([*rules]), F.max(feed.time).alias("_top"), F.max(ERROR).alias("_bad"))
+    tops, losses = {}, {name: {"rows_in": 0, **{f"dropped_{r}": 0 for r in rules}, "rows_kept": 0} for name in names}
+    for r in summary.collect():  # one row a new fetch
+        if r["_bad"] is not None:
+            drop_folder(spark, folder)
+            raise ValueError(f"page carries an error: {r['_bad']}")
+        tops[r["load"]] = r["_top"]
+        losses[r["load"]] = {k: r[k] for k in losses[r["load"]]}
     watermark, _ = get_state(spark, state, source)
-    ranges, watermark = fetch_ranges(names, tops, watermark, fixed.LOOKBACK[source], pattern)
-    rows = 0
+    ranges, watermark = fetch_ranges(names, tops, watermark, fixed.LOOKBACK[source], feed.pattern)
+    written = 0
     if ranges:
-        kept = last_fetch_wins(staged, ranges, ts_col)
+        kept = last_fetch_wins(rows.filter(F.col(RULE).isNull()).drop(RULE, ERROR), ranges, feed.time)
         lowest = min(bound for _, bound, _ in ranges)
-        rows = write_replace_from(spark, f"{table_dir}/{source}", kept, ts_col, lowest, RAW_TABLES[source]).rows
+        written = write_replace_from(spark, f"{table_dir}/{source}", kept, feed.time, lowest, RAW_TABLES[source]).rows
         set_state(spark, state, source, watermark)
-    record_loss(raw, source, LOSS_RULES[source](), f"{table_dir}/_losses")
+    record_losses(spark, table_dir, source, losses)
     spark.createDataFrame([(n,) for n in names], "load string").coalesce(1).write.mode("append").parquet(log)
-    return rows
+    drop_folder(spark, folder)
+    maintain(spark, table_dir, source)
+    return written
 
 
 def _read_json(spark: SparkSession, folders: Sequence[str], base: str, page: StructType) -> DataFrame:
@@ -408,33 +516,38 @@ def count_pages(spark: SparkSession, folders: Sequence[str]) -> dict[str, int]:
 
 
 def _fetched_pages(attributes: StructType):
-    """Reads the pages of fetches as attributes with ``load``; an error page fails the load."""
+    """Reads the pages of fetches as attributes with ``load``. A page that carries an error, and one without records, is
+    one row that says so."""
 
     def read(spark: SparkSession, folders: Sequence[str], base: str) -> DataFrame:
         pages = _read_json(spark, folders, base, feature_page(attributes))
-        assert_no_error_pages(pages)
-        return pages.select("load", F.explode("features").alias("f")).select("load", "f.attributes.*")
+        each = pages.select("load", F.col("error").alias(ERROR), F.explode_outer("features").alias("f"))
+        return each.select("load", ERROR, F.col("f").isNull().alias(EMPTY), "f.attributes.*")
 
     return read
 
 
 def _fetched_observations(spark: SparkSession, folders: Sequence[str], base: str) -> DataFrame:
     pages = _read_json(spark, folders, base, OBSERVATIONS)
-    return pages.select("load", F.explode("observations").alias("o")).select("load", "o.date", "o.value")
+    each = pages.select("load", F.lit(None).cast("string").alias(ERROR), F.explode_outer("observations").alias("o"))
+    return each.select("load", ERROR, F.col("o").isNull().alias(EMPTY), "o.date", "o.value")
 
 
-#: Source -> (reader of its pages, staging, time column, format of its watermark).
 FEEDS = {
-    "crime": (_fetched_pages(CRIME_ATTRIBUTES), stage_crime, "incident_occurred", TIME_FORMAT),
-    "permits": (_fetched_pages(PERMIT_ATTRIBUTES), stage_permits, "date_issued", TIME_FORMAT),
-    "rates": (_fetched_observations, stage_rates, "observation_date", DAY_FORMAT),
-    "property": (_fetched_pages(PROPERTY_ATTRIBUTES), lambda raw: valid_sales(stage_property(raw)), "own_date", DAY_FORMAT),
+    "crime": Feed(_fetched_pages(CRIME_ATTRIBUTES), crime_loss_rules, crime_columns, "incident_occurred", TIME_FORMAT),
+    "permits": Feed(_fetched_pages(PERMIT_ATTRIBUTES), permit_loss_rules, permit_columns, "date_issued", TIME_FORMAT),
+    "rates": Feed(_fetched_observations, rate_loss_rules, rate_columns, "observation_date", DAY_FORMAT),
+    "property": Feed(_fetched_pages(PROPERTY_ATTRIBUTES), property_loss_rules, property_columns, "own_date", DAY_FORMAT),
 }
 
 
-def ingest_feed(spark: SparkSession, source: str, landing_dir: str, table_dir: str, state: str, fetches=None) -> int:
-    read, stage, ts_col, pattern = FEEDS[source]
-    return load_fetches(spark, source, landing_dir, read, stage, ts_col, table_dir, state, pattern, fetches)
+def ingest_feed(
+    spark: SparkSession, source: str, landing_dir: str, table_dir: str, state: str, fetches: DataFrame | Sequence[tuple[str, int | None]] | None = None
+) -> int:
+    """``fetches`` (``load``, ``pages``; null pages aren't checked) limits the load to some; those applied before are passed over."""
+    if fetches is not None and not isinstance(fetches, DataFrame):
+        fetches = spark.createDataFrame([*fetches], "load string, pages int")
+    return load_fetches(spark, source, FEEDS[source], landing_dir, table_dir, state, fetches)
 
 
 def ingest_crime(spark: SparkSession, landing_dir: str, table_dir: str, state: str) -> int:

@@ -3,13 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from areascore.schemas import OBSERVATIONS, feature_page
+from areascore.session import settle
 
 
 def read_market_tsv(spark: SparkSession, path: str) -> DataFrame:
@@ -35,20 +35,49 @@ def read_wide_csv(spark: SparkSession, path: str, required: Sequence[str] = ())
     """Comma-separated releases with a header each, whose month columns vary; all text.
 
     Every file is read by its own header and columns are matched by name; a file without one of
-    ``required`` fails the read. ``_release`` numbers the files in the order of their names, a handful of monthly
-    releases.
+    ``required`` fails the read. ``_release`` numbers the files in the order of their paths. The number of jobs doesn't
+    depend on the number of files: one pass finds the header of each, its first line; then all files are one scan, and
+    each row takes its values from the places that its file's header gives them.
     """
-    files = spark.read.format("binaryFile").load(path).select("path").orderBy("path").collect()
-    releases = []
-    for i, (file,) in enumerate(files):
-        one = spark.read.option("header", True).csv(file)
-        missing = [c for c in required if c not in one.columns]
-        if missing:
-            raise ValueError(f"{file} has no column {missing}")
-        releases.append(one.withColumn(RELEASE, F.lit(i)))
-    if not releases:
+    heads = _headers(spark, path)
+    n_files, width, size = heads.agg(F.count(F.lit(1)), F.max(F.size("header")), F.sum(F.length("line"))).head()
+    if not n_files:
         raise ValueError(f"no file in {path}")
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), releases)
+    lacking = F.filter(F.array(*map(F.lit, required)), lambda c: ~F.array_contains("header", c)) if required else F.array()
+    bad = heads.select("file", lacking.alias("missing")).filter(F.size("missing") > 0).orderBy("file").head(1)
+    if bad:
+        raise ValueError(f"{bad[0]['file']} has no column {bad[0]['missing']}")
+    found = heads.select("file", F.posexplode("header").alias("at", "name")).groupBy("name").agg(F.min_by("at", "file").alias("at"), F.min("file").alias("file"))
+    names = [r["name"] for r in found.orderBy("file", "at").collect() if r["name"] is not None]  # the columns of the result
+    release = F.array_position(heads.agg(F.sort_array(F.collect_list("file"))).scalar(), F.col("file")) - 1
+    places = F.transform(F.array(*map(F.lit, names)), lambda n: (F.array_position("header", n) - 1).cast("int"))
+    by_file = heads.select("file", "header", release.cast("int").alias(RELEASE), places.alias("_places"))
+    if size <= HEADER_BYTES:
+        by_file = F.broadcast(by_file)
+    cells = [f"_c{i}" for i in range(width)]
+    rows = spark.read.schema(", ".join(f"{c} string" for c in cells)).csv(path)
+    rows = rows.select(F.array(*cells).alias("_row"), F.col("_metadata.file_path").alias("file"))
+    met = rows.join(by_file, "file").filter(~F.slice("_row", F.lit(1), F.size("header")).eqNullSafe(F.col("header")))
+    place = lambda i: F.col("_places")[i]
+    return met.select(*(F.when(place(i) >= 0, F.get("_row", place(i))).alias(n) for i, n in enumerate(names)), RELEASE)
+
+
+#: Bytes of all headers up to which they are broadcast.
+HEADER_BYTES = 32 << 20
+
+
+def _headers(spark: SparkSession, path: str) -> DataFrame:
+    """``file``, ``line`` and ``header`` (its names) of each file: the line that comes first in the file's first block."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"))
+    first = lines.withColumn("nth", F.monotonically_increasing_id()).filter("block = 0").groupBy("file").agg(F.min_by("value", "nth").alias("line"))
+    first = settle(first)
+    width = first.agg(F.max(F.size(F.split("line", ",")))).head()[0] or 1  # quoted names may hold commas: a bound
+    cells = [f"_c{i}" for i in range(width)]
+    parsed = first.select("file", "line", F.from_csv("line", ", ".join(f"{c} string" for c in cells)).alias("_h"))
+    header = F.array(*(F.col(f"_h.{c}") for c in cells))
+    size = F.aggregate(F.sequence(F.lit(1), F.size("_cells")), F.lit(0), lambda a, i: F.when(F.get("_cells", i - 1).isNotNull(), i).otherwise(a))
+    named = parsed.select("file", "line", header.alias("_cells"))
+    return named.select("file", "line", F.slice("_cells", F.lit(1), size).alias("header"))
 
 
 def read_header_matrix(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:

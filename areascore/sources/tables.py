@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import time
 import uuid
+from collections.abc import Sequence
 from datetime import date, datetime
 from typing import NamedTuple
 
@@ -12,6 +14,7 @@ from pyspark.sql.types import StructType
 
 from areascore.functions.times import month_of
 from areascore.operators.reshape import batch_time
+from areascore.operators.windows import dedup
 from areascore.schemas import AUDIT, RAW_TABLES, STATE
 from areascore.session import settle
 
@@ -80,12 +83,7 @@ def read_manifest(spark: SparkSession, path: str) -> tuple[int, list[str]]:
     version = max((int(n) for n in names if n.isdigit()), default=0)
     if not version:
         return 0, []
-    stream = fs.open(make(f"{path}/{MANIFESTS}/{version:012d}"))
-    try:
-        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
-    finally:
-        stream.close()
-    return version, [line for line in text.split("\n") if line]
+    return version, _read_lines(spark, fs, make(f"{path}/{MANIFESTS}/{version:012d}"))
 
 
 def write_manifest(spark: SparkSession, path: str, version: int, folders: list[str]) -> None:
@@ -93,11 +91,7 @@ def write_manifest(spark: SparkSession, path: str, version: int, folders: list[s
     writer of the same version fails, since the name is taken."""
     fs, make = _files(spark, path)
     aside = make(f"{path}/{MANIFESTS}/.{version:012d}-{uuid.uuid4().hex}")
-    stream = fs.create(aside)
-    try:
-        stream.write(bytearray("\n".join(sorted(folders)) + "\n", "utf-8"))
-    finally:
-        stream.close()
+    _write_text(fs, aside, sorted(folders))
     if not fs.rename(aside, make(f"{path}/{MANIFESTS}/{version:012d}")):
         raise RuntimeError(f"version {version} of {path} was written by another job")
 
@@ -109,6 +103,29 @@ def _read_folders(spark: SparkSession, path: str, folders: list[str], schema: St
     return spark.read.schema(full).option("basePath", path).parquet(*(f"{path}/{f}" for f in folders))
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Delete a folder with all it holds; one that isn't there is fine."""
+    fs, make = _files(spark, path)
+    fs.delete(make(path), True)
+
+
+def _write_text(fs, path, lines: list[str]) -> None:
+    stream = fs.create(path)
+    try:
+        stream.write(bytearray("\n".join(lines) + "\n", "utf-8"))
+    finally:
+        stream.close()
+
+
+def _read_lines(spark: SparkSession, fs, path) -> list[str]:
+    stream = fs.open(path)
+    try:
+        text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return [line for line in text.split("\n") if line]
+
+
 def read_range_table(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The table as its newest manifest has it. A load that runs meanwhile writes other folders."""
     return _read_folders(spark, path, read_manifest(spark, path)[1], schema)
@@ -248,6 +265,83 @@ def write_replace_from(
     return measured
 
 
+# Manifests that are kept whatever their age, files of a log up to which it isn't folded, and the seconds that a
+# reader or a load may take: nothing is deleted that was in use that long ago.
+KEPT_MANIFESTS, LOG_FILES, GRACE = 3, 64, 86_400.0
+
+
+def _old(status, grace: float) -> bool:
+    return status.getModificationTime() / 1000 <= time.time() - grace
+
+
+def expire(spark: SparkSession, path: str, keep: int = KEPT_MANIFESTS, grace: float = GRACE) -> int:
+    """Delete what no reader of a range table can need, and return the number of folders that went.
+
+    Manifests go if ``keep`` newer ones exist and they are older than ``grace`` seconds; load folders go if no manifest that
+    stays lists them and they are that old too, so that a load that is writing loses nothing. Storage is then
+    bounded by the table, the kept versions and what ``grace`` seconds of loads wrote.
+    """
+    fs, make = _files(spark, path)
+    folder = make(f"{path}/{MANIFESTS}")
+    if not fs.exists(folder):
+        return 0
+    listed = fs.listStatus(folder)
+    versions = sorted((f for f in listed if f.getPath().getName().isdigit()), key=lambda f: f.getPath().getName())
+    gone = [f for f in versions[: max(0, len(versions) - keep)] if _old(f, grace)]
+    stays = {line for f in versions if f not in gone for line in _read_lines(spark, fs, f.getPath())}
+    for f in [*gone, *(f for f in listed if f.getPath().getName().startswith(".") and _old(f, grace))]:
+        fs.delete(f.getPath(), False)
+    n = 0
+    for f in fs.globStatus(make(f"{path}/{MONTH}=*/{SNAPSHOT}=*")) or ():
+        name = f"{f.getPath().getParent().getName()}/{f.getPath().getName()}"
+        if name not in stays and _old(f, grace):
+            fs.delete(f.getPath(), True)
+            n += 1
+    return n
+
+
+def expire_children(spark: SparkSession, path: str, grace: float = GRACE) -> None:
+    """Delete the folders below ``path`` that are older than ``grace`` seconds, as runs that broke off leave them."""
+    fs, make = _files(spark, path)
+    if fs.exists(make(path)):
+        for f in fs.listStatus(make(path)):
+            if _old(f, grace):
+                fs.delete(f.getPath(), True)
+
+
+def fold_log(
+    spark: SparkSession, path: str, schema: StructType | str, keys: Sequence[str], order: str | None = None,
+    most: int = LOG_FILES, grace: float = GRACE,
+) -> bool:
+    """Gather an append-only log of more than ``most`` files in one file with the newest row (by ``order``) of each of ``keys``.
+
+    Rows stand twice for a while, which a reader of the newest rows doesn't notice. The files that were gathered are
+    named in a list beside them and are deleted by a later call, ``grace`` seconds after, when no reader can have
+    them open. A crash at any point leaves all rows readable.
+    """
+    fs, make = _files(spark, path)
+    if not fs.exists(make(path)):
+        return False
+    aside, named = f"{path}/_folded", set()
+    for f in fs.listStatus(make(aside)) if fs.exists(make(aside)) else ():
+        names = _read_lines(spark, fs, f.getPath())
+        if _old(f, grace):
+            for name in names:
+                fs.delete(make(f"{path}/{name}"), False)
+            fs.delete(f.getPath(), False)
+        else:
+            named |= set(names)
+    files = [f.getPath().getName() for f in fs.listStatus(make(path)) if f.isFile()]
+    files = [f for f in files if not f.startswith(("_", ".")) and f not in named]
+    if len(files) <= most:
+        return False
+    log = spark.read.schema(schema).parquet(*(f"{path}/{f}" for f in files))
+    tie = [F.col(order).desc_nulls_last()] if order else [F.lit(0)]
+    dedup(log, keys, tie).coalesce(1).write.mode("append").parquet(path)
+    _write_text(fs, make(f"{aside}/{uuid.uuid4().hex}"), files)
+    return True
+
+
 def get_state(spark: SparkSession, path: str, source: str) -> tuple[str | None, str | None]:
     """(watermark, etag) of a source, ``(None, None)`` when it was never stored."""
     row = _state_row(spark, path, source)
@@ -264,7 +358,7 @@ def _state_row(spark: SparkSession, path: str, source: str):
 def set_state(spark: SparkSession, path: str, source: str, watermark=KEEP, etag=KEEP, now: datetime | None = None) -> None:
     """Store state after the data was written. A field that is not given keeps its value.
 
-    State is an append-only log; the highest version of a source counts. A crash can leave
+    State is an append-only log that is folded now and then; the highest version of a source counts. A crash can leave
     the old state or the new one, never none.
     """
     old = _state_row(spark, path, source)
@@ -277,6 +371,7 @@ def set_state(spark: SparkSession, path: str, source: str, watermark=KEEP, etag=
         (old["version"] if old else 0) + 1,
     )
     spark.createDataFrame([row], STATE).coalesce(1).write.mode("append").parquet(path)
+    fold_log(spark, path, STATE, ["source_name"], "version")
 
 
 def init_state(rows: DataFrame, existing: DataFrame, key: str = "source_name") -> DataFrame:

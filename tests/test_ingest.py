@@ -80,6 +80,23 @@ def test_releases_are_read_by_their_own_headers(spark, write, place):
         ingest.ingest_home_values(spark, *place)
 
 
+def test_the_number_of_jobs_does_not_grow_with_the_number_of_releases(spark, write, place):
+    from areascore.sources.files import read_wide_csv
+
+    used = {}
+    for n in (3, 60):
+        for i in range(n):
+            months = ",".join(f"20{10 + (i + k) % 80:02d}-01-31" for k in range(3))
+            write(f"many{n}/r{i:03d}.csv", f'{WIDE},"{months.split(",")[0]}",{",".join(months.split(",")[1:])}\n1,0,37203,Zip,x,TN,"c, d",m,Davidson,{i},{i},{i}\n')
+        spark.sparkContext.setJobGroup(f"wide{n}", "wide")
+        df = ingest.stage_home_values(read_wide_csv(spark, f"{os.path.dirname(place[0])}/many{n}", ["RegionName"]), "ZHVI")
+        got = {r["period_month"].year: r["value"] for r in df.collect()}
+        used[n] = len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"wide{n}"))
+        assert got == {2010 + i + k: float(min(i + k, n - 1)) for i in range(n) for k in range(3)}
+    spark.sparkContext.setJobGroup("", "")
+    assert used[60] <= used[3] + 2
+
+
 def test_home_values_without_the_state_is_empty(spark, write, place):
     wide(write, "ZHVI", ["2024-01-31"], ("28202", "NC", "1"), ("30301", "GA", "1"))
     assert ingest.ingest_home_values(spark, *place) == 0
@@ -129,6 +146,53 @@ def test_market_files_with_another_column_order_fail_and_null_periods_are_left_o
         ingest.ingest_market(spark, *place)
 
 
+def release(place, name, *lines):
+    with gzip.open(f"{place[0]}/{name}.tsv.gz", "wt") as f:
+        f.write("\t".join(["REGION", "STATE_CODE", "CITY", "PERIOD_END", *MARKET_COLS]) + "\n")
+        f.writelines("\t".join(line) + "\n" for line in lines)
+
+
+def sale(zip_code, day, dom, *rest):
+    return [f"Zip Code: {zip_code}", "TN", "c", day, dom, *(rest or ["10", "0.98", "NA", "450000", "3", "2"])]
+
+
+def test_of_overlapping_market_releases_the_newest_counts(spark, place):
+    release(place, "2024-03", sale("37040", "2024-03-24", "1"), sale("37041", "2024-03-24", "2"), sale("37040", "2024-03-17", "3"))
+    release(place, "2024-04", sale("37040", "2024-03-24", "10"), sale("37040", "2024-03-24", "11"), sale("37040", "2024-03-31", "12"))
+    assert ingest.ingest_market(spark, *place) == 5
+    assert stored(spark, place, "market", "zip_code", "period_end", "median_dom") == [
+        ("37040", date(2024, 3, 17), 3.0), ("37040", date(2024, 3, 24), 10.0), ("37040", date(2024, 3, 24), 11.0),
+        ("37040", date(2024, 3, 31), 12.0), ("37041", date(2024, 3, 24), 2.0),
+    ]
+
+
+def test_market_rows_that_cant_be_read_go_to_the_reject_store(spark, place):
+    bad = [sale("37042", "2024-03-24", "many"), sale("37043", "24/03/2024", "4"), sale("37044", "2024-02-30", "4")]
+    lines = [*bad, sale("37040", "2024-03-24", "1"), sale("37045", "2024-03-24", *(["NA"] * 7)), ["37046", *sale("1", "2024-03-24", "1")[1:]], sale("37047", "", "5")]
+    release(place, "2024-03", *lines, ["Zip Code: 10001", "NY", "c", "x", *(["x"] * 7)])
+    release(place, "2024-04", sale("37040", "2024-03-31", "2"))
+    assert ingest.ingest_market(spark, *place) == 2
+    assert [r[0] for r in stored(spark, place, "market", "zip_code")] == ["37040", "37040"]
+    rejects = ingest.read_rejects(spark, place[1])
+    assert rows(rejects, "rule", "REGION", "PERIOD_END", "MEDIAN_DOM", "load") == [
+        ("bad_date", "Zip Code: 37043", "24/03/2024", "4", "2024-03.tsv.gz"), ("bad_date", "Zip Code: 37044", "2024-02-30", "4", "2024-03.tsv.gz"),
+        ("bad_number", "Zip Code: 37042", "2024-03-24", "many", "2024-03.tsv.gz"),
+    ]
+    want = {"rows_in": 7, "dropped_no_area": 1, "dropped_no_measure": 1, "dropped_no_date": 1, "dropped_bad_date": 2, "dropped_bad_number": 1, "rows_kept": 1}
+    losses = ingest.read_losses(spark, place[1]).filter("source = 'market'")
+    count = lambda name: dict(losses.filter(f"load = '{name}'").select("rule", "n_rows").collect())
+    assert count("2024-03.tsv.gz") == want and count("2024-04.tsv.gz")["rows_kept"] == 1
+    # the release comes again, mended: its rejects and losses are replaced
+    release(place, "2024-03", *lines[1:])
+    ingest.ingest_market(spark, *place)
+    assert ingest.read_rejects(spark, place[1]).count() == 2
+    losses = ingest.read_losses(spark, place[1])
+    assert count("2024-03.tsv.gz")["dropped_bad_number"] == 0 and losses.count() == 14
+    release(place, "2024-03", lines[3])
+    ingest.ingest_market(spark, *place)
+    assert ingest.read_rejects(spark, place[1]).count() == 0
+
+
 def test_market_without_the_state_is_empty(spark, place):
     market(place, ["Zip Code: 10001", "NY", "c", "2024-03-31", *(["1"] * 7)])
     assert ingest.ingest_market(spark, *place) == 0
@@ -231,6 +295,66 @@ def test_lost_rows_are_counted_by_rule(spark, write, place):
     }
 
 
+def test_pages_are_parsed_once(spark, write, place, monkeypatch):
+    fetch(write, "01", page(incident(ms(2024, 3, 1)), incident(None)), {"features": []})
+    scans = []
+    read = ingest._read_json
+    monkeypatch.setattr(ingest, "_read_json", lambda *a: scans.append(1) or read(*a))
+    land = ingest.landed
+
+    def once(*args):
+        rows, folder = land(*args)
+        for name in os.listdir(f"{place[0]}/load=01"):
+            os.rename(f"{place[0]}/load=01/{name}", f"{place[0]}/load=01/{name}.gone")
+        return rows, folder
+
+    monkeypatch.setattr(ingest, "landed", once)
+    assert ingest.ingest_crime(spark, *place) == 1 and scans == [1]
+    assert os.listdir(f"{place[1]}/_landed/crime") == []
+
+
+@pytest.mark.parametrize("step", ["maintain", "record_losses", "write_replace_from"])
+def test_losses_count_once_after_a_crash(spark, write, place, monkeypatch, step):
+    fetch(write, "01", page(incident(ms(2024, 3, 1)), incident(None)))
+    fetch(write, "02", page(incident(ms(2024, 3, 4), "UNK"), incident(ms(2024, 3, 5))))
+    with monkeypatch.context() as m:
+        m.setattr(ingest, step, lambda *a, **k: 1 / 0)
+        with pytest.raises(ZeroDivisionError):
+            ingest.ingest_crime(spark, *place)
+    ingest.ingest_crime(spark, *place)
+    found = ingest.read_losses(spark, place[1]).groupBy("load", "rule").sum("n_rows").collect()
+    counts = {(r[0], r[1]): r[2] for r in found}
+    assert len(counts) == 10 and counts["01", "dropped_no_time"] == counts["02", "dropped_bad_area"] == 1
+    assert counts["01", "rows_kept"] == counts["02", "rows_kept"] == 1 and counts["02", "rows_in"] == 2
+    assert [r[0].day for r in crimes(spark, place)] == [5]
+
+
+def test_only_new_fetches_come_to_the_driver(spark, write, place):
+    log = f"{place[1]}/_applied/crime"
+    spark.range(5000).selectExpr("lpad(id, 6, '0') load").write.parquet(log)
+    given = spark.range(4990, 5003).selectExpr("lpad(id, 6, '0') load", "cast(1 as int) pages")
+    assert ingest.new_fetches(given, log) == [("005000", 1), ("005001", 1), ("005002", 1)]
+
+
+def test_what_loads_leave_behind_stays_bounded(spark, write, place, monkeypatch):
+    monkeypatch.setattr(ingest, "GRACE", 0.0)
+    keep_house = ingest.maintain
+    monkeypatch.setattr(ingest, "maintain", lambda s, t, source: keep_house(s, t, source, 0.0))
+    fold = tables.fold_log
+    monkeypatch.setattr(tables, "fold_log", lambda *a, **k: fold(*a, **{**k, "most": 3, "grace": 0.0}))
+    monkeypatch.setattr(ingest, "fold_log", tables.fold_log)
+    for i in range(10):
+        fetch(write, f"{i:02d}", page(*(incident(ms(2024, 3, 1 + k), kind=f"f{i}") for k in range(i + 1))))
+        ingest.ingest_crime(spark, *place)
+    count = lambda path, end: sum(f.endswith(end) for _, _, names in os.walk(path) for f in names)
+    assert count(place[2], ".parquet") <= 5 and count(f"{place[1]}/_applied/crime", ".parquet") <= 5
+    assert len([f for f in os.listdir(f"{place[1]}/crime/_manifests") if f.isdigit()]) <= 3
+    assert len(os.listdir(f"{place[1]}/crime/part_month=2024-03-01")) <= 3
+    assert crimes(spark, place) == [(datetime(2024, 3, 1 + k), "f9") for k in range(10)]
+    assert tables.get_state(spark, place[2], "crime")[0] == "2024-03-10T00:00:00"
+    assert ingest.ingest_crime(spark, *place) == 0
+
+
 def test_overlapping_fetches_store_each_incident_once(spark, write, place):
     two = [incident(ms(2024, 3, 1)), incident(ms(2024, 3, 2))]
     fetch(write, "01", page(*two))

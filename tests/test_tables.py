@@ -109,6 +109,46 @@ def test_state_round_trip(spark, tmp_path):
     assert tables.get_state(spark, path, "crime") == ("2024-01-01T00:00:00", None)
 
 
+def test_expiry_keeps_what_readers_and_running_loads_need(spark, tmp_path):
+    path, put = str(tmp_path / "crime"), lambda day: tables.write_replace_from(spark, str(tmp_path / "crime"), crime(spark, datetime(2024, 1, day)), "incident_occurred", "2024-01-01", CRIME)
+    for day in range(1, 6):
+        put(day)
+    loads = lambda: sorted(f.name for f in (tmp_path / "crime" / "part_month=2024-01-01").iterdir())
+    assert len(loads()) == 5
+    assert tables.expire(spark, path) == 0 and len(loads()) == 5  # all is young
+    old = tables.read_range_table(spark, path, CRIME)
+    running = tables._Load(spark, path, CRIME)
+    running.write(crime(spark, datetime(2024, 1, 9)).withColumn("part_month", tables.month_of(tables.F.col("incident_occurred"))))
+    assert tables.expire(spark, path, keep=2, grace=3600) == 0
+    assert tables.expire(spark, path, keep=5, grace=0) == 1  # the load that no manifest lists yet
+    assert tables.expire(spark, path, keep=2, grace=0) == 3
+    assert rows(old, "incident_occurred") == [(datetime(2024, 1, 5),)] and len(loads()) == 2
+    put(6)
+    assert tables.expire(spark, path, keep=1, grace=0) == 2
+    assert rows(tables.read_range_table(spark, path, CRIME), "incident_occurred") == [(datetime(2024, 1, 6),)]
+    assert tables.expire(spark, str(tmp_path / "none")) == 0
+
+
+def test_a_log_is_folded_into_its_newest_rows(spark, tmp_path):
+    path = str(tmp_path / "log")
+    add = lambda *r: spark.createDataFrame([*r], "k string, v long").coalesce(1).write.mode("append").parquet(path)
+    read = lambda: dict(spark.read.parquet(path).groupBy("k").agg(tables.F.max("v")).collect())
+    files = lambda: sum(f.suffix == ".parquet" for f in (tmp_path / "log").iterdir())
+    fold = lambda grace: tables.fold_log(spark, path, "k string, v long", ["k"], "v", most=3, grace=grace)
+    assert not fold(0)
+    for i in range(3):
+        add(("a", i), ("b", 1))
+    assert not fold(0)
+    add(("c", 7))
+    before = spark.read.parquet(path)
+    want = {"a": 2, "b": 1, "c": 7}
+    assert fold(3600) and files() == 5 and read() == want
+    assert before.count() == 7  # a reader that has the old files goes on
+    assert not fold(3600) and files() == 5
+    assert not fold(0) and files() == 1 and read() == want
+    assert spark.read.parquet(path).count() == 3
+
+
 def test_init_state_adds_only_missing(spark, tmp_path):
     path = str(tmp_path / "state")
     tables.set_state(spark, path, "crime", "2024-01-01")
