@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import os
+import re
+import struct
 import zlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -18,6 +21,10 @@ END = 2
 ROW_GROUP, PAGE_ROWS, PAGE = 32 << 20, 2000, 1 << 20
 #: Bytes of text that are encoded at once, and documents.
 PIECE, PIECE_ROWS = 1 << 20, 512
+#: Words that a worker remembers, and letters of a word up to which it does.
+REMEMBERED, LONG_WORD = 300_000, 64
+#: How byte-level vocabularies cut a text. Fixed value.
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\p{White_Space}\p{L}\p{N}]+|[\p{White_Space}]+(?![^\p{White_Space}])|[\p{White_Space}]+"
 
 
 def default_path() -> str:
@@ -26,14 +33,69 @@ def default_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def _encoder(model: str):
-    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-    from tokenizers import Tokenizer
+class Encoder:
+    """Little-endian 32-bit ids of texts, as the library gives them.
 
-    tokenizer = Tokenizer.from_str(model)
-    tokenizer.no_padding()
-    tokenizer.no_truncation()
-    return lambda texts: [e.ids for e in tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+    No merge crosses a piece of the vocabulary's pattern, so the library encodes each piece once and a worker
+    remembers it. Texts with a special token, and texts with a code point that the library and the ``regex`` package
+    put into different classes (probed once each), are encoded whole.
+    """
+
+    def __init__(self, model: str):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
+        from tokenizers import Tokenizer
+        from tokenizers.pre_tokenizers import ByteLevel
+
+        self.model = model
+        self.library, self.pieces = Tokenizer.from_str(model), Tokenizer.from_str(model)
+        for t in (self.library, self.pieces):
+            t.no_padding()
+            t.no_truncation()
+        self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # pieces are cut already
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.find = regex.compile(PATTERN, regex.V0).findall
+        ascii_only = PATTERN.replace(r"\p{White_Space}", r"\t-\r ").replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        self.find_ascii = re.compile(ascii_only).findall
+        self.known: dict[str, bytes] = {}
+        self.alike: set[str] = {chr(i) for i in range(128)}
+        self.unlike: set[str] = set()
+
+    def __reduce__(self):
+        return Encoder, (self.model,)
+
+    @staticmethod
+    def _ids(library, texts: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _probe(self, characters: set[str]) -> None:
+        """Do both put these characters into one class of letter, number, space or other?"""
+        pieces = lambda s: [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(s)]
+        for c in characters:
+            theirs = [len(pieces(x + c)) == 1 for x in ("a", "1", "!")]
+            ours = [bool(regex.match(x, c)) for x in (r"\p{L}", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}]")]
+            (self.alike if theirs == ours else self.unlike).add(c)
+
+    def __call__(self, texts: list[str]) -> list[bytes]:
+        words: list[list[str] | None] = []
+        for t in texts:
+            if any(s in t for s in self.special):
+                words.append(None)
+            elif t.isascii():
+                words.append(self.find_ascii(t))
+            else:
+                own = set(t)
+                self._probe(own - self.alike - self.unlike)
+                words.append(self.find(t) if own.isdisjoint(self.unlike) else None)
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        known = self.known
+        new = list(set().union(*(found for found in words if found)).difference(known))
+        long = {}
+        for w, ids in zip(new, self._ids(self.pieces, new)):
+            (known if len(w) <= LONG_WORD else long)[w] = ids
+        whole = iter(self._ids(self.library, [t for t, found in zip(texts, words) if found is None]))
+        get = known.__getitem__ if not long else lambda w: known[w] if w in known else long[w]
+        return [next(whole) if found is None else b"".join(map(get, found)) for found in words]
 
 
 def _pieces(texts: list[str]) -> Iterator[list[str]]:
@@ -82,20 +144,19 @@ def write_tokens(
     """
     spark = docs.sparkSession
     with open(path or default_path(), encoding="utf-8") as file:
-        model = spark.sparkContext.broadcast(file.read())  # as large as the file
+        # as large as the file; a worker keeps it, and the words it remembers, from task to task
+        encoder = spark.sparkContext.broadcast(Encoder(file.read()))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode, part, start = _encoder(model.value), TaskContext.get().partitionId(), 0
+        encode, part, start = encoder.value, TaskContext.get().partitionId(), 0
+        last = np.array([end], "<u4").tobytes()
         for batch in batches:
             at = 0
             for texts in _pieces(batch.column(1).to_pylist()):
                 ids = encode(texts)
-                n = np.fromiter((len(i) + 1 for i in ids), np.int64, len(ids))
+                n = np.fromiter((len(i) // 4 + 1 for i in ids), np.int64, len(ids))
                 offsets = np.concatenate([[0], np.cumsum(n)])
-                flat = np.empty(offsets[-1], np.int32)
-                for k, i in enumerate(ids):
-                    flat[offsets[k] : offsets[k + 1] - 1] = i
-                flat[offsets[1:] - 1] = end
+                flat = np.frombuffer(last.join(ids) + last, "<i4")
                 lists = pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))
                 columns = [pa.array(np.full(len(n), part, np.int32)), batch.column(0).slice(at, len(n)), pa.array(start + offsets[:-1]), pa.array(n), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["part", "doc_id", "local_start", "n_tokens", "tokens"])

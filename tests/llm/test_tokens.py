@@ -1,6 +1,8 @@
 """Token files against the library, row by row, and what the files look like inside."""
 
 import glob
+import random
+import struct
 import zlib
 
 import numpy as np
@@ -99,3 +101,21 @@ def test_query_equals_the_library(spark, encode):
     got = queries.QUERIES["op11_tokens"](spark, "/root/testdata/sf0.001")
     assert got.columns == ["doc_id", "start", "n_tokens", "ids_crc32"]
     assert sorted(map(tuple, got.collect())) == sorted(want)
+
+
+def test_words_one_by_one_equal_whole_texts(encode):
+    rng = random.Random(3)
+    parts = ["a", "Don't", "'s", "''s", " ", "  ", "\t", "\x1c", "\x85", "\xa0", "é", "½", "²", "<|endoftext|>", "<|end", "😀", "中文", "​", "!!", "\x00",
+             "\n\n ", "क्", "͸", "ﬁ", "z" * 80, "12a3", "\U0001e5f0", "_", "…"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 14))) for _ in range(3000)]
+    with open(tokens.default_path(), encoding="utf-8") as file:
+        own = tokens.Encoder(file.read())
+    got = [x for piece in tokens._pieces(texts) for x in own(piece)]
+    assert got == [struct.pack(f"<{len(ids)}I", *ids) for ids in (encode(t)[:-1] for t in texts)]
+
+
+def test_every_code_point_is_put_like_the_library(encode):
+    with open(tokens.default_path(), encoding="utf-8") as file:
+        own = tokens.Encoder(file.read())
+    texts = ["".join(f"a{chr(c)}1 {chr(c)}!" for c in range(at, min(at + 64, 0x30000)) if not 0xD800 <= c < 0xE000) for at in range(0, 0x30000, 64)]
+    assert own(texts) == [struct.pack(f"<{len(ids)}I", *ids) for ids in (encode(t)[:-1] for t in texts)]
