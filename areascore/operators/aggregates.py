@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from areascore.functions.numbers import Rounding
 from areascore.functions.times import month_of
-from areascore.session import settle
+from areascore.session import settle, store
 
 # A group of at most this many rows is sorted in one task as an array of doubles. Larger groups
 # take the bracketed way below, which never brings a group together.
@@ -47,8 +47,8 @@ def grouped_medians(
     """Exact interpolated medians per group, nulls skipped; optionally the row count too.
 
     ``medians`` maps output name to input column. NaN is a value, larger than any other, whatever
-    the size of its group. Group sizes are checked first, by a count that combines on the map
-    side and reads only the keys. Groups within ``hot_rows`` are sorted whole; the others, if
+    the size of its group. The input's plan runs once: its keys and inputs are written as columns, and group sizes are
+    counted there from the keys alone. Groups within ``hot_rows`` are sorted whole; the others, if
     there are any, are found without being brought together. Columns have names of their own
     inside, so any key or column name will do.
     """
@@ -60,7 +60,7 @@ def grouped_medians(
         *(df[k].alias(n) for k, n in key_as.items()), *(df[c].cast("double").alias(n) for c, n in in_as.items())
     )
     found = _medians(
-        slim, [*key_as.values()], {out_as[out]: in_as[c] for out, c in medians.items()}, "n_rows" if rows else None, hot_rows
+        store(slim, "medians"), [*key_as.values()], {out_as[out]: in_as[c] for out, c in medians.items()}, "n_rows" if rows else None, hot_rows
     )
     named = {**{n: k for k, n in key_as.items()}, **{n: out for out, n in out_as.items()}, **({"n_rows": rows} if rows else {})}
     return found.select(*(F.col(n).alias(name) for n, name in named.items()))
@@ -127,12 +127,16 @@ def _hot_medians(
     members = slim.join(_hinted(hot, fits), _same(keys), "left_semi")
     long = members.unpivot(keys, inputs, "_metric", "_value").filter("_value is not null")
 
+    # The sketch doesn't order NaN, so NaN counts as infinity there, and an infinite upper end includes it.
+    top = F.lit(float("inf"))
     sketch = long.groupBy(*group).agg(
         F.count(F.lit(1)).alias("_n"),
         F.percentile_approx(
-            "_value", [0.5 - _HALF_WIDTH, 0.5 + _HALF_WIDTH], _ACCURACY
+            F.when(F.isnan("_value"), top).otherwise(F.col("_value")), [0.5 - _HALF_WIDTH, 0.5 + _HALF_WIDTH], _ACCURACY
         ).alias("_bracket"),
     )
+    upper = F.when(F.col("_bracket")[1] == top, F.lit(float("nan"))).otherwise(F.col("_bracket")[1])
+    sketch = sketch.withColumn("_bracket", F.array(F.col("_bracket")[0], upper))
     ranks = _prefixed(sketch, group, ["_n", "_bracket"])
     near = long.join(_hinted(ranks, fits), _same(group)).filter(
         F.col("_value") <= F.col("_bracket")[1]
@@ -268,14 +272,39 @@ def extreme_area(df: DataFrame, col: str, which: str, key: str = "zip_code") ->
     return F.coalesce(best["k"].cast("string"), F.lit("N/A"))
 
 
-def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]], hot_rows: int = HOT_ROWS) -> DataFrame:
+def whole_medians(df: DataFrame, medians: Mapping[str, str]) -> DataFrame:
+    """One row with the exact interpolated medians of whole columns, nulls skipped; null where there is no value.
+
+    Values are counted per distinct value, which combines on the map side, and dealt into ranges in their order. Counts of the
+    ranges tell which ones hold the middle ranks; only those are numbered, each by itself. No task has
+    more than a range, whatever the size of the table, and a frequent value is one row.
+    """
+    inputs = {c: f"in_{i}" for i, c in enumerate(sorted(set(medians.values())))}
+    slim = df.select(*(df[c].cast("double").alias(n) for c, n in inputs.items()))
+    long = slim.unpivot([], [*inputs.values()], "_metric", "_value").filter("_value is not null")
+    counts = long.groupBy("_metric", "_value").agg(F.count(F.lit(1)).alias("_c"))
+    dealt = settle(counts.repartitionByRange("_metric", "_value").withColumn("_part", F.spark_partition_id()))
+    whole = W.partitionBy("_metric")
+    ranges = dealt.groupBy("_metric", "_part").agg(F.sum("_c").alias("_in"))  # one row a range and metric
+    ranges = ranges.withColumns({"_n": F.sum("_in").over(whole), "_upto": F.sum("_in").over(whole.orderBy("_part"))})
+    low, high = F.floor((F.col("_n") + 1) / 2), F.floor(F.col("_n") / 2) + 1
+    before = F.col("_upto") - F.col("_in")
+    spots = ranges.filter((before < high) & (F.col("_upto") >= low)).select("_metric", "_part", "_n", before.alias("_before"))
+    ladder = W.partitionBy("_metric", "_part").orderBy("_value").rowsBetween(W.unboundedPreceding, 0)
+    ranked = dealt.join(F.broadcast(spots), ["_metric", "_part"])  # at most two rows a metric
+    ranked = ranked.withColumn("_upto", F.col("_before") + F.sum("_c").over(ladder))
+    at = lambda rank: F.min(F.when(F.col("_upto") >= rank, F.col("_value")))
+    found = ranked.groupBy("_metric").agg((at(low) * 0.5 + at(high) * 0.5).alias("_median"))
+    return found.agg(*(F.max(F.when(F.col("_metric") == inputs[c], F.col("_median"))).alias(out) for out, c in medians.items()))
+
+
+def kpis(df: DataFrame, specs: Mapping[str, Column | tuple[str, str]]) -> DataFrame:
     """One row of key figures. A spec is an aggregate Column or ``("median", column)``."""
     medians = {name: spec[1] for name, spec in specs.items() if isinstance(spec, tuple)}
     plain = [spec.alias(name) for name, spec in specs.items() if not isinstance(spec, tuple)]
     out = df.agg(*plain, F.count(F.lit(1)).alias("_rows"))
     if medians:
-        middle = grouped_medians(df.withColumn("_all", F.lit(0)), ["_all"], medians, hot_rows=hot_rows)
-        found = middle.select(F.struct(*medians).alias("m")).scalar()
+        found = whole_medians(df, medians).select(F.struct(*medians).alias("m")).scalar()
         out = out.withColumn("_m", found).withColumns({name: F.col("_m")[name] for name in medians})
     return out.select(*specs)
 

@@ -50,6 +50,7 @@ from areascore.sources.tables import (
     write_replace_from,
     write_replace_keys,
     write_replace_partitions,
+    write_text,
 )
 
 WIDE_IDENTITY = ["RegionName", "State", "Metro", "CountyName"]
@@ -320,12 +321,15 @@ def newest_release(df: DataFrame, keys: Sequence[str], release: str = "load") ->
 def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state: str, etag=KEEP) -> int:
     """Gzip tab-separated market releases. ``etag`` is stored even when no period is new.
 
-    Of several releases that hold a period of an area the one whose file name sorts last counts. Rows whose date or number
+    A release is a file, or a folder ``release=<name>`` of files. Of several that hold a period of an area the one whose name
+    sorts last counts. Rows whose date or number
     can't be read go to ``_rejects/market`` with their rule and file, rows without an area, date or measure are
     dropped; both are counted by file in ``_losses``.
     """
     watermark, _ = get_state(spark, state, "market")
-    listed = read_market_tsv(spark, landing_dir).select(*_market_raw(), F.col("_metadata.file_name").alias("load"))
+    folder_name = F.nullif(F.regexp_extract("_metadata.file_path", "/release=([^/]+)/", 1), F.lit(""))
+    name = F.coalesce(folder_name, F.col("_metadata.file_name"))
+    listed = read_market_tsv(spark, landing_dir).select(*_market_raw(), name.alias("load"))
     one_state = spread(keep_state(listed, "STATE_CODE", fixed.STATE_CODE))
     rules = market_loss_rules()
     rejected = F.col(RULE).isin(*MARKET_REJECTS)
@@ -509,6 +513,13 @@ def _read_json(spark: SparkSession, folders: Sequence[str], base: str, page: Str
     return spark.read.schema(schema).option("multiLine", True).option("pathGlobFilter", "*.json").option("basePath", base).json([*folders])
 
 
+def complete_fetch(spark: SparkSession, landing_dir: str, name: str) -> int:
+    """Mark a landed fetch as complete, with the number of its pages, which is returned."""
+    pages = count_pages(spark, [f"{landing_dir}/load={name}"]).get(name, 0)
+    write_text(spark, f"{landing_dir}/load={name}/{COMPLETE}", [str(pages)])
+    return pages
+
+
 def count_pages(spark: SparkSession, folders: Sequence[str]) -> dict[str, int]:
     """Pages that each fetch has, from the listing of its folder; no file is opened."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.json").load([*folders]).select("path")

@@ -117,6 +117,12 @@ def _write_text(fs, path, lines: list[str]) -> None:
         stream.close()
 
 
+def write_text(spark: SparkSession, path: str, lines: list[str]) -> None:
+    """A small text file of its own."""
+    fs, make = _files(spark, path)
+    _write_text(fs, make(path), lines)
+
+
 def _read_lines(spark: SparkSession, fs, path) -> list[str]:
     stream = fs.open(path)
     try:

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from areascore.functions.times import year_of
 
@@ -32,3 +33,16 @@ def stream_counts(stream: DataFrame, ts: str, key: str, lateness: str = LATENESS
 def yearly_from_windows(counts: DataFrame, key: str, out: str = "n") -> DataFrame:
     """Calendar-year totals from one-day windows."""
     return counts.groupBy(key, year_of(F.col("window_start")).alias("year")).agg(F.sum(out).alias(out))
+
+
+def run_counts(
+    spark: SparkSession, source: str, out: str, checkpoint: str, schema: StructType, ts: str, key: str,
+    lateness: str = LATENESS, width: str = LATENESS,
+) -> None:
+    """Count the files of ``source`` that came since the last run, append the windows that closed to ``out``, and stop.
+
+    The watermark and open windows are in ``checkpoint``: what a run leaves open a later one closes.
+    """
+    counts = stream_counts(spark.readStream.schema(schema).parquet(source), ts, key, lateness, width)
+    writer = counts.writeStream.outputMode("append").format("parquet").option("path", out)
+    writer.option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()

@@ -406,7 +406,7 @@ def overlapping_fetches(spark, sf):
     events = s.load(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp_ntz").alias("ts"))
     day = F.date_diff(F.col("ts").cast("date"), F.lit("2024-01-01").cast("date"))
     first, last = F.greatest(F.ceil((day - 2) / 3), F.lit(0)), F.least(F.floor((day + 5) / 3), F.lit(9))
-    fetched = events.withColumn("load", F.explode(F.sequence(first, last).cast("array<string>")))
+    fetched = events.withColumn("load", F.explode(F.when(first <= last, F.sequence(first, last)).cast("array<string>")))
     tops = dict(fetched.groupBy("load").agg(F.max("ts")).collect())
     ranges, _ = fetch_ranges(sorted(tops), tops, None, (5, "2010-01-01T00:00:00"), TIME_FORMAT)
     return last_fetch_wins(fetched, ranges, "ts").select("event_id", "load")

@@ -2,11 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from areascore.functions.fixed_values import COUNTIES, SPLIT_COUNTY, SPLIT_DEFAULT, SPLIT_REGIONS
-from areascore.operators.ordering import ordered
+from areascore.operators.ordering import ordered, with_places
 from areascore.plans import staging
 from areascore.plans.seeds import areas_per_county, build_seeds
 from queries import model_sql as m
@@ -71,11 +70,35 @@ def staged_census_counties(spark, sf):
     return staging.stg_census_county(s.census(spark, sf).join(s.regions(spark, sf), "zip_code"))
 
 
+_SOUTH = """valid AS (SELECT zip_code FROM regions WHERE CAST(county_fips AS INT) < 3)"""
+
+
+def _some_regions(spark, sf):
+    return s.regions(spark, sf).filter(F.col("county_fips").cast("int") < 3)
+
+
+@query(
+    f"""{m.with_(s.REGIONS, s.HOME_VALUES, _SOUTH)} SELECT zip_code, period_month, value, metric_type FROM home_values
+    WHERE value IS NOT NULL AND value > 1000 AND zip_code IN (SELECT zip_code FROM valid)"""
+)
+def staged_home_values(spark, sf):
+    """Values up to 1,000 stand for missing ones."""
+    raw = s.home_values(spark, sf).withColumn("value", F.when(F.col("value") > 1000, F.col("value")))
+    return staging.stg_home_values(raw, _some_regions(spark, sf))
+
+
+@query(
+    f"""{m.with_(s.REGIONS, s.market_sql(), _SOUTH)} SELECT zip_code, period_end, {", ".join(staging.MARKET_MEASURES)} FROM market
+    WHERE zip_code IN (SELECT zip_code FROM valid)"""
+)
+def staged_market(spark, sf):
+    return staging.stg_market(s.market(spark, sf), _some_regions(spark, sf))
+
+
 @query(
     """SELECT s_suppkey, row_number() OVER (ORDER BY s_nationkey DESC, s_acctbal, s_suppkey) AS place FROM supplier"""
 )
 def ordered_rows(spark, sf):
     """The place that each row comes out at: partitions in order, rows in order inside them."""
     out = ordered(s.load(spark, sf, "supplier"), [F.col("s_nationkey").desc(), "s_acctbal", "s_suppkey"])
-    came = out.withColumn("_came", F.monotonically_increasing_id())
-    return came.select("s_suppkey", F.row_number().over(Window.orderBy("_came")).alias("place"))
+    return with_places(out.select("s_suppkey"))

@@ -204,6 +204,46 @@ def test_latest_nonnull_takes_each_column_from_its_own_month(spark):
     assert rows(agg.latest_nonnull(df, None, "m", ["a", "b"])) == [(2.0, 9.0)]
 
 
+def test_whole_medians_against_brute_force(spark):
+    rng, nan = random.Random(4), float("nan")
+    for n in (0, 1, 2, 3, 10, 501, 2000):
+        values = [(rng.choice([None, 1.0, 7.5, -0.0, rng.uniform(-9, 9)]), rng.choice([3.0, 3.0, nan, rng.random()]), None) for _ in range(n)]
+        df = spark.createDataFrame(values, "a double, _value double, none double").repartition(7)
+        (got,) = agg.whole_medians(df, {"_metric": "a", "b": "_value", "c": "none", "again": "a"}).collect()
+
+        def median(column):
+            held = sorted((v for v in column if v is not None), key=lambda v: (math.isnan(v), v))
+            return held[(len(held) - 1) // 2] * 0.5 + held[len(held) // 2] * 0.5 if held else None
+
+        want = [median([v[0] for v in values]), median([v[1] for v in values]), None]
+        assert repr((got["_metric"], got["b"], got["c"])) == repr((want[0], want[1], None)).replace("-0.0", "0.0") and got["again"] == got["_metric"]
+
+
+def test_places_follow_the_order(spark):
+    from areascore.operators.ordering import ordered, with_places
+
+    df = spark.range(0, 5000, numPartitions=7).selectExpr("pmod(hash(id), 50) k", "id")
+    got = with_places(ordered(df, ["k", "id"])).collect()
+    want = {r[1]: i for i, r in enumerate(sorted((r["k"], r["id"]) for r in df.collect()), 1)}
+    assert {r["id"]: r["place"] for r in got} == want
+    assert with_places(ordered(df.limit(0), ["k"])).count() == 0
+
+
+def test_the_input_of_medians_is_read_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def note(batches):
+        for batch in batches:
+            seen.add(batch.num_rows)
+            yield batch
+
+    df = spark.range(1000).selectExpr("id % 3 k", "cast(id as double) a").mapInArrow(note, "k long, a double")
+    for hot in (10**6, 100):
+        seen.value = 0
+        assert len(agg.grouped_medians(df, ["k"], {"m": "a"}, rows="n", hot_rows=hot).collect()) == 3
+        assert seen.value == 1000
+
+
 def test_extremes_and_kpis(spark):
     df = spark.createDataFrame([("3", 5.0), ("1", 5.0), ("2", 1.0), ("4", None)], "zip_code string, r double")
     out = agg.kpis(
