@@ -9,7 +9,9 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-KINDS = ("email", "ip", "card", "phone")
+#: Kinds that the base finds, and all kinds, in the order of the spans.
+BASE_KINDS = ("email", "ip", "card", "phone")
+KINDS = (*BASE_KINDS, "secret")
 
 # The base patterns, written so that a long run of characters is tried once: a run is entered at its start
 # only (or where the last match ended), and no part gives characters back that the next part can't use.
@@ -33,17 +35,27 @@ GENERATORS = (
     ("card", r"[0-9]{4}[ -][0-9]{4}", r"(?<![0-9])[0-9]{4}[ -][0-9]{4}[ -][0-9]{4}[ -][0-9]{4}(?![0-9])"),
     ("phone", r"\+[0-9]", r"\+[0-9]{1,3}[ .-]?\(?[0-9]{2,4}\)?[ .-]?[0-9]{3,4}[ .-]?[0-9]{3,4}(?![0-9])"),
     ("phone", r"[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}", r"(?<![0-9+(])\(?[0-9]{3}\)?[ .-][0-9]{3}[ .-][0-9]{4}(?![0-9])"),
+    ("secret", r"(?i)(?:token|passw|secret|key)[a-z_]*+\W{1,4}+[a-z0-9_+/-]{16}", r"(?<![A-Za-z0-9_+/=-])[A-Za-z0-9_+/-]{16,}+={0,2}+(?![A-Za-z0-9_+/=-])"),
 )
+#: Places of the generators that find what the base can't: hidden e-mails, and phones without a country.
+HIDDEN, PLAIN_PHONE = 1, 6
+#: What stands for @ and for a dot in hidden e-mails. Fixed values.
+AT, DOT = r"(?i) ?[(\[]at[)\]] ?| at ", r"(?i) ?[(\[]dot[)\]] ?| dot "
 #: Words before a candidate that speak for a secret or for an address. Fixed values.
 SECRET = r"(?i)(?:token|password|passwd|secret|key|hash|sha|md5|uuid|id|=|:|\")[ =:\"']*$"
 CONTACT = r"(?i)(?:mail|e-mail|contact|call|phone|tel|fax|mobile|card|visa|ip|host|server|address)[a-z.]*[ =:]*$"
+#: What makes the value behind it a secret, and a number behind it a version. Fixed values.
+ASSIGNED = r"(?i)(?:token|passw|secret|key)[a-z_]*['\"]?[ =:]+['\"]?$"
+VERSION = r"(?i)(?:\bv|version|release|build)[ .:]*$"
 #: Characters around a candidate that context features see.
 AROUND = 24
 
 #: Features and the number of values of each: the grid bounds the table that the trees are fitted on.
-FEATURES = {"gen": len(GENERATORS), "checked": 2, "digits": 5, "before": 4, "after": 4, "secret": 2, "contact": 2, "parted": 2}
-#: Trees, their rate, the share of base spans that accepted candidates must reach, and the least score of any.
+FEATURES = {"gen": len(GENERATORS), "digits": 5, "before": 4, "after": 4, "secret": 2, "contact": 2, "version": 2, "parted": 2, "signed": 2}
+#: Trees, their rate, the share of personal data that accepted candidates must reach, and the least score of any.
 TREES, RATE, PRECISION, FLOOR = 30, 0.3, 0.9, 0.8
+#: One of so many documents is held back from the trees, for the thresholds.
+HELD = 4
 
 
 def digits(found: Column) -> Column:
@@ -68,6 +80,31 @@ def passes(kind: str, found: Column) -> Column:
     }[kind]
 
 
+def normalised(kind: str, found: Column) -> Column:
+    """A candidate as the base rule of its kind reads it: hidden e-mails with their @ and dots, cards as digits."""
+    if kind == "email":
+        return F.regexp_replace(F.regexp_replace(found, AT, "@"), DOT, ".")
+    return digits(found) if kind == "card" else found
+
+
+def plausible(gen: int, kind: str, found: Column, context: dict[str, Column]) -> Column:
+    """What the trees learn from, as no table marks personal data: the base rule holds for the normalised candidate,
+    and its context speaks for it where the form alone doesn't."""
+    plain = normalised(kind, found)
+    if kind == "secret":
+        return found.rlike("[0-9]") & found.rlike("[A-Za-z]") & context["assigned"]
+    if kind == "email":
+        valid = plain.rlike(rf"^[{_LOCAL}]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+$")
+        return valid & (context["contact"] | found.rlike(r"[(\[]")) if gen == HIDDEN else valid
+    rule = passes(kind, plain)
+    if kind == "card":
+        n = F.length(plain)
+        rule = n.between(13, 19) & luhn(plain) & ~context["assigned"]
+    if kind == "ip":
+        rule = rule & ~context["version"]
+    return rule & context["contact"] if gen == PLAIN_PHONE else rule
+
+
 def matches(df: DataFrame, wanted: list[tuple[str, str, str]]) -> DataFrame:
     """``df`` (with ``text``) and for each (name, hint, pattern) a column of the matches in order: start and end in
     code points, and the match itself. A text without the hint isn't searched.
@@ -111,26 +148,36 @@ def _listed(i: int, kind: str) -> Column:
     def describe(x):
         before = F.substring("text", F.greatest(x["s"] - AROUND + 1, F.lit(1)), F.least(F.lit(AROUND), x["s"]))
         n = F.length(digits(x["m"]))
-        return F.struct(
+        context = {"assigned": before.rlike(ASSIGNED), "contact": before.rlike(CONTACT), "version": before.rlike(VERSION)}
+        fields = [
             x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"), F.lit(i).alias("gen"),
-            passes(kind, x["m"]).cast("int").alias("checked"),
             F.when(n < 10, 0).when(n < 13, 1).when(n < 16, 2).when(n == 16, 3).otherwise(4).alias("digits"),
             _char_class(F.substring("text", x["s"], F.when(x["s"] > 0, 1).otherwise(0))).alias("before"),
             _char_class(F.substring("text", x["e"] + 1, F.lit(1))).alias("after"),
-            before.rlike(SECRET).cast("int").alias("secret"), before.rlike(CONTACT).cast("int").alias("contact"),
-            x["m"].rlike("[ ()-]").cast("int").alias("parted"),
-            F.exists(f"base_{kind}", lambda b: (b["s"] == x["s"]) & (b["e"] == x["e"])).cast("int").alias("base"),
-            F.exists(f"base_{kind}", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])).alias("covered"),
-        )
+            before.rlike(ASSIGNED if kind == "secret" else SECRET).cast("int").alias("secret"),
+            context["contact"].cast("int").alias("contact"), context["version"].cast("int").alias("version"),
+            x["m"].rlike("[ ()-]").cast("int").alias("parted"), _signed(kind, x["m"]).cast("int").alias("signed"),
+            plausible(i, kind, x["m"], context).cast("int").alias("good"),
+        ]
+        overlaps = F.exists(f"base_{kind}", lambda b: (b["s"] < x["e"]) & (x["s"] < b["e"])) if kind in BASE_KINDS else F.lit(False)
+        return F.struct(*fields, overlaps.alias("covered"))
 
     return F.transform(f"g{i}", describe)
 
 
+def _signed(kind: str, found: Column) -> Column:
+    """Whether a candidate carries its kind's own sign: bracketed words, Luhn's sum, parts up to 255, a country, digits among letters."""
+    return {
+        "email": found.rlike(r"[(\[]"), "card": luhn(found), "ip": found.rlike(rf"^{_PART}(?:\.{_PART}){{3}}$"),
+        "phone": found.startswith("+"), "secret": found.rlike("[0-9]") & found.rlike("[A-Za-z]"),
+    }[kind]
+
+
 def found_in(docs: DataFrame, text: str) -> DataFrame:
     """``docs`` with ``text`` (null: empty), the base spans of each kind and all candidates."""
     rows = docs.withColumn("text", F.coalesce(F.col(text), F.lit("")))
-    rows = matches(rows, [(f"raw_{k}", HINT[k], BASE[k]) for k in KINDS])
-    for kind in KINDS:
+    rows = matches(rows, [(f"raw_{k}", HINT[k], BASE[k]) for k in BASE_KINDS])
+    for kind in BASE_KINDS:
         rows = rows.withColumn(f"base_{kind}", F.filter(f"raw_{kind}", _passing(kind))).drop(f"raw_{kind}")
     rows = matches(rows, [(f"g{i}", hint, pattern) for i, (_, hint, pattern) in enumerate(GENERATORS)])
     return candidates(rows).drop(*(f"g{i}" for i in range(len(GENERATORS))))
@@ -198,11 +245,14 @@ def _grow(cells: list[tuple[dict, float, float, float]], depth: int):
     return feature, level, _grow(inside, depth - 1), _grow(outside, depth - 1)
 
 
-def boost(cells: list[tuple[dict, int, int]], precision: float = PRECISION, trees: int = TREES) -> Trees:
-    """Gradient boosting on (features, rows, rows that are base spans), and thresholds calibrated on the same counts.
+def boost(
+    cells: list[tuple[dict, int, int]], held: list[tuple[dict, int, int]] | None = None, precision: float = PRECISION, trees: int = TREES
+) -> Trees:
+    """Gradient boosting on (features, rows, rows that are plausible), and thresholds calibrated on the counts of ``held``
+    (by default the same).
 
     A generator's threshold is the lowest score from which on at least ``precision`` of its candidates are
-    base spans, and never under ``FLOOR``; a generator without such a score adds nothing.
+    plausible, and never under ``FLOOR``; a generator without such a score adds nothing.
     """
     total, good = sum(n for _, n, _ in cells), sum(k for _, _, k in cells)
     share = (good + 0.5) / (total + 1.0)
@@ -213,23 +263,25 @@ def boost(cells: list[tuple[dict, int, int]], precision: float = PRECISION, tree
         tree = _grow([(x, k - n * q, n * q * (1 - q), n) for (x, n, k), q in zip(cells, p)], 3)
         model.trees.append(tree)
         raw = [r + value(tree, x) for r, (x, _, _) in zip(raw, cells)]
+    checked = cells if held is None else held
     for gen in range(len(GENERATORS)):
-        own = sorted(((r, n, k) for r, (x, n, k) in zip(raw, cells) if x["gen"] == gen), reverse=True)
+        own = sorted(((model.raw(x), n, k) for x, n, k in checked if x["gen"] == gen), reverse=True)
         n = k = 0
         for i, (r, a, b) in enumerate(own):
             n, k = n + a, k + b
-            if k >= precision * n and (i + 1 == len(own) or own[i + 1][0] < r):
+            if k and k >= precision * n and (i + 1 == len(own) or own[i + 1][0] < r):
                 model.thresholds[gen] = max(FLOOR, 1 / (1 + math.exp(-r)) - 1e-9)
     return model
 
 
 def fit(rows: DataFrame) -> Trees:
-    """Trees fitted on the candidates of all documents: counted by features, so at most the grid's size comes back."""
-    cells = rows.select(F.explode("found").alias("x")).groupBy(*(F.col(f"x.{f}").alias(f) for f in FEATURES)).agg(
-        F.count("*").alias("n"), F.sum("x.base").alias("k")
-    )
-    listed = [({f: r[f] for f in FEATURES}, r["n"], r["k"]) for r in cells.collect()]
-    return boost(sorted(listed, key=lambda c: [c[0][f] for f in FEATURES]))
+    """Trees fitted on the candidates of three quarters of the documents and thresholds on the others' (by a hash of the text):
+    counted by features, so at most twice the grid's size comes back."""
+    apart = (F.pmod(F.xxhash64("text"), F.lit(HELD)) == 0).alias("held")
+    each = rows.select(apart, F.explode("found").alias("x"))
+    cells = each.groupBy("held", *(F.col(f"x.{f}").alias(f) for f in FEATURES)).agg(F.count("*").alias("n"), F.sum("x.good").alias("k"))
+    listed = sorted((({f: r[f] for f in FEATURES}, r["n"], r["k"], r["held"]) for r in cells.collect()), key=lambda c: [c[0][f] for f in FEATURES])
+    return boost([c[:3] for c in listed if not c[3]], [c[:3] for c in listed if c[3]])
 
 
 def detect(docs: DataFrame, text: str = "text", model: Trees | None = None) -> DataFrame:
@@ -252,7 +304,7 @@ def detect(docs: DataFrame, text: str = "text", model: Trees | None = None) -> D
     larger = lambda x, y: (x["kind"] == y["kind"]) & (y["s"] <= x["s"]) & (x["e"] <= y["e"]) & ((y["e"] - y["s"]) > (x["e"] - x["s"]))
     added = F.filter("_more", lambda x: ~F.exists("_more", lambda y: larger(x, y)))
     rank = lambda kind, x: F.struct(F.lit(KINDS.index(kind)).alias("r"), x["s"].alias("s"), x["e"].alias("e"), F.lit(kind).alias("kind"))
-    base = F.flatten(F.array(*(_ranked(kind, rank) for kind in KINDS)))
+    base = F.flatten(F.array(*(_ranked(kind, rank) for kind in BASE_KINDS)))
     place = F.create_map(*(x for i, k in enumerate(KINDS) for x in (F.lit(k), F.lit(i))))
     more = F.transform(added, lambda x: F.struct(place[x["kind"]].alias("r"), x["s"].alias("s"), x["e"].alias("e"), x["kind"].alias("kind")))
     return rows.select("row", "text", base.alias("base"), F.sort_array(F.concat(base, more)).alias("spans"))
@@ -268,10 +320,11 @@ def written(spans: str) -> Column:
 
 
 def report(docs: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """Per document: ``doc_id``, the number of base spans of each kind, ``base_sha256`` and ``spans``; cases as in ``detect``."""
+    """Per document: ``doc_id``, the number of base spans of each kind, ``base_sha256``, ``spans`` and their number; cases as in
+    ``detect``."""
     found = detect(docs.select(F.col(key).alias("doc_id"), F.col(text).alias("text")))
     count = lambda kind: F.size(F.filter("base", lambda x: x["kind"] == kind)).cast("long").alias(f"n_{kind}")
-    return found.select(F.col("row.doc_id").alias("doc_id"), *map(count, KINDS), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"))
+    return found.select(F.col("row.doc_id").alias("doc_id"), *map(count, BASE_KINDS), F.sha2(written("base"), 256).alias("base_sha256"), written("spans").alias("spans"), F.size("spans").cast("long").alias("n_spans"))
 
 
 def redact(docs: DataFrame, text: str = "text") -> DataFrame:
