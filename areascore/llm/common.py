@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from areascore.session import ensure_checkpoint_dir
+from areascore.sources.tables import drop_folder
 
 #: A word is a run of anything but space and the control characters 9 to 13.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -28,11 +29,16 @@ def shared_folder(spark: SparkSession, name: str) -> str:
     return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """``df`` written as Parquet to a new shared folder and read from there; for rows as large as the input."""
+def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
+    """``df`` written as Parquet to a new shared folder and read from there, and the folder."""
     folder = shared_folder(df.sparkSession, name)
     df.write.parquet(folder)
-    return df.sparkSession.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder), folder
+
+
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """As ``written``; for rows as large as the input that are read until the end."""
+    return written(df, name)[0]
 
 
 def n_words(text: Column) -> Column:
@@ -125,10 +131,11 @@ def components(links: DataFrame) -> DataFrame:
     reachable node. Only nodes that have links come back.
 
     Two steps alternate until nothing changes: every node hands its larger neighbours to its smallest one,
-    then its smaller ones. Each step is an aggregate and a join, and its result is checkpointed.
+    then its smaller ones. Each round is written to the shared folder, and the one before it is deleted then.
     """
-    now = settled(
-        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    spark = links.sparkSession
+    now, folder = written(
+        links.filter("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct(), "links"
     )
     before = None
     while True:
@@ -139,7 +146,9 @@ def components(links: DataFrame) -> DataFrame:
         small = large.join(least, "a").select(
             F.explode(F.array(F.struct("a", F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("x")
         ).select("x.a", "x.b").filter("a <> b").distinct()
-        now = settled(small)
+        old = folder
+        now, folder = written(small, "links")
+        drop_folder(spark, old)
         state = now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.sum((F.col("b") != F.col("a")).cast("int"))).first()
         if state == before:
             break

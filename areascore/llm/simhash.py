@@ -10,7 +10,8 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.llm.common import blocks, components, same_runs, settled, smallest_reachable
+from areascore.llm.common import blocks, components, same_runs, settled, smallest_reachable, stored, written
+from areascore.sources.tables import drop_folder
 
 BITS, SEED = 64, 42
 #: Fingerprints of one bucket that are compared in one piece.
@@ -22,6 +23,11 @@ BANDS, ROWS = 24, 6
 WIDE = 24
 #: Sets of shingles that are compared in one piece, and shingles that are held as a dense matrix at once.
 SETS, COLUMNS = 500, 4096
+#: Entries of a bucket from which it is dealt out in parts; buckets are weighed in every SAMPLE-th text. At most one in HOTTEST
+#: of all entries is a bucket's bound then, so that there are never more than HOTTEST such buckets.
+HOT, SAMPLE, HOTTEST = 200_000, 64, 100_000
+#: Sets that are compared with one other in one piece.
+STAR = 1000
 
 
 def fingerprint(text: bytes, shingle: int = 3) -> int:
@@ -197,7 +203,13 @@ _FACTOR = _RANDOM.integers(2**63, size=(BANDS * ROWS, 1), dtype=np.uint64) * np.
 _SHIFT = _RANDOM.integers(2**63, size=(BANDS * ROWS, 1), dtype=np.uint64)
 
 
-def _bands(hashes: np.ndarray) -> list[int]:
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = x ^ (x >> np.uint64(32))
+    x = x * np.uint64(0x9E3779B97F4A7C15)
+    return x ^ (x >> np.uint64(29))
+
+
+def _bands(hashes: np.ndarray) -> bytes:
     """For each band a hash of its least values over the set; an empty set has one value for all."""
     least = np.full(BANDS * ROWS, 2**64 - 1, np.uint64)
     for at in range(0, len(hashes), 4096):
@@ -206,24 +218,163 @@ def _bands(hashes: np.ndarray) -> list[int]:
         mixed *= np.uint64(0x9E3779B97F4A7C15)
         least = np.minimum(least, mixed.min(axis=1))
     keys = least.astype("<u8").reshape(BANDS, ROWS)
-    return [xxhash.xxh64_intdigest(k.tobytes(), SEED) for k in keys]
+    return b"".join([xxhash.xxh64_digest(k.tobytes(), SEED) for k in keys])
 
 
-def _digest(hashes: np.ndarray) -> bytes:
-    return xxhash.xxh3_128_digest(hashes.astype("<u8").tobytes())
+def _digest(hashes: np.ndarray) -> int:
+    """64 bits that stand for a set."""
+    return int.from_bytes(xxhash.xxh3_64_digest(hashes.astype("<u8").tobytes(), SEED), "little", signed=True)
 
 
 def _described(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, digests, bands = [], [], []
-            for t in batch.column(1).to_pylist():
-                hashes = shingle_set(t, shingle)
-                fps.append(_set_fingerprint(hashes))
-                digests.append(_digest(hashes))
-                bands.append(np.array(_bands(hashes), np.uint64).astype(np.int64))
-            arrays = [batch.column(0), pa.array(digests, pa.binary()), pa.array(fps, pa.int64()), pa.array(bands, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays(arrays, names=["doc_id", "h", "fp", "bands"])
+            for at in range(0, batch.num_rows, 256):
+                part = batch.slice(at, 256)
+                rows = []
+                for t in part.column(1).to_pylist():
+                    hashes = shingle_set(t, shingle)
+                    rows.append((_digest(hashes), _set_fingerprint(hashes), _bands(hashes)))
+                columns = [pa.array(c, t) for c, t in zip(zip(*rows), (pa.int64(), pa.int64(), pa.binary()))]
+                yield pa.RecordBatch.from_arrays([part.column(0), *columns], names=["doc_id", "id", "fp", "bands"])
+
+    return run
+
+
+def _entries(masks: list[int], hot: dict[int, int], bands: bool, under_masks: bool):
+    """A row for each bucket of a text: ``k`` (its hash; odd for bands, even for masks), ``fp``, ``id`` and ``label``. A text of a
+    hot bucket goes to every pair of the bucket's parts that has its own."""
+    under = np.array(masks, np.uint64)
+    wanted = np.array([under_masks] * len(masks) + [bands] * BANDS)
+    factor = np.random.default_rng(SEED + 1).integers(2**63, size=len(wanted), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    kind = np.array([0] * len(masks) + [1] * BANDS, np.uint64)[wanted]
+    factor, n = factor[wanted], int(wanted.sum())
+    hot_keys = np.array(sorted(hot), np.int64)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2000):
+                part = batch.slice(at, 2000)
+                fp, ident, label = (part.column(i).to_numpy() for i in (0, 1, 3))
+                banded = np.frombuffer(b"".join(part.column(2).to_pylist()), "<u8").reshape(-1, BANDS)
+                values = np.concatenate([fp.view(np.uint64)[:, None] & under, banded], axis=1)[:, wanted]
+                k = _mixed(_mixed(values * factor) + factor) & ~np.uint64(1) | kind
+                columns = [k.view(np.int64).ravel(), fp.repeat(n), ident.repeat(n), label.repeat(n)]
+                if len(hot_keys):
+                    often = np.flatnonzero(np.isin(columns[0], hot_keys))
+                    more = [_dealt(*(int(c[i]) for c in columns), hot[int(columns[0][i])]) for i in often.tolist()]
+                    rest = np.ones(len(columns[0]), bool)
+                    rest[often] = False
+                    columns = [np.concatenate([v[rest], *(m[c] for m in more)]) for c, v in enumerate(columns)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns)], names=["k", "fp", "id", "label"])
+
+    return run
+
+
+ENTRY = "k long, fp long, id long, label long"
+
+
+def _dealt(k: int, fp: int, ident: int, label: int, parts: int) -> list[np.ndarray]:
+    """The pairs of parts of a hot bucket that a text belongs to, as buckets of their own."""
+    own = np.uint64(ident % parts)
+    other = np.arange(parts, dtype=np.uint64)
+    pair = np.minimum(other, own) * np.uint64(parts) + np.maximum(other, own)
+    keys = _mixed((pair + np.uint64(1)) * np.uint64(0xBF58476D1CE4E5B9) + np.uint64(k % 2**64)) & ~np.uint64(1) | np.uint64(k & 1)
+    return [keys.view(np.int64), *(np.full(parts, v, np.int64) for v in (fp, ident, label))]
+
+
+def _near(fp: np.ndarray, others: np.ndarray, radius: int) -> np.ndarray:
+    return np.bitwise_count((fp ^ others).view(np.uint64)) <= radius
+
+
+def _spanned(fp: np.ndarray, label: np.ndarray, radius: int) -> list[tuple[int, int]]:
+    """Pairs (as positions) within ``radius`` bits that, with the equality of labels, connect all that such pairs connect.
+
+    Each group is paired with the first text that one of its own is near to. What lies in different
+    groups then is compared, smaller groups with all others, until they are one.
+    """
+    group = np.unique(label, return_inverse=True)[1]
+    pairs, left, n_groups = [], np.arange(len(fp)), int(group.max()) + 1
+    while len(left) and n_groups > 1:
+        first = left[0]
+        near = _near(fp[first], fp[left], radius)
+        met, at = np.unique(group[left[near]], return_index=True)
+        at = left[near][at[met != group[first]]]
+        pairs += [(first, m) for m in at]
+        n_groups -= len(at)
+        group[np.isin(group, met)] = group[first]
+        left = left[~near]
+    sizes = np.bincount(group)
+    largest = sizes.argmax()
+    for g in np.argsort(sizes, kind="stable"):
+        if g == largest or n_groups == 1 or not sizes[g]:
+            continue
+        for m in np.flatnonzero(group == g):
+            other = np.flatnonzero(group != group[m])
+            for o in other[_near(fp[m], fp[other], radius)]:
+                if group[o] != group[m]:
+                    pairs.append((m, o))
+                    n_groups -= 1
+                    group[group == group[m]] = group[o]
+    return pairs
+
+
+def _runs(batches: Iterator[pa.RecordBatch], width: int) -> Iterator[tuple[list[np.ndarray], np.ndarray]]:
+    """Columns of whole runs of equal first values, and the runs' bounds; rows come sorted by the first column."""
+    held = None
+    for batch, last in _with_last(batches):
+        cols = [c.to_numpy(zero_copy_only=False) for c in batch.columns[:width]]
+        if held is not None:
+            cols = [np.concatenate(x) for x in zip(held, cols)]
+            held = None
+        if not len(cols[0]):
+            continue
+        starts = same_runs(cols[0])
+        if not last:
+            held = [c[starts[-2] :] for c in cols]
+            cols, starts = [c[: starts[-2]] for c in cols], starts[:-1]
+        if len(starts) > 1:
+            yield cols, starts
+
+
+def _candidates(radius: int):
+    """For entries sorted by bucket and id: pairs of ids (least first) that connect the labels of each bucket."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (k, fp, ident, label), starts in _runs(batches, 4):
+            sizes = np.diff(starts)
+            two = starts[:-1][sizes == 2]
+            limit = np.where(k[two] & 1, WIDE, radius)
+            two = two[(np.bitwise_count((fp[two] ^ fp[two + 1]).view(np.uint64)) <= limit) & (label[two] != label[two + 1])]
+            a, b = [ident[two]], [ident[two + 1]]
+            for s in np.flatnonzero(sizes > 2):
+                lo, hi = starts[s], starts[s + 1]
+                pairs = _spanned(fp[lo:hi], label[lo:hi], WIDE if k[lo] & 1 else radius) if (label[lo:hi] != label[lo]).any() else []
+                if pairs:
+                    x, y = np.array(pairs).T
+                    a.append(ident[lo:hi][x])
+                    b.append(ident[lo:hi][y])
+            a, b = np.concatenate(a), np.concatenate(b)
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return run
+
+
+def _across(radius: int):
+    """For entries sorted by bucket: all pairs within the radius whose labels differ."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for (k, fp, ident, label), starts in _runs(batches, 4):
+            for lo, hi in zip(starts, starts[1:]):
+                values, counts = np.unique(label[lo:hi], return_counts=True)
+                if len(values) == 1:
+                    continue
+                most = values[counts.argmax()]
+                for m in np.flatnonzero(label[lo:hi] != most) + lo:  # pairs inside the largest label are settled
+                    at = np.arange(lo, hi)
+                    at = at[(label[lo:hi] != label[m]) & _near(fp[m], fp[lo:hi], WIDE if k[lo] & 1 else radius)]
+                    low, high = np.minimum(ident[m], ident[at]), np.maximum(ident[m], ident[at])
+                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
     return run
 
@@ -233,10 +384,9 @@ def _sets(shingle: int):
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 part = batch.slice(at, 256)
-                found = [shingle_set(t, shingle) for t in part.column(2).to_pylist()]
-                digests, raw = [_digest(x) for x in found], [x.astype("<u8").tobytes() for x in found]
-                arrays = [part.column(0), part.column(1), pa.array(digests, pa.binary()), pa.array(raw, pa.binary())]
-                yield pa.RecordBatch.from_arrays(arrays, names=["root", "node", "h", "raw"])
+                found = [shingle_set(t, shingle) for t in part.column(1).to_pylist()]
+                arrays = [part.column(0), pa.array(map(_digest, found), pa.int64()), pa.array([x.astype("<u8").tobytes() for x in found], pa.binary())]
+                yield pa.RecordBatch.from_arrays(arrays, names=["node", "id", "raw"])
 
     return run
 
@@ -263,55 +413,132 @@ def _alike(sets: list[np.ndarray], least: float) -> tuple[np.ndarray, np.ndarray
     return root[far], far
 
 
-def _verified(least: float):
-    """For rows (root, _i, _j, node, raw) sorted by comparison: links of the nodes whose sets are alike."""
+def _whole_groups(least: float):
+    """For rows (root, id, raw) sorted by root: links of the ids whose sets are alike, all pairs of a root compared."""
 
     def links(rows: list[tuple]) -> pa.RecordBatch:
         a, b = _alike([np.frombuffer(r[1], "<u8") for r in rows], least)
-        node = np.array([r[0] for r in rows], np.int64)
-        return pa.RecordBatch.from_arrays([pa.array(node[a]), pa.array(node[b])], names=["a", "b"])
+        ident = np.array([r[0] for r in rows], np.int64)
+        return pa.RecordBatch.from_arrays([pa.array(ident[a]), pa.array(ident[b])], names=["a", "b"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, of = [], None
         for batch in batches:
-            root, i, j, node, raw = batch.columns
-            for k in range(batch.num_rows):
-                key = root[k].as_py(), i[k].as_py(), j[k].as_py()
-                if key != of:
+            for root, ident, raw in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                if root != of:
                     if held:
                         yield links(held)
-                    held, of = [], key
-                held.append((node[k].as_py(), raw[k].as_py()))
+                    held, of = [], root
+                held.append((ident, raw))
         if held:
             yield links(held)
 
     return run
 
 
-def similar_links(docs: DataFrame, shingle: int, radius: int, least: float, block: int = SETS) -> tuple[DataFrame, DataFrame]:
-    """For ``docs`` (``doc_id`` long without nulls, ``text`` binary): ``node``, the smallest keys of equal sets of shingles,
-    and links ``a``, ``b`` that connect the nodes whose sets have a Jaccard similarity of ``least`` or more.
+def _stars(least: float):
+    """For rows (a, piece, id, raw) sorted so that the set of ``a`` leads its piece: links of ``a`` with the ids that are alike."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of, centre = None, None
+        for batch in batches:
+            found = []
+            for a, piece, ident, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+                own = np.frombuffer(raw, "<u8")
+                if (a, piece) != of:
+                    of, centre = (a, piece), own  # every piece begins with it
+                    continue
+                both = len(np.intersect1d(centre, own, assume_unique=True))
+                union = len(centre) + len(own) - both
+                if union and both >= least * union - 1e-9:
+                    found.append((a, ident))
+            yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in found], pa.int64()) for i in (0, 1)], names=["a", "b"])
+
+    return run
+
 
-    Candidates are fingerprints within ``radius`` bits, all of them by the covering masks, and fingerprints
-    within ``WIDE`` bits that share a band of least hashes. What candidates connect is compared exactly, all pairs, in
-    blocks; the sets of other texts are never moved.
+def _compared(pairs: DataFrame, sets: DataFrame, least: float, star: int = STAR) -> DataFrame:
+    """The ``pairs`` (``a``, ``b``, distinct) whose ``sets`` are alike. A set that is paired with many is sent once to each piece of
+    ``star`` of them."""
+    sizes = pairs.groupBy("a").agg(F.ceil(F.count("*") / star).cast("int").alias("pieces"))
+    own = sets.select(F.col("id").alias("_id"), "raw")
+    members = pairs.join(sizes, "a").select("a", "b", F.pmod(F.xxhash64("b"), F.col("pieces")).cast("int").alias("piece"))
+    members = members.join(own, F.col("b") == F.col("_id")).select("a", "piece", F.col("b").alias("id"), "raw", F.lit(1).alias("_kind"))
+    centres = sizes.select("a", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1)).alias("piece")).join(own, F.col("a") == F.col("_id"))
+    rows = members.union(centres.select("a", "piece", F.col("a").alias("id"), "raw", F.lit(0).alias("_kind")))
+    dealt = rows.repartition("a", "piece").sortWithinPartitions("a", "piece", "_kind").select("a", "piece", "id", "raw")
+    return dealt.mapInArrow(_stars(least), "a long, b long")
+
+
+def _hot_buckets(nodes: DataFrame, masks: list[int], hot: int, sample: int) -> dict[int, int]:
+    """Buckets with more than ``hot`` entries and the parts they are dealt in, by a sample of the texts: at most HOTTEST."""
+    some = nodes.filter(F.pmod(F.xxhash64("id"), F.lit(sample)) == 0).select("fp", "id", "bands", "id")
+    least = max(hot / sample, some.count() * (len(masks) + BANDS) / HOTTEST)
+    found = some.mapInArrow(_entries(masks, {}, True, True), ENTRY).groupBy("k").agg(F.count("*").alias("n")).filter(F.col("n") > least)
+    return {r["k"]: max(2, -(-2 * r["n"] * sample // hot)) for r in found.collect()}
+
+
+def _starred(pairs: DataFrame) -> DataFrame:
+    """Links that connect what ``pairs`` (``a`` < ``b``) connect: each ``b`` with the least it is paired with, and that with the
+    others. A text has at most one pair a bucket, so the list is short; texts of a group share the others."""
+    own = pairs.groupBy("b").agg(F.min("a").alias("a"), F.collect_set("a").alias("s"))
+    return own.select("a", F.explode(F.array_union("s", F.array("b"))).alias("b")).filter("a <> b").distinct()
+
+
+def similar_links(
+    docs: DataFrame, shingle: int, radius: int, least: float, block: int = SETS, hot: int = HOT, sample: int = SAMPLE
+) -> tuple[DataFrame, DataFrame]:
+    """For ``docs`` (``doc_id`` long without nulls, ``text`` binary): ``id`` of each set of shingles with ``node``, its smallest key,
+    and links ``a``, ``b`` that connect the ids whose sets have a Jaccard similarity of ``least`` or more.
+
+    Candidates are texts whose fingerprints differ in at most ``radius`` bits, all of them by the covering masks, and in at most
+    ``WIDE`` bits if they share a band of least hashes. Every entry of a bucket goes through one exchange, bands
+    first; a bucket of one ends there, others give pairs that span them, and what bands have connected needs no pair under
+    the masks. What candidates connect is compared exactly.
+    Groups of up to ``block`` sets meet whole, each set sent once. Larger groups are never brought together: every
+    text is compared with one that spans its bucket; texts that are still apart then are compared with the others of their
+    buckets, pair by pair, so that a group of copies costs a few comparisons a text.
     """
-    marked = docs.mapInArrow(_described(shingle), "doc_id long, h binary, fp long, bands array<long>")
-    nodes = settled(marked.groupBy("h").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")))
-    under = nodes.select("fp", F.posexplode("bands").alias("band", "value")).distinct()
-    dealt = blocks(under.select(F.col("band").cast("byte").alias("mask"), "value", "fp"), ["mask", "value"], "fp", BLOCK)
-    wide = dealt.select("mask", "value", "_i", "_j", "fp").mapInArrow(_spanning(WIDE), "a long, b long")
-    reach = components(near_links(nodes.select("fp").distinct(), radius).union(wide)).withColumnRenamed("node", "_fp")
-    joined = nodes.join(reach, nodes["fp"] == reach["_fp"], "left").select("h", "node", F.coalesce("root", "fp").alias("root"))
-    several = joined.groupBy("root").agg(F.count("*").alias("_n")).filter("_n > 1").select("root")
-    chosen = settled(joined.join(several, "root").select("root", F.col("node").alias("_node"), F.col("h").alias("_h")))
-    met = docs.join(chosen.select("root", "_node").distinct(), docs["doc_id"] == F.col("_node"))
-    sets = met.select("root", "doc_id", "text").mapInArrow(_sets(shingle), "root long, node long, h binary, raw binary")
-    # a key may have several texts: only those of its nodes, once each
-    sets = sets.join(chosen, (sets["h"] == chosen["_h"]) & (sets["node"] == chosen["_node"]) & (sets["root"] == chosen["root"]), "left_semi")
-    sets = settled(sets.dropDuplicates(["root", "node", "h"]))
-    pieces = blocks(sets.select("root", "h", "node", "raw"), ["root"], "h", block).select("root", "_i", "_j", "node", "raw")
-    return nodes.select("node"), settled(pieces.mapInArrow(_verified(least), "a long, b long"))
+    masks = covering_masks(radius)
+    marked = docs.mapInArrow(_described(shingle), "doc_id long, id long, fp long, bands binary")
+    nodes = stored(marked.groupBy("id").agg(F.min("doc_id").alias("node"), F.first("fp").alias("fp"), F.first("bands").alias("bands")), "nodes")
+    large = _hot_buckets(nodes, masks, hot, sample)
+
+    def met(labelled: DataFrame, rows, bands: bool, under_masks: bool) -> DataFrame:
+        entries = labelled.select("fp", "id", "bands", "label").mapInArrow(_entries(masks, large, bands, under_masks), ENTRY)
+        return entries.repartition("k").sortWithinPartitions("k", "id").mapInArrow(rows, "a long, b long").distinct()
+
+    banded = stored(met(nodes.withColumn("label", F.col("id")), _candidates(radius), True, False), "pairs")
+    masked = stored(met(_labelled(nodes, components(_starred(banded))), _candidates(radius), False, True), "pairs")
+    pairs = banded.union(masked)
+    reach = components(_starred(pairs)).select(F.col("node").alias("id"), "root")
+    sizes = reach.groupBy("root").agg((F.count("*") > block).alias("big"))
+    chosen = stored(reach.join(sizes, "root"), "chosen")
+
+    firsts = nodes.join(chosen, "id").select("id", "node", "root", "big")
+    texts = docs.join(firsts.select("node").distinct(), docs["doc_id"] == F.col("node"), "left_semi").select("doc_id", "text")
+    sets = texts.mapInArrow(_sets(shingle), "node long, id long, raw binary")
+    # a key may have several texts, and repeated rows: only those of its ids, once each
+    sets, folder = written(sets.join(firsts, ["id", "node"]).dropDuplicates(["id"]), "sets")
+    whole = sets.filter("not big").repartition("root").sortWithinPartitions("root", "id")
+    links = stored(whole.select("root", "id", "raw").mapInArrow(_whole_groups(least), "a long, b long"), "links")
+    if chosen.filter("big").head(1):
+        own = sets.filter("big")
+        big = chosen.filter("big").select("id")
+        first = pairs.join(big, pairs["b"] == big["id"], "left_semi").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
+        first = stored(first, "pairs")
+        linked = stored(_compared(first, own, least), "links")
+        apart = met(_labelled(nodes.join(big, "id", "left_semi"), components(linked)), _across(radius), True, True)
+        more = stored(apart.join(first, ["a", "b"], "left_anti"), "pairs")
+        links = links.union(linked).union(stored(_compared(more, own, least), "links"))
+    drop_folder(docs.sparkSession, folder)
+    return nodes.select("id", "node"), links
+
+
+def _labelled(nodes: DataFrame, reach: DataFrame) -> DataFrame:
+    """``nodes`` with ``label``, the root that ``reach`` gives them or their own id."""
+    joined = nodes.join(reach.withColumnRenamed("node", "_id"), F.col("id") == F.col("_id"), "left")
+    return joined.withColumn("label", F.coalesce("root", "id"))
 
 
 def similar_representatives(
@@ -327,8 +554,11 @@ def similar_representatives(
         F.col(key).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).cast("binary").alias("text")
     )
     nodes, links = similar_links(given, shingle, radius, least, block)
-    reach = components(links).filter("node <> root").select(F.col("node").alias("_node")).distinct()
-    kept = settled(nodes.distinct().join(reach, nodes["node"] == reach["_node"], "left_anti").select(F.col("node").alias("_kept")))
+    of = lambda c: nodes.select(F.col("id").alias(c), F.col("node").alias(f"_{c}"))
+    # by key from here on, so that the texts of one key are one
+    keyed = links.join(of("a"), "a").join(of("b"), "b").select(F.col("_a").alias("a"), F.col("_b").alias("b"))
+    reach = components(keyed).filter("node <> root").select(F.col("node").alias("_node")).distinct()
+    kept = settled(nodes.select("node").distinct().join(reach, F.col("node") == F.col("_node"), "left_anti").select(F.col("node").alias("_kept")))
     return _first_rows(docs, key, kept)
 
 
