@@ -67,7 +67,7 @@ def repeat_words(ranked: str) -> Column:
 
 
 def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """The contract's counts and the class counts of each text, all inside its row."""
+    """The words of each text, the contract's counts and the class counts, all inside its row."""
     full = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(lang).cast("string").alias("lang"), full.alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
@@ -84,13 +84,13 @@ def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     rows = rows.withColumn("lines", lines).withColumn("packed", F.regexp_replace("text", SPACE + "+", ""))
     rows = rows.withColumn("coded", signs(F.col("packed")))
     rows = rows.select(
-        "doc_id", "lang", "text", n.cast("long").alias("n_words"),
+        "doc_id", "lang", "words", n.cast("long").alias("n_words"),
         F.length("packed").cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeat_words("ranked"), F.lit(0)).cast("long").alias("n_repeat_words"),
         *(n_sign("coded", c).alias(_counted(c)) for c in _SIGNS),
     )
-    kept = ["doc_id", "lang", "text", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
+    kept = ["doc_id", "lang", "words", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
     return rows.select(*kept, F.col(_counted("#")).cast("long").alias("n_symbols"), *map(n_class, _OF))
 
 
@@ -134,6 +134,24 @@ def js_distance(p: Column, q: Column) -> Column:
     return F.sqrt(F.least(F.lit(1.0), F.greatest(F.lit(0.0), listed + half(total(p), total(q)))))
 
 
+def _letters(common: int) -> list[str]:
+    """A letter of two bytes for each place of a list, after one for all words that aren't in it."""
+    return [chr(256 + i) for i in range(common + 1)]
+
+
+def coded_words(words: str, listed: str, common: int) -> Column:
+    """One letter for each word: that of its place among the ``listed`` words, whatever its case."""
+    place = lambda w: F.array_position(listed, F.lower(w)).cast("int") + 1
+    return F.array_join(F.transform(words, lambda w: F.substr(F.lit("".join(_letters(common))), place(w), F.lit(1))), "")
+
+
+def letter_shares(coded: str, n_words: str, listed: str, common: int) -> Column:
+    """Share of each of the ``listed`` words, counted by its letter."""
+    without = lambda c: F.octet_length(F.replace(F.col(coded), F.lit(c), F.lit("")))
+    shares = [(F.octet_length(coded) - without(c)) / 2 / F.col(n_words) for c in _letters(common)[1:]]
+    return F.when(F.col(listed).isNotNull(), F.slice(F.array(*shares), F.lit(1), F.size(listed)))
+
+
 def assess(
     docs: DataFrame, key: str = "doc_id", text: str = "text", lang: str = "lang", common: int = COMMON,
     char_limit: float = CHAR_LIMIT, char_words: int = CHAR_WORDS, word_limit: float = WORD_LIMIT, word_words: int = WORD_WORDS,
@@ -154,15 +172,9 @@ def assess(
         refs = F.broadcast(refs)
     rows = rows.withColumn("_pooled", F.col("lang").isNull()).withColumn("_lang", F.coalesce("lang", F.lit("")))
     rows = rows.join(refs, (F.col("_lang") == F.col("ref_lang")) & (F.col("_pooled") == F.col("ref_pooled")), "left")
-    spaced = F.concat(F.lit(" "), F.trim(F.regexp_replace(F.lower("text"), SPACE + "+", "  ")), F.lit(" "))
-    rows = rows.withColumn("_spaced", spaced)
-    found = F.transform(
-        "ref_words",
-        lambda w: (F.octet_length("_spaced") - F.octet_length(F.replace(F.col("_spaced"), F.concat(F.lit(" "), w, F.lit(" ")), F.lit(""))))
-        / (F.octet_length(w) + 2) / F.col("n_words"),
-    )
     has = F.col("n_words") > 0
-    rows = rows.withColumn("_found", F.when(has, found))
+    rows = rows.withColumn("_coded", F.when(has, coded_words("words", "ref_words", common)))
+    rows = rows.withColumn("_found", F.when(has, letter_shares("_coded", "n_words", "ref_words", common)))
     own = F.array(*(F.col(c) / F.col("word_chars") for c in CLASSES))
     # upper case is a part of the letters: its share and the rest's are compared on their own
     upper = F.array(F.col("upper") / F.col("word_chars"))

@@ -1,6 +1,15 @@
 """SQL twins of the queries that SQL can express, written from the operators' rules."""
 
-from areascore.llm.quality import CHAR_LIMIT, CHAR_WORDS, CLASSES, COMMON, RUN, SYMBOLS, WORD_LIMIT, WORD_WORDS
+# Fixed values of the quality rules, written out so that a changed parameter shows: symbols, classes of characters, words
+# of a run, common words of a language, and the limits of the two distances with the words they need.
+SYMBOLS = "#*$%&|<>"
+CLASSES = {
+    "vowels": "aeiouAEIOU", "consonants": "bcdfghjklmnpqrstvwxyzBCDFGHJKLMNPQRSTVWXYZ", "digits": "0123456789",
+    "punctuation": ".,;:!?'\"()-", "symbols": "#*$%&|<>@=+/\\_~^`{}[]",
+}
+RUN, COMMON = 5, 32
+CHAR_LIMIT, CHAR_WORDS = 0.35, 30
+WORD_LIMIT, WORD_WORDS = 0.36, 50
 
 WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
