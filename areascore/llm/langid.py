@@ -11,10 +11,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
+from areascore.llm.common import settled
+
 #: Bytes of a window; filter widths, filters of each width, size of a byte's vector.
 WINDOW, WIDTHS, FILTERS, VECTOR = 128, (2, 3, 4), 16, 8
 #: Bounds of the training sample: labelled rows of each language, and windows of each row.
 ROWS_PER_LANGUAGE, WINDOWS_PER_ROW = 800, 3
+#: How many times the rows of the sample are ranked, and languages up to which their counts are broadcast.
+SPARE, BROADCAST_LANGUAGES = 8, 10_000
 UNKNOWN = "und"
 
 
@@ -102,7 +106,7 @@ class Network:
         first = {k: np.zeros_like(v) for k, v in self.params.items()}
         second = {k: np.zeros_like(v) for k, v in self.params.items()}
         step = 0
-        steps = max(300, min(epochs * -(-len(x) // batch), 1500))
+        steps = max(300, epochs * -(-len(x) // batch))  # few windows are seen more often
         while step < steps:
             order = rng.permutation(len(x))
             for at in range(0, len(x), batch):
@@ -128,12 +132,21 @@ def train(
 ) -> Network | None:
     """A network fitted on a bounded sample of ``labelled``: at most ``rows_per_language`` rows of each
     language, drawn by a hash of the key, and ``windows_per_row`` windows of each, at places over the whole
-    text. None if there is no row with text and language."""
+    text; every epoch sees all of them. None if there is no row with text and language.
+
+    A language's rows are counted first, and hashes above ``SPARE`` times the share that is wanted are left out where
+    they are read, so that some thousand rows of a language meet, however many it has."""
     drawn = F.row_number().over(Window.partitionBy("lang").orderBy("_draw"))
+    counts = settled(labelled.groupBy(F.col(lang).alias("_lang")).agg(F.count("*").alias("_rows")))
+    if counts.count() <= BROADCAST_LANGUAGES:
+        counts = F.broadcast(counts)
+    # of 64 bits, from the lowest value on
+    highest = F.least(F.lit(1.0), F.lit(float(SPARE * rows_per_language)) / F.col("_rows")) * 2.0**64 - 2.0**63
     span = F.greatest(F.length("text") - WINDOW, F.lit(0)) + 1
     starts = [(F.pmod(F.xxhash64(F.lit(i), "_draw"), span) + 1).cast("int") for i in range(windows_per_row)]
     given = labelled.select(F.col(text).alias("text"), F.col(lang).alias("lang"), F.xxhash64(F.col(key)).alias("_draw"))
-    given = given.filter("lang is not null and text is not null and text rlike '\\\\p{L}'").select(
+    given = given.filter("lang is not null and text is not null").join(counts, F.col("lang") == F.col("_lang"))
+    given = given.filter(F.col("_draw").cast("double") <= highest).filter("text rlike '\\\\p{L}'").select(
         "lang", "_draw", F.array(*(F.substring("text", s, F.lit(WINDOW)) for s in starts)).alias("texts")
     )
     sample = given.withColumn("_n", drawn).filter(F.col("_n") <= rows_per_language).select("lang", "texts", "_draw")

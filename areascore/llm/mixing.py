@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from areascore.llm.common import n_words, running, settled
+from areascore.llm.common import n_words, running, settled, stored
 
 #: Weights by the place of a source, repeating.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -141,22 +141,42 @@ def order_by_position(mixed: DataFrame) -> DataFrame:
     return mixed.orderBy(F.get("positions", F.lit(0)).asc_nulls_last(), "doc_id")
 
 
+#: Identities with several rows up to which they are broadcast, 32 bytes each.
+BROADCAST_SAME = 1_000_000
+
+
 def training_order(docs: DataFrame, key: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """The rows of ``docs`` as the mix uses them, repeats included, range-sorted by position; all columns
-    stay as they are. Rows equal in key, source and text share their uses in any order."""
+    stay as they are. Rows equal in key, source and text share their uses in any order; each of them meets one use, by
+    a number that both get in ranges, so that a row that is repeated often spreads over many tasks."""
     source = options.get("source", "source")
-    mixed = mix(docs, key=key, text=text, **options)
-    copy = F.row_number().over(Window.partitionBy("_same").orderBy("_same"))
-    uses = mixed.withColumn("_copy", copy).select(F.col("_same").alias("_used"), "_copy", "positions")
+    uses = mix(docs, key=key, text=text, **options).select(F.col("_same").alias("_used"), "positions")
+    uses = stored(uses, "uses")
     given = docs.select(
         F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("_row"), _identity(key, source, text).alias("_same")
-    ).withColumn("_nth", copy)
-    # joined by the identity alone, so that the rows, texts and all, cross the network once before the sort
-    met = given.join(uses, F.col("_same") == F.col("_used")).filter(F.col("_nth") - F.col("_copy") == 0)
+    )
+    again = settled(uses.groupBy("_used").agg(F.count("*").alias("_n")).filter("_n > 1").select("_used"))
+    several = again.count()
+    if not several:
+        met = given.join(uses, F.col("_same") == F.col("_used"))
+    else:
+        known = F.broadcast(again) if several <= BROADCAST_SAME else again
+        # joined by the identity alone, so that the rows, texts and all, cross the network once before the sort
+        met = given.join(uses.join(known, "_used", "left_anti"), F.col("_same") == F.col("_used")).select("_row", "positions")
+        rows = _numbered(given.join(known, F.col("_same") == F.col("_used"), "left_semi"), "_same")
+        turns = _numbered(uses.join(known, "_used", "left_semi"), "_used").withColumnRenamed("row_before", "_turn")
+        both = rows.join(turns, (F.col("_same") == F.col("_used")) & (F.col("row_before") == F.col("_turn")))
+        met = met.union(both.select("_row", "positions"))
     placed = met.select("_row", F.explode("positions").alias("_at"))
     return placed.orderBy("_at", F.col("_row").getField(key)).select("_row.*")
 
 
+def _numbered(rows: DataFrame, same: str) -> DataFrame:
+    """``rows`` with ``row_before``, their number among those with equal ``same``; equal rows are dealt over many ranges."""
+    salted = rows.withColumn("_salt", F.monotonically_increasing_id())
+    return running(salted, [F.col(same), F.col("_salt")], {}, group=same).drop("_salt")
+
+
 def _identity(key: str, source: str, text: str) -> Column:
     """A digest that rows share if they are equal in key, source and text."""
     parts = [F.col(key).cast("string"), F.col(source).cast("string"), F.md5(F.col(text).cast("binary"))]

@@ -29,6 +29,10 @@ LETTERS = "".join([chr(c) for c in range(97, 123)] + [chr(c) for c in [*range(22
 SIZE = len(LETTERS) + 1
 #: Bounds: labelled rows that are learned from, features of the model, words that a worker remembers.
 SAMPLE_ROWS, MAX_FEATURES, REMEMBERED = 20_000, 20_000, 200_000
+#: A feature stands in this many toxic documents of the sample at least, and weighs this much at least.
+LEAST_TOXIC, LEAST_WEIGHT = 3, 1.0
+#: Evidence above these values counts as much as they do, so that long texts don't outweigh what single words say.
+MOST_TOTAL, MOST_DENSE = 30.0, 5.0
 #: Lengths of the beginnings of words that count as features of their own.
 STEMS = (4, 5)
 #: What is cut from a token's ends before it is read as a hidden word. Fixed value.
@@ -197,7 +201,7 @@ def evidence(text: str | None, model: Model) -> tuple[float, float, float]:
     found, n = features(text, model)
     values = [model.weights[f] for f in found]
     total = sum(sorted(values))
-    return max(values, default=0.0), min(total, 30.0), min(total / max(1, n) ** 0.5, 5.0)
+    return max(values, default=0.0), min(total, MOST_TOTAL), min(total / max(1, n) ** 0.5, MOST_DENSE)
 
 
 def regression(x: np.ndarray, y: np.ndarray, rounds: int = 30) -> tuple[np.ndarray, float]:
@@ -219,15 +223,18 @@ def train(
     texts of ``docs``.
 
     Three quarters of the sample give the weights of words and stems (log odds of their documents, held back by
-    ten documents that are as toxic as the rest), the last quarter the regression on them. A document with
+    ten documents that are as toxic as the rest), the last quarter the regression on them. The ``MAX_FEATURES`` heaviest features of
+    ``LEAST_TOXIC`` toxic documents and ``LEAST_WEIGHT`` make the model. A document with
     several labels counts as toxic if one says so.
     """
     model = Model(char_model(docs, text))
     known = labels.filter(F.col(label).isin(0, 1) & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("_id")).agg(F.max(label).cast("int").alias("y"))
     rows = known.count()
-    draw = F.pmod(F.xxhash64(F.lit(3), "_id"), F.lit(1_000_000))
-    drawn = known.withColumn("_draw", draw).filter(F.col("_draw") < int(1_000_000 * min(1.0, sample_rows / max(rows, 1))))
+    hashed = F.xxhash64(F.lit(3), "_id")
+    drawn = known.withColumn("_draw", F.pmod(hashed, F.lit(1_000_000)))
+    if rows > sample_rows:  # of 63 bits, so that a share is drawn however small it is
+        drawn = drawn.filter(F.shiftrightunsigned(hashed, 1) < int(2**63 * (sample_rows / rows)))
     sample = settled(
         docs.select(F.col(key).alias("_key"), F.col(text).alias("text"))
         .join(F.broadcast(drawn), F.col("_key") == F.col("_id"))  # the sample's bound
@@ -263,7 +270,7 @@ def train(
     weight = F.log((F.col("toxic") + 10 * share) / (F.col("n") - F.col("toxic") + 10 * (1 - share))) - float(
         np.log(share / (1 - share))
     )
-    best = counted.filter("feature <> '' and toxic >= 3").select("feature", weight.alias("w")).filter("w >= 1")
+    best = counted.filter((F.col("feature") != "") & (F.col("toxic") >= LEAST_TOXIC)).select("feature", weight.alias("w")).filter(F.col("w") >= LEAST_WEIGHT)
     best = best.orderBy(F.desc("w"), "feature").limit(MAX_FEATURES)
     model.weights = {r["feature"]: r["w"] for r in best.collect()}
     second = context.broadcast(model)
