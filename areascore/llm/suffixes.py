@@ -2,10 +2,12 @@
 
 Two windows can only be equal if the text around their anchor is, the part of the window whose hash is
 least. Documents are cut into segments, the runs of windows that share an anchor, and segments meet under
-their anchor's hash, aligned at it. A task builds the suffix order of its segments from right to left: each round
-inserts one symbol of each segment, sorts the segments by it (stably, so that the order of the rest holds) and
-updates the common prefixes of neighbours. A window is repeated if its suffix has at least its length in
-common with a neighbour. The columns lie in a sequential external file and are read once.
+their anchor's hash, aligned at it; equal segments are one, with their number. A task builds the suffix order of its
+segments from right to left: each round inserts one symbol of each segment. The symbols that stand before the suffixes, in
+suffix order, are the collection's Burrows-Wheeler transform; sorting by them (stably, so that the order of the rest holds)
+gives the order of the longer suffixes, and the common prefixes of neighbours are updated with it. A window is repeated if
+its segment occurs several times, or if its suffix has at least its length in common with a neighbour. The
+symbols of a round lie together in a sequential external file, which is written and read once.
 """
 
 from __future__ import annotations
@@ -19,7 +21,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from areascore.llm.common import settled
+from areascore.llm.common import settled, written
+from areascore.sources.tables import drop_folder
 
 #: Bytes of a window and of an anchor.
 WINDOW, ANCHOR = 400, 64
@@ -106,12 +109,15 @@ def _chunks(texts: list[bytes], window: int) -> Iterator[list[tuple[int, int, in
         yield parts
 
 
-def repeated_windows(strings: list[bytes], offsets: list[int], groups: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
-    """(string, place) of each window that another string of its group has too. Strings of a group are
-    aligned at their offsets and differ; ``groups`` ascends.
+def repeated_windows(
+    strings: list[bytes], offsets: list[int], groups: np.ndarray, window: int, times: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """(string, place) of each window that another string of its group has too, or whose string occurs several ``times``.
+    Strings of a group are aligned at their offsets and differ; ``groups`` ascends.
 
     Columns are inserted from right to left. ``order`` lists the strings by what follows from the column on, ``end``
-    the column where what a string has in common with the one before it ends.
+    the column where what a string has in common with the one before it ends, and ``transform`` the symbols before those
+    suffixes in their order.
     """
     offset = np.array(offsets)
     size = np.array([len(s) for s in strings])
@@ -124,21 +130,25 @@ def repeated_windows(strings: list[bytes], offsets: list[int], groups: np.ndarra
     rank = rank.astype(np.uint16 if len(strings) < 65536 else np.int64)
     order = np.arange(len(strings))
     end = np.full(len(strings), left + right, np.int64)
+    several = np.zeros(len(strings), bool) if times is None else times > 1
     found_s, found_c = [], []
     with tempfile.TemporaryFile() as file:
-        np.ascontiguousarray(table.T).tofile(file)
+        np.ascontiguousarray(table.T[::-1]).tofile(file)  # the first round's symbols first
         width, n = left + right, len(strings)
         del table
+        file.seek(0)
         for c in range(width - 1, -1, -1):
-            file.seek(c * n)
-            column = np.frombuffer(file.read(n), np.uint8)
-            own = column[order]
-            perm = np.argsort(own, kind="stable")
+            transform = np.frombuffer(file.read(n), np.uint8)[order]
+            perm = np.argsort(transform, kind="stable")
             perm = perm[np.argsort(rank[order[perm]], kind="stable")]
             new = order[perm]
             here = (low[new] <= c) & (c < high[new])
-            same = (own[perm[1:]] == own[perm[:-1]]) & (rank[new[1:]] == rank[new[:-1]]) & here[1:] & here[:-1]
+            same = (transform[perm[1:]] == transform[perm[:-1]]) & (rank[new[1:]] == rank[new[:-1]]) & here[1:] & here[:-1]
             ends = np.full(n, c, np.int64)
+            whole = np.flatnonzero(several & (low <= c) & (c + window <= high))
+            if len(whole):
+                found_s.append(whole)
+                found_c.append(np.full(len(whole), c))
             at = np.flatnonzero(same) + 1
             if len(at):
                 spans = np.empty(2 * len(at), np.int64)
@@ -148,6 +158,7 @@ def repeated_windows(strings: list[bytes], offsets: list[int], groups: np.ndarra
                 hit = at[ends[at] - c >= window]
                 if len(hit):
                     both = np.unique(np.concatenate([new[hit], new[hit - 1]]))
+                    both = both[~several[both]]  # those are found already
                     found_s.append(both)
                     found_c.append(np.full(len(both), c))
             order, end = new, ends
@@ -210,9 +221,9 @@ def _cut(window: int):
                 raw, asked = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
                 for at in range(0, len(asked), 4096):
                     part = asked[at : at + 4096]
-                    cols = {k: [x[k] for x in part] for k in ("a", "s1", "s2", "off", "often")}
+                    cols = {k: [x[k] for x in part] for k in ("a", "s1", "s2", "off", "found", "often")}
                     cols["bytes"] = [raw[x["at"] : x["at"] + x["n"] + window - 1] for x in part]
-                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.binary()]
+                    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.bool_(), pa.binary()]
                     yield pa.RecordBatch.from_arrays([pa.array(v, k) for v, k in zip(cols.values(), kinds)], names=[*cols])
 
     return run
@@ -223,7 +234,7 @@ def _sort(window: int, block: int):
 
     def out(rows: list[tuple]) -> Iterator[pa.RecordBatch]:
         groups = np.array([r[0] for r in rows])
-        s, place = repeated_windows([r[4] for r in rows], [r[3] for r in rows], groups, window)
+        s, place = repeated_windows([r[5] for r in rows], [r[3] for r in rows], groups, window, np.array([r[4] for r in rows]))
         if len(s):
             s, first, end = spans_of(s, place)
             columns = [groups[s], np.array([r[1] for r in rows])[s], np.array([r[2] for r in rows])[s]]
@@ -234,12 +245,12 @@ def _sort(window: int, block: int):
         held: list[tuple] = []
         size = 0
         for batch in batches:
-            for row in zip(*(batch.column(i).to_pylist() for i in range(5))):
+            for row in zip(*(batch.column(i).to_pylist() for i in range(6))):
                 if size >= block and row[0] != held[-1][0]:
                     yield from out(held)
                     held, size = [], 0
                 held.append(row)
-                size += len(row[4])
+                size += len(row[5])
         if held:
             yield from out(held)
 
@@ -251,12 +262,12 @@ def _each_window(window: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for a, s1, s2, raw in zip(*(batch.column(i).to_pylist() for i in range(4))):
+            for a, s1, s2, found, raw in zip(*(batch.column(i).to_pylist() for i in range(5))):
                 n = len(raw) - window + 1
                 w = _signed(b"".join([xxhash.xxh3_128_digest(raw[x : x + window]) for x in range(n)])).reshape(-1, 2)
-                full = [pa.array(np.full(n, v, np.int64)) for v in (a, s1, s2)]
+                full = [pa.array(np.full(n, v, np.int64)) for v in (a, s1, s2, found)]
                 arrays = [*full, pa.array(np.arange(n, dtype=np.int32)), pa.array(w[:, 0]), pa.array(w[:, 1])]
-                yield pa.RecordBatch.from_arrays(arrays, names=["a", "s1", "s2", "x", "w1", "w2"])
+                yield pa.RecordBatch.from_arrays(arrays, names=["a", "s1", "s2", "found", "x", "w1", "w2"])
 
     return run
 
@@ -271,29 +282,29 @@ def repeated(texts: DataFrame, window: int = WINDOW, anchor: int = ANCHOR, block
     runs = settled(every.join(shared, "a", "left_semi"))
     one = F.struct("d1", "d2", "at", "n", "off")
     segments = runs.groupBy("a", "s1", "s2").agg(F.count("*").alias("found"), F.min(one).alias("one"))
-    many = segments.groupBy("a").agg(F.count("*").alias("kinds")).filter("kinds > 1")
-    segments = settled(segments.join(many, "a", "left").filter("found > 1 or kinds > 1"))
+    many = segments.groupBy("a").agg(F.count("*").alias("kinds"))
+    segments = settled(segments.join(many, "a").filter("found > 1 or kinds > 1"))
 
-    # the bytes of segments whose anchor has others, from one copy of each text
-    asked = segments.filter("kinds > 1").select(
+    # the bytes of segments that occur again or whose anchor has others, from one copy of each text
+    asked = segments.select(
         F.col("one.d1").alias("d1"), F.col("one.d2").alias("d2"),
-        F.struct("a", "s1", "s2", "one.at", "one.n", "one.off", (F.col("kinds") > frequent).alias("often")).alias("x"),
+        F.struct("a", "s1", "s2", "one.at", "one.n", "one.off", "found", (F.col("kinds") > frequent).alias("often")).alias("x"),
     )
     asked = asked.groupBy("d1", "d2").agg(F.collect_list("x").alias("asked"))  # at most a text's own segments
     single = long.groupBy("d1", "d2").agg(F.first("raw").alias("raw"))
     cut = single.join(asked, ["d1", "d2"]).select("raw", "asked").mapInArrow(
-        _cut(window), "a long, s1 long, s2 long, off int, often boolean, bytes binary"
+        _cut(window), "a long, s1 long, s2 long, off int, found long, often boolean, bytes binary"
     )
-    cut = settled(cut)
-    few = cut.filter("not often").select("a", "s1", "s2", "off", "bytes").repartition("a").sortWithinPartitions("a", "s1", "s2")
+    cut, folder = written(cut, "segments")
+    few = cut.filter("not often").select("a", "s1", "s2", "off", "found", "bytes").repartition("a").sortWithinPartitions("a", "s1", "s2")
     places = few.mapInArrow(_sort(window, block), "a long, s1 long, s2 long, f int, t int")
-    each = cut.filter("often").select("a", "s1", "s2", "bytes").mapInArrow(
-        _each_window(window), "a long, s1 long, s2 long, x int, w1 long, w2 long"
+    each = cut.filter("often").select("a", "s1", "s2", "found", "bytes").mapInArrow(
+        _each_window(window), "a long, s1 long, s2 long, found long, x int, w1 long, w2 long"
     )
-    twice = each.groupBy("w1", "w2").agg(F.count("*").alias("k")).filter("k > 1").select("w1", "w2")
+    twice = each.groupBy("w1", "w2").agg(F.sum("found").alias("k")).filter("k > 1").select("w1", "w2")
     often = each.join(twice, ["w1", "w2"]).select("a", "s1", "s2", F.col("x").alias("f"), (F.col("x") + 1).alias("t"))
-    whole = segments.filter("found > 1").select("a", "s1", "s2", F.lit(0).alias("f"), F.col("one.n").alias("t"))
-    places = settled(places.union(often).union(whole))
+    places = settled(places.union(often))
+    drop_folder(texts.sparkSession, folder)
 
     back = runs.join(places, ["a", "s1", "s2"]).select(
         "d1", "d2", (F.col("at") + F.col("f")).alias("s"), (F.col("at") + F.col("t") + (window - 1)).alias("e")
