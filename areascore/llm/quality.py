@@ -21,6 +21,7 @@ CLASSES = {
 #: the contract's symbols apart.
 _SIGNS = {"v": "aeiou", "V": "AEIOU", "k": "bcdfghjklmnpqrstvwxyz", "K": "BCDFGHJKLMNPQRSTVWXYZ", "0": "0123456789",
           ".": CLASSES["punctuation"], "#": SYMBOLS, "@": CLASSES["symbols"][len(SYMBOLS):]}
+_BY_FREQUENCY = "kv.VK0#@"
 _OF = {"vowels": "vV", "consonants": "kK", "digits": "0", "punctuation": ".", "symbols": "#@", "upper": "VK"}
 #: Words that a repeated run has.
 RUN = 5
@@ -83,12 +84,17 @@ def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
     rows = rows.withColumn("lines", lines).withColumn("packed", F.regexp_replace("text", SPACE + "+", ""))
     rows = rows.withColumn("coded", signs(F.col("packed")))
+    # sign after sign is taken out, the frequent ones first, and each counts as the bytes that go
+    chain = ["coded", *(f"without_{ord(c)}" for c in _BY_FREQUENCY)]
+    for c, before, after in zip(_BY_FREQUENCY, chain, chain[1:]):
+        rows = rows.withColumn(after, F.replace(F.col(before), F.lit(c), F.lit("")))
+    gone = dict(zip(_BY_FREQUENCY, zip(chain, chain[1:])))
     rows = rows.select(
         "doc_id", "lang", "words", n.cast("long").alias("n_words"),
         F.length("packed").cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeat_words("ranked"), F.lit(0)).cast("long").alias("n_repeat_words"),
-        *(n_sign("coded", c).alias(_counted(c)) for c in _SIGNS),
+        *((F.octet_length(gone[c][0]) - F.octet_length(gone[c][1])).alias(_counted(c)) for c in _SIGNS),
     )
     kept = ["doc_id", "lang", "words", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
     return rows.select(*kept, F.col(_counted("#")).cast("long").alias("n_symbols"), *map(n_class, _OF))
@@ -135,20 +141,22 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def _letters(common: int) -> list[str]:
-    """A letter of two bytes for each place of a list, after one for all words that aren't in it."""
-    return [chr(256 + i) for i in range(common + 1)]
+    """A letter of two bytes for each place of a list."""
+    return [chr(256 + i) for i in range(common)]
 
 
 def coded_words(words: str, listed: str, common: int) -> Column:
-    """One letter for each word: that of its place among the ``listed`` words, whatever its case."""
-    place = lambda w: F.array_position(listed, F.lower(w)).cast("int") + 1
-    return F.array_join(F.transform(words, lambda w: F.substr(F.lit("".join(_letters(common))), place(w), F.lit(1))), "")
+    """One letter for each word that is ``listed``, that of its place, whatever the word's case."""
+    lower = F.split(F.lower(F.array_join(words, " ")), " ")  # no word has a space
+    own = F.filter(lower, lambda w: F.array_contains(listed, w))
+    place = lambda w: F.array_position(listed, w).cast("int")
+    return F.array_join(F.transform(own, lambda w: F.substr(F.lit("".join(_letters(common))), place(w), F.lit(1))), "")
 
 
 def letter_shares(coded: str, n_words: str, listed: str, common: int) -> Column:
     """Share of each of the ``listed`` words, counted by its letter."""
     without = lambda c: F.octet_length(F.replace(F.col(coded), F.lit(c), F.lit("")))
-    shares = [(F.octet_length(coded) - without(c)) / 2 / F.col(n_words) for c in _letters(common)[1:]]
+    shares = [(F.octet_length(coded) - without(c)) / 2 / F.col(n_words) for c in _letters(common)]
     return F.when(F.col(listed).isNotNull(), F.slice(F.array(*shares), F.lit(1), F.size(listed)))
 
 
