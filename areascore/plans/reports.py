@@ -39,9 +39,9 @@ def reweight(
 
 
 def map_page(
-    scores: DataFrame, features: DataFrame | None = None, weights: Mapping[str, float] = EQUAL_WEIGHTS
+    scores: DataFrame, features: DataFrame | None = None, weights: Mapping[str, float] = EQUAL_WEIGHTS, rounding: Rounding = F.round
 ) -> dict[str, DataFrame]:
-    shown = reweight(scores, weights)
+    shown = reweight(scores, weights, rounding=rounding)
     by_score = [F.col("display_score").desc_nulls_last(), "zip_code"]
     page = {
         "table": ordered(shown, by_score).select(
