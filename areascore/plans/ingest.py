@@ -387,6 +387,7 @@ def ingest_census(spark: SparkSession, landing_dir: str, table_dir: str, state:
         counts[part] = done.rows
         if done.rows:
             set_state(spark, state, source, str(done.top))
+        expire(spark, f"{table_dir}/{table}")
     return counts
 
 

@@ -43,7 +43,7 @@ def ensure_table(spark: SparkSession, path: str, schema: StructType, partition:
 def ensure_raw_tables(spark: SparkSession, root: str) -> None:
     for name, schema in RAW_TABLES.items():
         if name not in RANGE_COLUMNS:  # a range table without a manifest is empty
-            ensure_table(spark, f"{root}/{name}", schema, "vintage_year")
+            ensure_table(spark, f"{root}/{name}", schema)
 
 
 # Time column that ranges are replaced by, per raw table.
@@ -54,6 +54,8 @@ RANGE_COLUMNS = {
     "permits": "date_issued",
     "rates": "observation_date",
     "property": "own_date",
+    "census_zip": "vintage_year",
+    "census_county": "vintage_year",
 }
 
 
@@ -234,17 +236,17 @@ def write_replace_keys(
 
 
 def write_replace_partitions(spark: SparkSession, path: str, new: DataFrame, key: str, schema: StructType) -> Written:
-    """Replace whole ``key`` partitions, as for yearly vintages; nothing old is read."""
-    new = settle(new.select(*schema.names))
-    measured = _measured(new, key)
+    """Replace whole years, as for vintages, whose ``key`` is the year; nothing old is read.
+
+    The years of ``new`` come into the table in one step, whatever their number: a crash leaves the old ones.
+    """
+    load = _Load(spark, path, schema)
+    load.write(new.select(*schema.names).withColumn(MONTH, F.make_date(key, F.lit(1), F.lit(1))))
+    own = load.own()
+    measured = _measured(load.read(own), key)
     if measured.rows:
-        (
-            new.hint("rebalance", key)
-            .write.mode("overwrite")
-            .option("partitionOverwriteMode", "dynamic")
-            .partitionBy(key)
-            .parquet(path)
-        )
+        years = {_month_of(f) for f in own}
+        load.publish([f for f in load.folders if _month_of(f) not in years])
     return measured
 
 

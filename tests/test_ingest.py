@@ -228,6 +228,21 @@ def test_census(spark, write, place):
     assert tables.get_state(spark, place[2], "census/county")[0] == "2024"
 
 
+def test_a_crash_leaves_no_vintage_half_loaded(spark, write, place, monkeypatch):
+    census(write, 2022, ("1", "1", "1", "37203"))
+    ingest.ingest_census(spark, *place)
+    census(write, 2023, ("2", "2", "2", "37203"))
+    census(write, 2024, ("3", "3", "3", "37203"))
+    for step in ("write_manifest", "_measured"):
+        with monkeypatch.context() as m:
+            m.setattr(tables, step, lambda *a, **k: 1 / 0)
+            with pytest.raises(ZeroDivisionError):
+                ingest.ingest_census(spark, *place)
+        assert stored(spark, place, "census_zip", "vintage_year") == [(2022,)]
+    assert ingest.ingest_census(spark, *place) == {"zip": 2, "county": 2}
+    assert stored(spark, place, "census_zip", "vintage_year", "poverty_count") == [(2022, 1.0), (2023, 2.0), (2024, 3.0)]
+
+
 def test_census_parts_land_apart_and_later_years_load(spark, write, place):
     census(write, 2023, ("1", "1", "1", "37203"))
     os.rename(f"{place[0]}/zip", f"{place[0]}/zip-later")
