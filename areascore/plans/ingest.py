@@ -27,7 +27,7 @@ from areascore.functions.times import from_epoch_ms_local, from_epoch_ms_seconds
 from areascore.operators.aggregates import first_failed
 from areascore.operators.filters import in_code_range, keep_codes, keep_state, newer_than, newer_versions
 from areascore.operators.windows import dedup
-from areascore.operators.reshape import stamp, stamp_ingested, unpivot_months
+from areascore.operators.reshape import stamp_ingested, unpivot_months
 from areascore.plans.staging import MARKET_MEASURES
 from areascore.schemas import CRIME_ATTRIBUTES, OBSERVATIONS, PERMIT_ATTRIBUTES, PROPERTY_ATTRIBUTES, RAW_TABLES, feature_page
 from areascore.sources.files import (

@@ -13,7 +13,6 @@ from areascore.operators.reshape import union_all
 from areascore.plans import intermediate, marts, reports
 from areascore.session import settle
 from queries import model_sql as m
-from queries import standins as s
 from queries.models import combined, demographics, monthly, staged_crime
 from queries.registry import query
 
