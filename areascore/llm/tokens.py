@@ -7,6 +7,7 @@ import re
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,7 @@ ROW_GROUP, PAGE_ROWS, PAGE = 32 << 20, 2000, 1 << 20
 #: Bytes of text that are encoded at once, and documents.
 PIECE, PIECE_ROWS = 1 << 20, 512
 #: Words that a worker remembers, and letters of a word up to which it does.
-REMEMBERED, LONG_WORD = 300_000, 64
+REMEMBERED, LONG_WORD = 250_000, 64
 #: How byte-level vocabularies cut a text. Fixed value.
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\p{White_Space}\p{L}\p{N}]+|[\p{White_Space}]+(?![^\p{White_Space}])|[\p{White_Space}]+"
 
@@ -42,17 +43,13 @@ class Encoder:
     """
 
     def __init__(self, model: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
-        from tokenizers import Tokenizer
         from tokenizers.pre_tokenizers import ByteLevel
 
         self.model = model
-        self.library, self.pieces = Tokenizer.from_str(model), Tokenizer.from_str(model)
-        for t in (self.library, self.pieces):
-            t.no_padding()
-            t.no_truncation()
+        self.pieces = self._load()
+        self.cut = self.pieces.pre_tokenizer  # the library's own way to cut a text
         self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # pieces are cut already
-        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.special = [t.content for t in self.pieces.get_added_tokens_decoder().values()]
         self.find = regex.compile(PATTERN, regex.V0).findall
         ascii_only = PATTERN.replace(r"\p{White_Space}", r"\t-\r ").replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
         self.find_ascii = re.compile(ascii_only).findall
@@ -63,13 +60,27 @@ class Encoder:
     def __reduce__(self):
         return Encoder, (self.model,)
 
+    def _load(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the threads
+        from tokenizers import Tokenizer
+
+        library = Tokenizer.from_str(self.model)
+        library.no_padding()
+        library.no_truncation()
+        return library
+
+    @cached_property
+    def library(self):
+        """For whole texts; few workers need it."""
+        return self._load()
+
     @staticmethod
     def _ids(library, texts: list[str]) -> list[bytes]:
         return [struct.pack(f"<{len(e)}I", *e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _probe(self, characters: set[str]) -> None:
         """Do both put these characters into one class of letter, number, space or other?"""
-        pieces = lambda s: [p for p, _ in self.library.pre_tokenizer.pre_tokenize_str(s)]
+        pieces = lambda s: [p for p, _ in self.cut.pre_tokenize_str(s)]
         for c in characters:
             theirs = [len(pieces(x + c)) == 1 for x in ("a", "1", "!")]
             ours = [bool(regex.match(x, c)) for x in (r"\p{L}", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}]")]
@@ -93,7 +104,8 @@ class Encoder:
         long = {}
         for w, ids in zip(new, self._ids(self.pieces, new)):
             (known if len(w) <= LONG_WORD else long)[w] = ids
-        whole = iter(self._ids(self.library, [t for t, found in zip(texts, words) if found is None]))
+        odd = [t for t, found in zip(texts, words) if found is None]
+        whole = iter(self._ids(self.library, odd) if odd else ())
         get = known.__getitem__ if not long else lambda w: known[w] if w in known else long[w]
         return [next(whole) if found is None else b"".join(map(get, found)) for found in words]
 
