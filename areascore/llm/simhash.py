@@ -360,25 +360,6 @@ def _candidates(radius: int):
     return run
 
 
-def _across(radius: int):
-    """For entries sorted by bucket: all pairs within the radius whose labels differ."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for (k, fp, ident, label), starts in _runs(batches, 4):
-            for lo, hi in zip(starts, starts[1:]):
-                values, counts = np.unique(label[lo:hi], return_counts=True)
-                if len(values) == 1:
-                    continue
-                most = values[counts.argmax()]
-                for m in np.flatnonzero(label[lo:hi] != most) + lo:  # pairs inside the largest label are settled
-                    at = np.arange(lo, hi)
-                    at = at[(label[lo:hi] != label[m]) & _near(fp[m], fp[lo:hi], WIDE if k[lo] & 1 else radius)]
-                    low, high = np.minimum(ident[m], ident[at]), np.maximum(ident[m], ident[at])
-                    yield pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
-
-    return run
-
-
 def _sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -496,8 +477,8 @@ def similar_links(
     first; a bucket of one ends there, others give pairs that span them, and what bands have connected needs no pair under
     the masks. What candidates connect is compared exactly.
     Groups of up to ``block`` sets meet whole, each set sent once. Larger groups are never brought together: every
-    text is compared with one that spans its bucket; texts that are still apart then are compared with the others of their
-    buckets, pair by pair, so that a group of copies costs a few comparisons a text.
+    text is compared with one that spans its bucket; what is still apart then meets in comparisons of two parts of the group,
+    so that a group of copies costs a comparison a text, and no pairs are listed.
     """
     masks = covering_masks(radius)
     marked = docs.mapInArrow(_described(shingle), "doc_id long, id long, fp long, bands binary")
@@ -528,17 +509,42 @@ def similar_links(
         first = pairs.join(big, pairs["b"] == big["id"], "left_semi").groupBy("b").agg(F.min("a").alias("a")).select("a", "b")
         first = stored(first, "pairs")
         linked = stored(_compared(first, own, least), "links")
-        apart = met(_labelled(nodes.join(big, "id", "left_semi"), components(linked)), _across(radius), True, True)
-        more = stored(apart.join(first, ["a", "b"], "left_anti"), "pairs")
-        links = links.union(linked).union(stored(_compared(more, own, least), "links"))
+        members = _labelled(chosen.filter("big").select("id", "root"), components(linked))
+        dealt = _apart(members, own.select("id", "raw"), block)
+        links = links.union(linked).union(stored(dealt.mapInArrow(_whole_groups(least), "a long, b long"), "links"))
     drop_folder(docs.sparkSession, folder)
     return nodes.select("id", "node"), links
 
 
 def _labelled(nodes: DataFrame, reach: DataFrame) -> DataFrame:
     """``nodes`` with ``label``, the root that ``reach`` gives them or their own id."""
-    joined = nodes.join(reach.withColumnRenamed("node", "_id"), F.col("id") == F.col("_id"), "left")
-    return joined.withColumn("label", F.coalesce("root", "id"))
+    of = reach.select(F.col("node").alias("_id"), F.col("root").alias("_root"))
+    joined = nodes.join(of, F.col("id") == F.col("_id"), "left")
+    return joined.withColumn("label", F.coalesce("_root", "id")).drop("_id", "_root")
+
+
+def _apart(members: DataFrame, sets: DataFrame, block: int) -> DataFrame:
+    """``members`` (``id``, ``root``, ``label``) with their sets, dealt into comparisons (of at most two parts) in which all that differ
+    in their label meet: rows (comparison, id, raw), sorted by comparison.
+
+    A label of half a block or more has parts of its own, and no two of them are compared, nor a part with itself: what
+    is linked already costs nothing. All other labels of a root share parts.
+    """
+    sizes = members.groupBy("root", "label").agg(F.count("*").alias("n"))
+    own = sizes.filter(F.col("n") >= block / 2).select("label", F.ceil(F.col("n") / block).cast("int").alias("own"))
+    several = sizes.groupBy("root").agg(F.count("*").alias("labels"), F.sum(F.when(F.col("n") < block / 2, F.col("n"))).alias("rest"))
+    several = several.filter("labels > 1").select("root", F.ceil(F.col("rest") / block).cast("int").alias("pool"))
+    rows = members.join(several, "root").join(own, "label", "left")
+    nth = F.when(F.col("own").isNotNull(), F.pmod("id", F.col("own"))).otherwise(F.pmod(F.xxhash64("label"), F.col("pool")))
+    named = stored(rows.select("root", "id", F.when(F.col("own").isNotNull(), F.col("label")).alias("of"), nth.cast("int").alias("nth")), "parts")
+    part = F.xxhash64("root", "of", "nth")
+    parts = named.groupBy("root", "of", "nth").agg(F.count("*").alias("n")).select("root", "of", part.alias("part"))  # a part has up to a block of rows
+    other = parts.select("root", F.col("of").alias("_of"), F.col("part").alias("_part"))
+    pairs = parts.join(other, "root").filter((F.col("part") <= F.col("_part")) & (F.col("of").isNull() | F.col("_of").isNull() | (F.col("of") != F.col("_of"))))
+    pairs = pairs.select("part", "_part", F.xxhash64(F.lit(7), "part", "_part").alias("meets"))
+    each = pairs.select("part", "meets").union(pairs.filter("part <> _part").select("_part", "meets"))
+    placed = named.select("id", part.alias("part")).join(each, "part").join(sets, "id")
+    return placed.select("meets", "id", "raw").repartition("meets").sortWithinPartitions("meets", "id")
 
 
 def similar_representatives(
