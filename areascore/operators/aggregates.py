@@ -263,13 +263,13 @@ def latest_nonnull(df: DataFrame, key: str | None, order: str, cols: Sequence[st
     return df.agg(*picks) if key is None else df.groupBy(key).agg(*picks)
 
 
-def extreme_area(df: DataFrame, col: str, which: str, key: str = "zip_code") -> Column:
-    """Aggregate: the area with the smallest or largest ``col``, lowest code on ties."""
+def extreme_area(df: DataFrame, col: str, which: str, key: str = "zip_code", missing: str | None = "N/A") -> Column:
+    """Aggregate: the area with the smallest or largest ``col``, lowest code on ties; ``missing`` where none has a value."""
     if which not in ("min", "max"):
         raise ValueError(f"which must be min or max, not {which!r}")
     rank = F.col(col) if which == "min" else -F.col(col)
     best = F.min(F.when(F.col(col).isNotNull(), F.struct(rank.alias("r"), F.col(key).alias("k"))))
-    return F.coalesce(best["k"].cast("string"), F.lit("N/A"))
+    return F.coalesce(best["k"].cast("string"), F.lit(missing).cast("string"))
 
 
 def whole_medians(df: DataFrame, medians: Mapping[str, str]) -> DataFrame:

@@ -52,7 +52,7 @@ def map_page(
         "kpis": kpis(
             shown,
             {
-                "top_zip": extreme_area(shown, "display_score", "max"),
+                "top_zip": extreme_area(shown, "display_score", "max", missing=None),
                 "top_score": F.max("display_score"),
                 "average_score": F.avg("display_score"),
                 "lowest_score": F.min("display_score"),

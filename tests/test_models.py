@@ -238,6 +238,8 @@ def test_pages(spark, built, lists):
     (top,) = page["top"].collect()
     (figures,) = page["kpis"].collect()
     assert (figures["top_zip"], figures["top_score"]) == (top["zip_code"], top["display_score"]) == ("37201", max(known))
+    unscored = reports.map_page(scores.withColumn("activity_score", F.lit(None).cast("double")))["kpis"]
+    assert unscored.select("top_zip", "top_score").first() == (None, None)
     # Equal weights repeat the mart score where every signal is known.
     whole = {r["zip_code"]: r["opportunity_score"] for r in scores.collect()}
     assert whole["37201"] == top["display_score"]
