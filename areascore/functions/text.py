@@ -47,7 +47,7 @@ def zip_from_float_text(col: Column) -> Column:
 
 def area_from_label(col: Column, separator: str = ": ") -> Column:
     """Second part of ``'Zip Code: 37040'``, null when the separator is missing."""
-    return F.get(F.split(col, separator), F.lit(1))
+    return F.when(F.contains(col, F.lit(separator)), F.split_part(col, F.lit(separator), F.lit(2)))
 
 
 def concat_fips(state: Column, county: Column) -> Column:

@@ -104,23 +104,31 @@ def _marked(raw: DataFrame, rule: Column, columns: Mapping[str, Column], carried
     return stamp_ingested(typed.select(*carried, RULE, *(F.when(F.col(RULE).isNull(), c).alias(n) for n, c in columns.items())), now)
 
 
+def parse_market(raw: DataFrame) -> DataFrame:
+    """Raw market rows with their area, day and numbers, null where they can't be read. Rules and columns both go by
+    these, so that a text is parsed once."""
+    numbers = {f"_{c}": F.nullif(F.col(c.upper()), F.lit(fixed.MARKET_MISSING)).try_cast("double") for c in MARKET_MEASURES}
+    day = F.try_to_timestamp("PERIOD_END", F.lit("yyyy-MM-dd")).cast("date")
+    return raw.withColumns({"_area": area_from_label(F.col("REGION")), "_day": day, **numbers})
+
+
 def market_columns() -> dict[str, Column]:
-    measures = {c: null_if_sentinel(F.col(c.upper()), fixed.MARKET_MISSING) for c in MARKET_MEASURES}
-    return {"zip_code": area_from_label(F.col("REGION")), "state_code": F.col("STATE_CODE"), "period_end": iso_date(F.col("PERIOD_END")), **measures}
+    """Typed columns of parsed market rows."""
+    return {"zip_code": F.col("_area"), "state_code": F.col("STATE_CODE"), "period_end": F.col("_day"), **{c: F.col(f"_{c}") for c in MARKET_MEASURES}}
 
 
 def market_loss_rules() -> dict[str, Column]:
-    """Rules that a raw market row of the state must pass, in order."""
-    present = [F.nullif(F.col(c.upper()), F.lit(fixed.MARKET_MISSING)) for c in MARKET_MEASURES]
+    """Rules that a parsed market row of the state must pass, in order."""
     some, numbers = F.lit(False), F.lit(True)
-    for col in present:
-        some = some | col.isNotNull()
-        numbers = numbers & (col.isNull() | col.try_cast("double").isNotNull())
+    for c in MARKET_MEASURES:
+        present = F.coalesce(F.col(c.upper()) != fixed.MARKET_MISSING, F.lit(False))
+        some = some | present
+        numbers = numbers & (~present | F.col(f"_{c}").isNotNull())
     return {
-        "no_area": area_from_label(F.col("REGION")).isNotNull(),
+        "no_area": F.col("_area").isNotNull(),
         "no_measure": some,
         "no_date": F.trim("PERIOD_END") != "",
-        "bad_date": F.try_to_timestamp("PERIOD_END", F.lit("yyyy-MM-dd")).isNotNull(),
+        "bad_date": F.col("_day").isNotNull(),
         "bad_number": numbers,
     }
 
@@ -131,7 +139,7 @@ MARKET_REJECTS = ("bad_date", "bad_number")
 
 def stage_market(raw: DataFrame, now: datetime | None = None) -> DataFrame:
     """Typed market rows of one state; rows without an area, a date or any measure are dropped, and rows that can't be read."""
-    return _stage(keep_state(raw, "STATE_CODE", fixed.STATE_CODE), market_loss_rules(), market_columns(), now)
+    return _stage(parse_market(keep_state(raw, "STATE_CODE", fixed.STATE_CODE)), market_loss_rules(), market_columns(), now)
 
 
 def _census_measures() -> list:
@@ -330,11 +338,13 @@ def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state:
     folder_name = F.nullif(F.regexp_extract("_metadata.file_path", "/release=([^/]+)/", 1), F.lit(""))
     name = F.coalesce(folder_name, F.col("_metadata.file_name"))
     listed = read_market_tsv(spark, landing_dir).select(*_market_raw(), name.alias("load"))
-    one_state = spread(keep_state(listed, "STATE_CODE", fixed.STATE_CODE))
+    one_state = keep_state(listed, "STATE_CODE", fixed.STATE_CODE)
+    if not fill_tasks(spark, landing_dir):
+        one_state = spread(one_state)
     rules = market_loss_rules()
     rejected = F.col(RULE).isin(*MARKET_REJECTS)
     kept_raw = F.when(rejected, F.struct(*_market_raw())).alias("_raw")
-    marked = _marked(one_state, first_failed(rules), market_columns(), ["load", kept_raw], None)
+    marked = _marked(parse_market(one_state), first_failed(rules), market_columns(), ["load", kept_raw], None)
     rows, folder = landed(marked, table_dir, "market")
     found = {r["load"]: r.asDict() for r in rows.groupBy("load").agg(*loss_counts([*rules])).collect()}  # one row a file
     for own in found.values():
@@ -350,6 +360,17 @@ def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state:
     return done.rows
 
 
+def list_files(spark: SparkSession, path: str) -> DataFrame:
+    """``path``, ``length`` and ``modificationTime`` of the files below ``path``, from their listing; none is opened."""
+    return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
+
+
+def fill_tasks(spark: SparkSession, path: str) -> bool:
+    """Whether the files below ``path`` keep all tasks busy as they are: none holds over twice a task's even part of the bytes."""
+    largest, size = list_files(spark, path).agg(F.max("length"), F.sum("length")).head()
+    return bool(size) and largest * spark.sparkContext.defaultParallelism <= 2 * size
+
+
 def _write_rejects(rejects: DataFrame, path: str, found: Mapping[str, Mapping[str, int]]) -> None:
     """Rejected rows by file, in place of those the file had."""
     for load, counts in found.items():

@@ -193,6 +193,17 @@ def test_market_rows_that_cant_be_read_go_to_the_reject_store(spark, place):
     assert ingest.read_rejects(spark, place[1]).count() == 0
 
 
+@pytest.mark.parametrize("files", [1, 8])
+def test_market_files_of_equal_size_are_typed_where_they_are_read(spark, place, monkeypatch, files):
+    spreads = []
+    monkeypatch.setattr(ingest, "spread", lambda df: spreads.append(1) or df)
+    for i in range(files):
+        release(place, f"r{i}", sale("37040", f"2024-03-0{i + 1}", "1"), sale("37041", "2024-03-24", "many"))
+    assert ingest.ingest_market(spark, *place) == files
+    assert ingest.read_rejects(spark, place[1]).count() == files
+    assert len(spreads) == (files == 1)
+
+
 def test_market_without_the_state_is_empty(spark, place):
     market(place, ["Zip Code: 10001", "NY", "c", "2024-03-31", *(["1"] * 7)])
     assert ingest.ingest_market(spark, *place) == 0
