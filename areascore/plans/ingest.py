@@ -11,6 +11,8 @@ counts are those of what was stored.
 
 from __future__ import annotations
 
+import re
+import time
 import uuid
 from collections.abc import Callable, Mapping, Sequence
 from datetime import datetime
@@ -329,17 +331,22 @@ def newest_release(df: DataFrame, keys: Sequence[str], release: str = "load") ->
 def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state: str, etag=KEEP) -> int:
     """Gzip tab-separated market releases. ``etag`` is stored even when no period is new.
 
-    A release is a file, or a folder ``release=<name>`` of files. Of several that hold a period of an area the one whose name
-    sorts last counts. Rows whose date or number
-    can't be read go to ``_rejects/market`` with their rule and file, rows without an area, date or measure are
+    A release is a file, or a folder ``release=<name>`` of files. One whose files are those of its last load holds no period
+    after the watermark, and its losses and rejects are stored, so it isn't read again. Of several that hold a period of an
+    area the one whose name sorts last counts. Rows whose date or number can't be read go to ``_rejects/market`` with their rule and file, rows without an area, date or measure are
     dropped; both are counted by file in ``_losses``.
     """
     watermark, _ = get_state(spark, state, "market")
-    folder_name = F.nullif(F.regexp_extract("_metadata.file_path", "/release=([^/]+)/", 1), F.lit(""))
-    name = F.coalesce(folder_name, F.col("_metadata.file_name"))
-    listed = read_market_tsv(spark, landing_dir).select(*_market_raw(), name.alias("load"))
+    log = f"{table_dir}/_read/market"
+    changed, old = changed_releases(spark, list_files(spark, landing_dir), log, watermark)
+    if old and not changed:
+        set_state(spark, state, "market", KEEP, etag)
+        return 0
+    paths = [_literal(p) for r in changed for p in r["paths"]] if old else landing_dir
+    header = read_market_tsv(spark, _literal(old)).schema if old else None  # new files must have the header of those before
+    listed = read_market_tsv(spark, paths, header).select(*_market_raw(), _release_name("_metadata.file_path", F.col("_metadata.file_name")).alias("load"))
     one_state = keep_state(listed, "STATE_CODE", fixed.STATE_CODE)
-    if not fill_tasks(spark, landing_dir):
+    if not fill_tasks(spark, paths):
         one_state = spread(one_state)
     rules = market_loss_rules()
     rejected = F.col(RULE).isin(*MARKET_REJECTS)
@@ -355,22 +362,60 @@ def ingest_market(spark: SparkSession, landing_dir: str, table_dir: str, state:
     new = newest_release(kept, ["zip_code", "period_end"])
     done = write_replace_keys(spark, f"{table_dir}/market", new, "period_end", RAW_TABLES["market"])
     set_state(spark, state, "market", done.top.strftime(DAY_FORMAT) if done.rows else KEEP, etag)
+    _note_releases(spark, log, changed, get_state(spark, state, "market")[0])
     drop_folder(spark, folder)
     maintain(spark, table_dir, "market")
     return done.rows
 
 
-def list_files(spark: SparkSession, path: str) -> DataFrame:
+def list_files(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``path``, ``length`` and ``modificationTime`` of the files below ``path``, from their listing; none is opened."""
     return spark.read.format("binaryFile").load(path).select("path", "length", "modificationTime")
 
 
-def fill_tasks(spark: SparkSession, path: str) -> bool:
+def fill_tasks(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """Whether the files below ``path`` keep all tasks busy as they are: none holds over twice a task's even part of the bytes."""
     largest, size = list_files(spark, path).agg(F.max("length"), F.sum("length")).head()
     return bool(size) and largest * spark.sparkContext.defaultParallelism <= 2 * size
 
 
+def _literal(path: str) -> str:
+    """A path that stands for itself and not for a pattern."""
+    return re.sub(r"([\\{}\[\]*?])", r"\\\1", path)
+
+
+def _release_name(path: str, file: Column) -> Column:
+    """Name of the release a file belongs to: its folder ``release=<name>``, or the file's own name."""
+    return F.coalesce(F.nullif(F.regexp_extract(path, "/release=([^/]+)/", 1), F.lit("")), file)
+
+
+#: Log of loaded releases: a digest of their files (path, length, time of change), the watermark after, and the load's place in time.
+READ = "load string, files string, watermark string, at bigint"
+
+
+def changed_releases(spark: SparkSession, files: DataFrame, log: str, watermark: str | None) -> tuple[list, str | None]:
+    """The releases (``load``, ``files``, ``paths``) whose files aren't those of their last load, and the largest file of the
+    others. What was loaded up to a later watermark than the state's counts as never loaded."""
+    each = F.concat_ws("|", "path", "length", F.unix_micros("modificationTime"))
+    name = _release_name("path", F.substring_index("path", "/", -1))
+    found = files.groupBy(name.alias("load")).agg(
+        F.sha2(F.concat_ws("\n", F.sort_array(F.collect_list(each))), 256).alias("files"), F.collect_list("path").alias("paths"),
+        F.max(F.struct("length", "path")).alias("largest"),
+    )
+    if not path_exists(spark, log):
+        return found.orderBy("load").collect(), None
+    last = dedup(spark.read.schema(READ).parquet(log), ["load"], [F.col("at").desc()])
+    known = last.filter(F.col("watermark").isNull() | (F.col("watermark") <= F.lit(watermark))).select("load", "files")
+    old = found.join(known, ["load", "files"], "left_semi").agg(F.max("largest")["path"]).head()[0]
+    return found.join(known, ["load", "files"], "left_anti").orderBy("load").collect(), old
+
+
+def _note_releases(spark: SparkSession, log: str, releases: Sequence, watermark: str | None) -> None:
+    rows = [(r["load"], r["files"], watermark, time.time_ns()) for r in releases]
+    spark.createDataFrame(rows, READ).coalesce(1).write.mode("append").parquet(log)
+    fold_log(spark, log, READ, ["load"], "at")
+
+
 def _write_rejects(rejects: DataFrame, path: str, found: Mapping[str, Mapping[str, int]]) -> None:
     """Rejected rows by file, in place of those the file had."""
     for load, counts in found.items():

@@ -12,14 +12,15 @@ from areascore.schemas import OBSERVATIONS, feature_page
 from areascore.session import settle
 
 
-def read_market_tsv(spark: SparkSession, path: str) -> DataFrame:
+def read_market_tsv(spark: SparkSession, path: str | Sequence[str], schema: StructType | None = None) -> DataFrame:
     """Tab-separated text with a header, plain or gzip, every column as text.
 
     Only the columns a query selects are parsed. A gzip file is one task, so spread its rows
     after the first filter when there are few files: ``spread(df)``. All files must have the same
-    header; one that differs fails the read instead of being mapped by position.
+    header, that of ``schema`` if it is given; one that differs fails the read instead of being mapped by position.
     """
-    return spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False).csv(path)
+    reader = spark.read.option("sep", "\t").option("header", True).option("enforceSchema", False)
+    return (reader.schema(schema) if schema else reader).csv(path)
 
 
 def spread(df: DataFrame) -> DataFrame:

@@ -204,6 +204,24 @@ def test_market_files_of_equal_size_are_typed_where_they_are_read(spark, place,
     assert len(spreads) == (files == 1)
 
 
+def test_market_releases_are_read_once(spark, place, monkeypatch):
+    parsed = []
+    landed = ingest.landed
+    monkeypatch.setattr(ingest, "landed", lambda df, *a: parsed.append(df.select("load").distinct().count()) or landed(df, *a))
+    release(place, "2024-03", sale("37040", "2024-03-24", "1"), sale("37041", "2024-03-24", "many"))
+    assert ingest.ingest_market(spark, *place) == 1
+    assert ingest.ingest_market(spark, *place, etag="e") == 0
+    assert tables.get_state(spark, place[2], "market") == ("2024-03-24", "e")
+    release(place, "2024-04", sale("37040", "2024-03-24", "2"), sale("37040", "2024-03-31", "3"))
+    assert ingest.ingest_market(spark, *place) == 1
+    assert parsed == [1, 1]
+    assert stored(spark, place, "market", "period_end", "median_dom") == [(date(2024, 3, 24), 1.0), (date(2024, 3, 31), 3.0)]
+    assert ingest.read_rejects(spark, place[1]).count() == 1 and ingest.read_losses(spark, place[1]).count() == 14
+    # without its state the table is loaded anew from all releases
+    args = place[0], place[1], f"{place[2]}-new"
+    assert ingest.ingest_market(spark, *args) == 2 and parsed == [1, 1, 2]
+
+
 def test_market_without_the_state_is_empty(spark, place):
     market(place, ["Zip Code: 10001", "NY", "c", "2024-03-31", *(["1"] * 7)])
     assert ingest.ingest_market(spark, *place) == 0
