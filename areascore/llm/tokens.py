@@ -6,12 +6,10 @@ import os
 import re
 import struct
 import zlib
-from collections.abc import Iterator
-from functools import cached_property
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -20,12 +18,25 @@ from pyspark.sql import functions as F
 END = 2
 #: Bytes of a row group before compression, rows of a page, and bytes of a page.
 ROW_GROUP, PAGE_ROWS, PAGE = 32 << 20, 2000, 1 << 20
-#: Bytes of text that are encoded at once, and documents.
+#: Characters of text that are encoded at once, and documents.
 PIECE, PIECE_ROWS = 1 << 20, 512
-#: Words that a worker remembers, and letters of a word up to which it does.
+#: Words after which a worker starts a new memory, beside the last one, and letters of a word up to which it is remembered.
 REMEMBERED, LONG_WORD = 250_000, 64
-#: How byte-level vocabularies cut a text. Fixed value.
-PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?[\p{L}]+| ?[\p{N}]+| ?[^\p{White_Space}\p{L}\p{N}]+|[\p{White_Space}]+(?![^\p{White_Space}])|[\p{White_Space}]+"
+#: Classes of the characters in the pattern by which byte-level vocabularies cut a text: ``'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+|
+#: ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+``. Fixed values.
+LETTER, NUMBER, OTHER, WHITE, UNKNOWN = range(5)
+#: Where a long text may be cut, since a word of the pattern starts there whatever follows.
+WORD_START = re.compile("(?<=[!-~]) (?=[!-~])")
+
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that stands for each byte in a byte-level vocabulary: its own if it is printable, else one from 256 on."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    rest = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + i) for i, b in enumerate(rest)}
 
 
 def default_path() -> str:
@@ -37,25 +48,20 @@ def default_path() -> str:
 class Encoder:
     """Little-endian 32-bit ids of texts, as the library gives them.
 
-    No merge crosses a piece of the vocabulary's pattern, so the library encodes each piece once and a worker
-    remembers it. Texts with a special token, and texts with a code point that the library and the ``regex`` package
-    put into different classes (probed once each), are encoded whole.
+    No merge crosses a word of the vocabulary's pattern, so the library's model encodes each word once and a worker
+    remembers it. Texts are cut into words as columns of characters, by the class that the library puts a character into
+    (probed once each). Equal words of a block are found by hash and compared. Texts with a special token are encoded whole.
     """
 
     def __init__(self, model: str):
-        from tokenizers.pre_tokenizers import ByteLevel
-
         self.model = model
-        self.pieces = self._load()
-        self.cut = self.pieces.pre_tokenizer  # the library's own way to cut a text
-        self.pieces.pre_tokenizer = ByteLevel(add_prefix_space=False, use_regex=False)  # pieces are cut already
-        self.special = [t.content for t in self.pieces.get_added_tokens_decoder().values()]
-        self.find = regex.compile(PATTERN, regex.V0).findall
-        ascii_only = PATTERN.replace(r"\p{White_Space}", r"\t-\r ").replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
-        self.find_ascii = re.compile(ascii_only).findall
+        self.library = self._load()
+        self.special = [t.content for t in self.library.get_added_tokens_decoder().values()]
+        self.letters = _byte_letters()
+        self.kinds = np.full(0x110000, UNKNOWN, np.uint8)
         self.known: dict[str, bytes] = {}
-        self.alike: set[str] = {chr(i) for i in range(128)}
-        self.unlike: set[str] = set()
+        self.before: dict[str, bytes] = {}
+        self.up = self.down = np.empty(0, np.uint64)
 
     def __reduce__(self):
         return Encoder, (self.model,)
@@ -69,45 +75,114 @@ class Encoder:
         library.no_truncation()
         return library
 
-    @cached_property
-    def library(self):
-        """For whole texts; few workers need it."""
-        return self._load()
-
-    @staticmethod
-    def _ids(library, texts: list[str]) -> list[bytes]:
-        return [struct.pack(f"<{len(e)}I", *e.ids) for e in library.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _probe(self, characters: set[str]) -> None:
-        """Do both put these characters into one class of letter, number, space or other?"""
-        pieces = lambda s: [p for p, _ in self.cut.pre_tokenize_str(s)]
-        for c in characters:
-            theirs = [len(pieces(x + c)) == 1 for x in ("a", "1", "!")]
-            ours = [bool(regex.match(x, c)) for x in (r"\p{L}", r"\p{N}", r"[^\p{White_Space}\p{L}\p{N}]")]
-            (self.alike if theirs == ours else self.unlike).add(c)
+    def _whole(self, texts: list[str]) -> list[bytes]:
+        return [struct.pack(f"<{len(e)}I", *e.ids) for e in self.library.encode_batch_fast(texts, add_special_tokens=False)]
+
+    def _word(self, tokenize: Callable, word: str) -> bytes:
+        ids = [t.id for t in tokenize(word.encode().decode("latin-1").translate(self.letters))]
+        return struct.pack(f"<{len(ids)}I", *ids)
+
+    def _classes(self, points: np.ndarray) -> np.ndarray:
+        """The class of each character: the one that it doesn't end."""
+        kinds = self.kinds[points]
+        if (kinds == UNKNOWN).any():
+            cut = self.library.pre_tokenizer.pre_tokenize_str
+            for c in np.unique(points[kinds == UNKNOWN]).tolist():
+                one = [k for k, x in ((LETTER, "a"), (NUMBER, "1"), (OTHER, "!")) if len(cut(x + chr(c))) == 1]
+                self.kinds[c] = one[0] if one else WHITE
+            kinds = self.kinds[points]
+        return kinds
+
+    def _begins(self, points: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Where the words begin in texts that begin at ``first``; the pattern's cases as columns."""
+        kinds, n = self._classes(points), len(points)
+        begins = first.copy()
+        begins[1:] |= kinds[1:] != kinds[:-1]
+        white = kinds == WHITE
+        # the last of several spaces stands alone, a blank belongs to what follows
+        last = np.flatnonzero(white[:-1] & ~white[1:] & ~first[1:])
+        begins[last] = True
+        begins[last[points[last] == 32] + 1] = False
+        # an apostrophe that begins a word takes one of its endings
+        at = np.flatnonzero((points == 39) & begins)
+        at = at[at + 1 < n]
+        at = at[~first[at + 1]]
+        next1 = points[at + 1]
+        beyond = np.minimum(at + 2, n - 1)
+        next2 = np.where((at + 2 < n) & ~first[beyond], points[beyond], 0)
+        size = np.zeros(len(at), np.int64)
+        for ending in ("s", "t", "m", "d", "re", "ve", "ll"):
+            same = next1 == ord(ending[0])
+            size[same if len(ending) == 1 else same & (next2 == ord(ending[1]))] = len(ending)
+        at, size = at[size > 0], size[size > 0]
+        begins[at + 1] = False
+        after = at + 1 + size
+        begins[after[after < n]] = True
+        return np.flatnonzero(begins)
+
+    def _hashes(self, points: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        if len(self.up) < len(points):
+            self.up, self.down = (np.multiply.accumulate(np.full(len(points), x, np.uint64)) for x in (_BASE, _INVERSE))
+        sums = np.zeros(len(points) + 1, np.uint64)
+        np.cumsum((points + np.uint64(1)) * self.up[: len(points)], out=sums[1:])
+        return (sums[end] - sums[start]) * self.down[start]
+
+    def _found(self, words: list[str]) -> list[bytes]:
+        """The ids of different words. Those that aren't met again until the next memory is full are forgotten."""
+        if len(self.known) > REMEMBERED:
+            self.known, self.before = {}, self.known
+        known, before, tokenize = self.known, self.before, self.library.model.tokenize
+        found = list(map(known.get, words))
+        for i, ids in enumerate(found):
+            if ids is None:
+                word = words[i]
+                ids = found[i] = before.get(word) or self._word(tokenize, word)
+                if len(word) <= LONG_WORD:
+                    known[word] = ids
+        return found
+
+    def _block(self, texts: list[str]) -> list[bytes]:
+        joined = "".join(texts)
+        if not joined:
+            return [b""] * len(texts)
+        points = np.frombuffer(joined.encode("utf-32-le"), "<u4")
+        starts = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        first = np.zeros(len(points) + 1, bool)
+        first[starts] = True
+        start = self._begins(points, first[:-1])
+        end = np.append(start[1:], len(points))
+        _, one, which = np.unique(self._hashes(points, start, end), return_index=True, return_inverse=True)
+        size = end - start
+        like = np.arange(len(points)) + np.repeat(start[one][which] - start, size)
+        if (size != size[one][which]).any() or (points != points[like]).any():
+            return self._whole(texts)  # different words with one hash
+        found = self._found([joined[a:b] for a, b in zip(start[one].tolist(), end[one].tolist())])
+        n = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        flat, offset = np.frombuffer(b"".join(found), "<u4"), np.cumsum(n) - n
+        each = n[which]
+        upto = np.concatenate([[0], np.cumsum(each)])
+        ids = flat[np.arange(upto[-1]) + np.repeat(offset[which] - upto[:-1], each)].tobytes()
+        bounds = (4 * upto[np.searchsorted(start, starts)]).tolist()
+        return [ids[a:b] for a, b in zip(bounds, bounds[1:])]
 
     def __call__(self, texts: list[str]) -> list[bytes]:
-        words: list[list[str] | None] = []
-        for t in texts:
-            if any(s in t for s in self.special):
-                words.append(None)
-            elif t.isascii():
-                words.append(self.find_ascii(t))
-            else:
-                own = set(t)
-                self._probe(own - self.alike - self.unlike)
-                words.append(self.find(t) if own.isdisjoint(self.unlike) else None)
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        known = self.known
-        new = list(set().union(*(found for found in words if found)).difference(known))
-        long = {}
-        for w, ids in zip(new, self._ids(self.pieces, new)):
-            (known if len(w) <= LONG_WORD else long)[w] = ids
-        odd = [t for t, found in zip(texts, words) if found is None]
-        whole = iter(self._ids(self.library, odd) if odd else ())
-        get = known.__getitem__ if not long else lambda w: known[w] if w in known else long[w]
-        return [next(whole) if found is None else b"".join(map(get, found)) for found in words]
+        own = [t for t in texts if not any(s in t for s in self.special)]
+        if len(own) == len(texts):
+            if all(len(t) <= 2 * PIECE for t in texts):
+                return self._block(texts)
+            return [b"".join(x for part in _parts(t) for x in self._block([part])) for t in texts]
+        odd = iter(self._whole([t for t in texts if any(s in t for s in self.special)]))
+        rest = iter(self(own))
+        return [next(odd) if any(s in t for s in self.special) else next(rest) for t in texts]
+
+
+def _parts(text: str) -> Iterator[str]:
+    """A long text in parts of about ``PIECE`` characters, cut before words."""
+    at = 0
+    while len(text) - at > PIECE and (cut := WORD_START.search(text, at + PIECE)):
+        yield text[at : cut.start()]
+        at = cut.start()
+    yield text[at:]
 
 
 def _pieces(texts: list[str]) -> Iterator[list[str]]:

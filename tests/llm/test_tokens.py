@@ -119,3 +119,41 @@ def test_every_code_point_is_put_like_the_library(encode):
         own = tokens.Encoder(file.read())
     texts = ["".join(f"a{chr(c)}1 {chr(c)}!" for c in range(at, min(at + 64, 0x30000)) if not 0xD800 <= c < 0xE000) for at in range(0, 0x30000, 64)]
     assert own(texts) == [struct.pack(f"<{len(ids)}I", *ids) for ids in (encode(t)[:-1] for t in texts)]
+
+
+def packed(texts, encode):
+    return [struct.pack(f"<{len(ids)}I", *ids) for ids in (encode(t)[:-1] for t in texts)]
+
+
+@pytest.fixture
+def own():
+    with open(tokens.default_path(), encoding="utf-8") as file:
+        return tokens.Encoder(file.read())
+
+
+def test_words_met_again_are_not_encoded_again_when_the_memory_is_full(own, encode, monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20)
+    blocks = [[" ".join(["often", *(f"{chr(97 + i)}x{j}y" for j in range(10))])] for i in range(12)]
+    asked, word = [], own._word
+    monkeypatch.setattr(own, "_word", lambda tokenize, w: asked.append(w) or word(tokenize, w))
+    assert [x for b in blocks for x in own(b)] == packed([t for b in blocks for t in b], encode)
+    assert asked.count("often") == 1 and len(own.known) + len(own.before) < 120
+
+
+def test_long_texts_are_cut_before_words(own, encode, monkeypatch):
+    monkeypatch.setattr(tokens, "PIECE", 40)
+    texts = ["it's a'll  b'ree \n x'sd ''t'm é 12 a' s" * 20, "x" * 500, "a b " * 99 + "<|endoftext|>", "", "a b\xa0 c" * 60, "don't"]
+    assert len(list(tokens._parts(texts[0]))) > 5
+    assert own(texts) == packed(texts, encode)
+
+
+def test_different_words_with_one_hash_stay_apart(own, encode, monkeypatch):
+    monkeypatch.setattr(own, "_hashes", lambda points, start, end: (end - start).astype(np.uint64))
+    texts = ["one two six", "ten", "", "one"]
+    assert own(texts) == packed(texts, encode)
+
+
+def test_endings_behind_apostrophes(own, encode):
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("'stmdrevl' \n1!é") for _ in range(rng.randint(0, 9))) for _ in range(20_000)]
+    assert own(texts) == packed(texts, encode)
