@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from areascore.llm.common import settled
 
-SPACE = r"[\x20\x09-\x0D]"
 #: Characters that count as symbols. Fixed value.
 SYMBOLS = "#*$%&|<>"
 #: Classes of the characters in words; all others are one more class. Fixed values.
@@ -39,9 +38,10 @@ def words_of(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(r"[^\x20\x09-\x0D]++"), F.lit(0))
 
 
-def signs(packed: Column) -> Column:
-    """``packed`` with each ASCII character replaced by the sign of its class."""
-    return F.translate(packed, "".join(_SIGNS.values()), "".join(c * len(v) for c, v in _SIGNS.items()))
+def signs(text: Column) -> Column:
+    """``text`` without space, each ASCII character replaced by the sign of its class."""
+    # what has no sign is taken out
+    return F.translate(text, "".join(_SIGNS.values()) + " \t\n\x0b\x0c\r", "".join(c * len(v) for c, v in _SIGNS.items()))
 
 
 def n_sign(coded: str, sign: str) -> Column:
@@ -68,7 +68,7 @@ def repeat_words(ranked: str) -> Column:
 
 
 def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
-    """The words of each text, the contract's counts and the class counts, all inside its row."""
+    """Each text in lower case, the contract's counts and the class counts, all inside its row."""
     full = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(F.col(key).alias("doc_id"), F.col(lang).cast("string").alias("lang"), full.alias("text"))
     rows = rows.withColumn("words", words_of(F.col("text")))
@@ -82,21 +82,20 @@ def measures(docs: DataFrame, key: str, text: str, lang: str) -> DataFrame:
     numbered = F.sort_array(F.transform("grams", lambda g, i: F.struct(g.alias("g"), i.alias("i"))))
     rows = rows.withColumn("ranked", F.when(twice, numbered))
     lines = F.filter(F.split("text", "\n"), lambda x: x.rlike(r"[^\x20\x09-\x0D]"))
-    rows = rows.withColumn("lines", lines).withColumn("packed", F.regexp_replace("text", SPACE + "+", ""))
-    rows = rows.withColumn("coded", signs(F.col("packed")))
+    rows = rows.withColumn("lines", lines).withColumn("coded", signs(F.col("text")))
     # sign after sign is taken out, the frequent ones first, and each counts as the bytes that go
     chain = ["coded", *(f"without_{ord(c)}" for c in _BY_FREQUENCY)]
     for c, before, after in zip(_BY_FREQUENCY, chain, chain[1:]):
         rows = rows.withColumn(after, F.replace(F.col(before), F.lit(c), F.lit("")))
     gone = dict(zip(_BY_FREQUENCY, zip(chain, chain[1:])))
     rows = rows.select(
-        "doc_id", "lang", "words", n.cast("long").alias("n_words"),
-        F.length("packed").cast("long").alias("word_chars"),
+        "doc_id", "lang", F.lower("text").alias("lower"), n.cast("long").alias("n_words"),
+        F.length("coded").cast("long").alias("word_chars"),
         (F.size("lines") - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(repeat_words("ranked"), F.lit(0)).cast("long").alias("n_repeat_words"),
         *((F.octet_length(gone[c][0]) - F.octet_length(gone[c][1])).alias(_counted(c)) for c in _SIGNS),
     )
-    kept = ["doc_id", "lang", "words", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
+    kept = ["doc_id", "lang", "lower", "n_words", "word_chars", "n_dup_lines", "n_repeat_words"]
     return rows.select(*kept, F.col(_counted("#")).cast("long").alias("n_symbols"), *map(n_class, _OF))
 
 
@@ -145,10 +144,12 @@ def _letters(common: int) -> list[str]:
     return [chr(256 + i) for i in range(common)]
 
 
-def coded_words(words: str, listed: str, common: int) -> Column:
-    """One letter for each word that is ``listed``, that of its place, whatever the word's case."""
-    lower = F.split(F.lower(F.array_join(words, " ")), " ")  # no word has a space
-    own = F.filter(lower, lambda w: F.array_contains(listed, w))
+def coded_words(lower: str, listed: str, common: int) -> Column:
+    """One letter for each word of a lower-cased text that is ``listed``, that of its place. The list is one expression, compiled
+    once as long as it stays, so that only listed words are looked up."""
+    quoted = F.transform(listed, lambda w: F.concat(F.lit(r"\Q"), F.replace(w, F.lit(r"\E"), F.lit(r"\E\\E\Q")), F.lit(r"\E")))
+    one = F.concat(F.lit(r"(?<![^\x20\x09-\x0D])(?:"), F.array_join(quoted, "|"), F.lit(r")(?![^\x20\x09-\x0D])"))
+    own = F.regexp_extract_all(F.col(lower), one, F.lit(0))
     place = lambda w: F.array_position(listed, w).cast("int")
     return F.array_join(F.transform(own, lambda w: F.substr(F.lit("".join(_letters(common))), place(w), F.lit(1))), "")
 
@@ -181,7 +182,7 @@ def assess(
     rows = rows.withColumn("_pooled", F.col("lang").isNull()).withColumn("_lang", F.coalesce("lang", F.lit("")))
     rows = rows.join(refs, (F.col("_lang") == F.col("ref_lang")) & (F.col("_pooled") == F.col("ref_pooled")), "left")
     has = F.col("n_words") > 0
-    rows = rows.withColumn("_coded", F.when(has, coded_words("words", "ref_words", common)))
+    rows = rows.withColumn("_coded", F.when(has, coded_words("lower", "ref_words", common)))
     rows = rows.withColumn("_found", F.when(has, letter_shares("_coded", "n_words", "ref_words", common)))
     own = F.array(*(F.col(c) / F.col("word_chars") for c in CLASSES))
     # upper case is a part of the letters: its share and the rest's are compared on their own
