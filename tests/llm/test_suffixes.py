@@ -49,6 +49,17 @@ def test_small_windows_over_copies_periods_and_shared_passages(spark, frequent,
     assert got(df, window=24, anchor=8, frequent=frequent, block=block) == plain(texts, 24)
 
 
+@pytest.mark.parametrize("size, gone", [(394, 0), (399, 0), (400, 400), (1000, 1000)])
+def test_bytes_and_not_words_decide_on_a_shared_passage(spark, size, gone):
+    rng = random.Random(size)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    passage = " ".join(word() for _ in range(200))[: size - 1] + "."
+    assert len(passage.split()) > 50
+    texts = [" ".join(word() for _ in range(90)) + edge + passage + edge + " ".join(word() for _ in range(90)) for edge in "<>"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert [r[1:3] for r in got(df)] == [(gone, int(gone > 0))] * 2
+
+
 def test_long_texts_are_cut_without_losing_windows(spark, monkeypatch):
     monkeypatch.setattr(suffixes, "CHUNK", 700)
     rng = random.Random(5)
